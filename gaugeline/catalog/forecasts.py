@@ -9,16 +9,15 @@ from gaugeline.catalog.base import (
     MEASURES,
     VIEWS,
     Tables,
+    half_up,
     qr,
-    qrs,
     query,
     r,
-    rs,
     sql_confidence,
     sql_grade,
     sql_risk_name,
 )
-from gaugeline.operators import series, windows
+from gaugeline.operators import windows
 from gaugeline.plans import forecast, model, monitor
 from gaugeline.sources import tables
 
@@ -35,7 +34,7 @@ VIEWS["seasonal"] = (("last72",), """
 SELECT station_id, 25 - rn AS hour_ahead, water_level AS level FROM last72 WHERE rn <= 24 AND n = 72""")
 VIEWS["forecast_result"] = (("seasonal", "station"), f"""
 SELECT p.station_id AS location_id, COALESCE(s.name, p.station_id) AS station_name, mx,
-       ROUND(mx, 2) + 0.0 AS max_predicted_water_level, {sql_grade('mx')} AS risk_level,
+       {half_up('mx')} AS max_predicted_water_level, {sql_grade('mx')} AS risk_level,
        {sql_risk_name('mx')} AS risk_name, {sql_confidence('mx')} AS confidence
 FROM (SELECT station_id, MAX(level) AS mx FROM seasonal GROUP BY 1) p LEFT JOIN station s ON s.id = p.station_id""")
 
@@ -160,7 +159,7 @@ def f6(spark, sf):
 
 
 @query("f6_forecast_daily", f"""
-SELECT station_id AS location_id, {qr('MAX(water_level)', 'max_predicted_water_level', 2)},
+SELECT station_id AS location_id, {half_up('MAX(water_level)')} AS max_predicted_water_level,
        {sql_grade('MAX(water_level)')} AS risk_level
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY day DESC) AS rn,
              COUNT(*) OVER (PARTITION BY station_id) AS n FROM daily_load) t
@@ -172,7 +171,7 @@ def f6_daily(spark, sf):
     return results.select("location_id", "max_predicted_water_level", "risk_level")
 
 
-@query("a5_peak_level", f"SELECT station_id, {qr('MAX(level)', 'peak', 2)} FROM seasonal GROUP BY 1", "seasonal")
+@query("a5_peak_level", f"SELECT station_id, {half_up('MAX(level)')} AS peak FROM seasonal GROUP BY 1", "seasonal")
 def a5(spark, sf):
     scored = forecast.score(history(Tables(spark, sf)))
     return scored.select("station_id", G.rounded(F.array_max("predicted")).alias("peak"))
@@ -180,7 +179,7 @@ def a5(spark, sf):
 
 RECORDS = f"""
 SELECT p.station_id AS location_id, TIMESTAMP '{AS_OF}' AS predict_time, CAST(p.hour_ahead AS SMALLINT) AS predict_hour,
-       {qr('p.level', 'predicted_water_level', 2)}, f.confidence AS confidence_score,
+       {half_up('p.level')} AS predicted_water_level, f.confidence AS confidence_score,
        CAST(f.risk_level AS SMALLINT) AS risk_level, 'seasonal-1' AS model_version,
        '{{"n_rows":72,"last_time":"' || strftime(l.last_time, '%Y-%m-%d %H:%M:%S') || '"}}' AS input_data_summary
 FROM seasonal p JOIN forecast_result f ON f.location_id = p.station_id
@@ -210,7 +209,7 @@ def s11(spark, sf):
         "input_data_summary")
 
 
-@query("k2_hourly_levels", f"SELECT station_id AS location_id, CAST(hour_ahead AS INTEGER) AS hour, {qr('level', 'level', 2)} FROM seasonal",
+@query("k2_hourly_levels", f"SELECT station_id AS location_id, CAST(hour_ahead AS INTEGER) AS hour, {half_up('level')} AS level FROM seasonal",
        "seasonal")
 def k2(spark, sf):
     t = Tables(spark, sf)
@@ -218,8 +217,8 @@ def k2(spark, sf):
         "location_id", F.inline("hourly_predictions").alias("hour", "level"))
 
 
-@query("a10_mse_by_hour_ahead", """
-SELECT CAST(h AS INTEGER) AS hour_ahead, COUNT(*) AS n, ROUND(AVG(POWER(a.water_level - f.water_level, 2)), 6) + 0.0 AS mse
+@query("a10_mse_by_hour_ahead", f"""
+SELECT CAST(h AS INTEGER) AS hour_ahead, COUNT(*) AS n, {qr('AVG(POWER(a.water_level - f.water_level, 2))', 'mse')}
 FROM numbered a JOIN numbered f ON f.station_id = a.station_id AND f.i = a.i - 24
 CROSS JOIN (SELECT unnest(range(1, 25)) AS h) hours
 JOIN (SELECT station_id, MAX(i) AS top FROM numbered GROUP BY 1) t ON t.station_id = a.station_id

@@ -7,6 +7,8 @@ from gaugeline.catalog.base import (
     AS_OF,
     MEASURES,
     Tables,
+    c,
+    half_up,
     qr,
     qrs,
     query,
@@ -31,10 +33,9 @@ def sql_verdict(source: str, time: str) -> str:
     issue = TIME_ISSUE.format(time)
     return f"""SELECT *, pen = 0 AS is_valid,
        CASE WHEN pen >= 10 THEN CAST(0 AS DOUBLE) ELSE (10 - pen) / CAST(10 AS DOUBLE) END AS quality_score,
-       array_to_string(list_filter([
-         CASE WHEN level_bad THEN 'RANGE:water_level' END, CASE WHEN rain_bad THEN 'RANGE:rainfall' END,
-         CASE WHEN temp_bad THEN 'RANGE:temperature' END, CASE WHEN logic_bad THEN 'INCONSISTENT:rainfall' END,
-         time_code || ':{time}'], x -> x IS NOT NULL), ',') AS issue_codes
+       concat_ws(',', CASE WHEN level_bad THEN 'RANGE:water_level' END,
+         CASE WHEN rain_bad THEN 'RANGE:rainfall' END, CASE WHEN temp_bad THEN 'RANGE:temperature' END,
+         CASE WHEN logic_bad THEN 'INCONSISTENT:rainfall' END, time_code || ':{time}') AS issue_codes
 FROM (SELECT *, (CASE WHEN level_bad THEN 3 ELSE 0 END) + (CASE WHEN rain_bad THEN 2 ELSE 0 END)
            + (CASE WHEN temp_bad THEN 2 ELSE 0 END) + (CASE WHEN logic_bad THEN 3 ELSE 0 END)
            + (CASE WHEN time_code IS NOT NULL THEN 2 ELSE 0 END) AS pen
@@ -149,12 +150,13 @@ def decimals(names):
     return [F.col(n).cast("double").alias(n) for n in names]
 
 
-@query("s8_water_monitoring", f"""
-SELECT station_id AS location_id, hour AS timestamp, {qrs(MEASURES, 2)}, CAST(1 AS SMALLINT) AS data_quality,
-       CAST(1 AS SMALLINT) AS status FROM hour_wide""", "hour_wide")
+@query("s8_water_monitoring", "SELECT station_id AS location_id, ts AS timestamp, " + ", ".join(
+    half_up(f"CASE WHEN data_type = '{m}' THEN value END") + f" AS {m}" for m in MEASURES) + """,
+       CAST(CASE WHEN error IS NOT NULL THEN 2 ELSE 1 END AS SMALLINT) AS data_quality, CAST(1 AS SMALLINT) AS status
+FROM reading""", "reading")
 def s8(spark, sf):
-    rows = Tables(spark, sf).hour_wide.withColumnsRenamed({"station_id": "location_id", "hour": "timestamp"})
-    kept = tables.accepted(tables.conform(rows, "water_monitoring_data", AS_OF))
+    records = reshape.storage_records(Tables(spark, sf).reading)
+    kept = tables.accepted(tables.conform(records, "water_monitoring_data", AS_OF))
     return kept.select("location_id", "timestamp", *decimals(MEASURES), "data_quality", "status")
 
 
@@ -441,9 +443,9 @@ def k3(spark, sf):
             .select("station_id", "ts", "data_type", "value"))
 
 
-@query("u1_append_rows", """
+@query("u1_append_rows", f"""
 SELECT station_id, hour, water_level, rainfall, note FROM (
-  SELECT station_id, hour, ROUND(water_level, 6) + 0.0 AS water_level, ROUND(rainfall, 6) + 0.0 AS rainfall,
+  SELECT station_id, hour, {qrs(['water_level', 'rainfall'])},
          NULL::VARCHAR AS note FROM hour_wide
   UNION ALL
   SELECT station_id, hour, 999.99, NULL, 'appended' FROM hour_wide WHERE n_readings > 3)""", "hour_wide")
@@ -499,7 +501,7 @@ def e3(spark, sf):
 
 
 @query("e4_round_floor_abs", f"""
-SELECT event_id, {qr('value / 3', 'third', 2)}, GREATEST(CAST(0 AS DOUBLE), value - 20) AS above,
+SELECT event_id, {half_up('value / 3')} AS third, GREATEST(CAST(0 AS DOUBLE), value - 20) AS above,
        ABS(value - 20) AS distance FROM reading WHERE value IS NOT NULL""", "reading")
 def e4(spark, sf):
     value = F.col("value")
@@ -514,7 +516,7 @@ FROM reading""", "reading")
 def e5(spark, sf):
     hour = F.hour("ts")
     return Tables(spark, sf).reading.select(
-        "event_id", hour.alias("hour_of_day"), G.rounded(F.sin(2 * F.pi() * (hour - 6) / 24), 6).alias("phase"))
+        "event_id", hour.alias("hour_of_day"), c(F.sin(2 * F.pi() * (hour - 6) / 24)).alias("phase"))
 
 
 @query("e6_text_template", """
@@ -557,7 +559,7 @@ def e9(spark, sf):
 def e10(spark, sf):
     value = F.col("value")
     return Tables(spark, sf).reading.filter("value IS NOT NULL AND data_type <> 'flow_rate'").select(
-        "event_id", G.rounded(F.tanh(value / 100), 6).alias("tanh"), G.rounded(F.exp(value / 100), 4).alias("exp"))
+        "event_id", c(F.tanh(value / 100)).alias("tanh"), c(F.exp(value / 100), 4).alias("exp"))
 
 
 @query("e11_row_json")
@@ -571,7 +573,7 @@ SELECT event_id, {qr('value / CASE WHEN event_id % 4 = 0 THEN CAST(1 AS DOUBLE)
 FROM reading""", "reading")
 def e12(spark, sf):
     divisor = (F.col("event_id") % 4).cast("double")
-    return Tables(spark, sf).reading.select("event_id", G.rounded(F.col("value") / G.guarded(divisor), 6).alias("share"))
+    return Tables(spark, sf).reading.select("event_id", c(F.col("value") / G.guarded(divisor)).alias("share"))
 
 
 @query("e13_recent_spine", """

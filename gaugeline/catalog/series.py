@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from gaugeline import functions as G
 from gaugeline.catalog.base import (
     DAILY_BLOCK,
     MEASURES,
     Tables,
+    c,
     qr,
     qrs,
     query,
@@ -218,7 +218,7 @@ def fingerprint(windows_df, time_col, *extra):
     return windows_df.select(
         "station_id", "window_start", "window_id", F.element_at(first, 1).alias("first"),
         F.element_at(first, -1).alias("last"),
-        G.rounded(F.aggregate(first, F.lit(0.0), lambda a, x: a + x), 4).alias("total"), *extra)
+        c(F.aggregate(first, F.lit(0.0), lambda a, x: a + x), 4).alias("total"), *extra)
 
 
 @query("w1_sliding_windows", sql_windows("(SELECT station_id, hour, CAST(n_readings AS DOUBLE) AS n FROM hour_wide) h",
@@ -245,7 +245,7 @@ def pairs(t: Tables, horizon: int):
 
 
 def edges(found):
-    return found.withColumns({"first": G.rounded(F.col("first"), 6), "last": G.rounded(F.col("last"), 6)})
+    return found.withColumns({"first": c(F.col("first")), "last": c(F.col("last"))})
 
 
 @query("w2_training_pairs", f"SELECT station_id, window_start, window_id, {qr('first', 'first')}, {qr('last', 'last')}, "
@@ -253,7 +253,7 @@ def edges(found):
        + sql_windows(f"(SELECT *, LEAD(water_level, 72) OVER (PARTITION BY station_id ORDER BY day) AS label "
                      f"FROM {SCALED_DAILY}) l", "day", "flow_rate", 1, ", label") + ") e", "daily_load")
 def w2(spark, sf):
-    found = fingerprint(pairs(Tables(spark, sf), 1), "day", G.rounded(F.col("label")[0], 6).alias("label"))
+    found = fingerprint(pairs(Tables(spark, sf), 1), "day", c(F.col("label")[0]).alias("label"))
     return edges(found)
 
 
@@ -267,8 +267,8 @@ def w3(spark, sf):
     found = pairs(Tables(spark, sf), 24)
     total = F.aggregate("label", F.lit(0.0), lambda a, x: a + x)
     return found.select(
-        "station_id", "window_start", "window_id", G.rounded(F.element_at("label", 1), 6).alias("label_first"),
-        G.rounded(F.element_at("label", -1), 6).alias("label_last"), G.rounded(total, 4).alias("label_sum"))
+        "station_id", "window_start", "window_id", c(F.element_at("label", 1)).alias("label_first"),
+        c(F.element_at("label", -1)).alias("label_last"), c(total, 4).alias("label_sum"))
 
 
 LAST_ROWS = """(SELECT *, n_rows - rank + 1 AS pos FROM (SELECT *, COUNT(*) OVER (PARTITION BY station_id) AS n_rows
@@ -337,4 +337,4 @@ def w13_arrays(spark, sf):
     found = windows.sliding_windows(dense, KEY, "hour", ["water_level"], block=WEEK, chunk=128)
     energy = F.transform("window", lambda x: x[0] / 10)
     return found.withColumn("context", windows.pool_window(F.col("window"), energy)).select(
-        "station_id", "window_id", G.rounded(F.col("context")[0], 6).alias("context_water_level"))
+        "station_id", "window_id", c(F.col("context")[0]).alias("context_water_level"))

@@ -7,6 +7,7 @@ from gaugeline.catalog.base import (
     AS_OF,
     VIEWS,
     Tables,
+    half_up,
     query,
     sql_grade,
 )
@@ -30,7 +31,7 @@ SELECT 'WARN-' || strftime(publish_time, '%Y%m%d%H%M%S') || '-' || {SUFFIX.forma
          replace(regexp_replace({_sql_text(2)}, '%s', station_name), '%s', level_text) AS content,
          station_id AS affected_location, hour AS publish_time, hour + INTERVAL 24 HOUR AS expire_time, 1 AS status
   FROM (SELECT h.station_id, h.hour, COALESCE(s.name, h.station_id) AS station_name,
-               CAST(ROUND(water_level, 2) AS VARCHAR) AS level_text, {sql_grade('water_level')} AS risk_level
+               CAST({half_up('water_level')} AS VARCHAR) AS level_text, {sql_grade('water_level')} AS risk_level
         FROM hour_wide h LEFT JOIN station s ON s.id = h.station_id) g WHERE risk_level > 0) w""")
 # Station-hours with a failed sensor cancel the warning of that hour, if there is one.
 VIEWS["cancelled"] = (("hour_wide", "reading", "flood_warning"), """

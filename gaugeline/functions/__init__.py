@@ -1,6 +1,7 @@
 """Column expressions shared by the operators."""
 
 from gaugeline.functions.numbers import (
+    bind,
     floor_zero,
     guarded,
     nan_to_null,
@@ -20,7 +21,7 @@ from gaugeline.functions.times import (
 )
 
 __all__ = [
-    "add_hours", "age_days", "as_moment", "clock_time", "code_label", "compact_time", "epoch",
+    "add_hours", "age_days", "as_moment", "bind", "clock_time", "code_label", "compact_time", "epoch",
     "floor_zero", "guarded", "hash_suffix", "interval_seconds", "iso_time", "nan_to_null",
     "numbered", "parse_iso", "rounded", "softmax_weight", "time_bin",
 ]

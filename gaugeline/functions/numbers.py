@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,3 +31,12 @@ def rounded(value: Column, digits: int = 2) -> Column:
 def softmax_weight(energy: Column, peak: Column, total: Column) -> Column:
     """Weight of one step, given the peak energy and the sum of ``exp(energy - peak)``."""
     return F.exp(energy - peak) / total
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value`` with the value computed once per row.
+
+    Inside a lambda an outer expression is computed anew for every element; a
+    lambda variable is not.
+    """
+    return F.transform(F.array(value), body)[0]

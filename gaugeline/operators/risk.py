@@ -69,8 +69,8 @@ def grade_by_band(df: DataFrame, level_col: str, thresholds: DataFrame,
     else:
         packed = thresholds.agg(F.sort_array(F.collect_list(
             F.struct("min_level", "level", "name", "confidence")))).scalar()
-        joined = df.withColumn("_band", F.try_element_at(
-            F.filter(packed, lambda t: t["min_level"] <= level), F.lit(-1)))
+        joined = df.withColumn("_packed", packed).withColumn("_band", F.try_element_at(
+            F.filter("_packed", lambda t: t["min_level"] <= level), F.lit(-1)))
         found = {"risk_level": F.col("_band.level"), "risk_name": F.col("_band.name"),
                  "confidence": F.col("_band.confidence")}
     number, name, confidence = C.NO_RISK

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeline import constants as C
-from gaugeline.functions import guarded, softmax_weight
+from gaugeline.functions import bind, guarded, softmax_weight
 from gaugeline.operators import blocks as B
 from gaugeline.operators import scale
 
@@ -167,9 +167,12 @@ def attention_pool(steps: DataFrame, window: Sequence[str], energy: str,
 
 def pool_window(window: Column, energy: Column) -> Column:
     """Context vector of one ``array<array<double>>`` window and its energies, as an array."""
-    peak = F.array_max(energy)
-    raised = F.transform(energy, lambda e: F.exp(e - peak))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    weighted = F.zip_with(window, raised, lambda row, w: F.transform(row, lambda x: x * w / total))
-    zero = F.transform(window[0], lambda x: F.lit(0.0))
-    return F.aggregate(weighted, zero, lambda a, row: F.zip_with(a, row, lambda x, y: x + y))
+    def weighted_sum(raised: Column, total: Column) -> Column:
+        rows = F.zip_with(window, raised, lambda row, w: F.transform(row, lambda x: x * w / total))
+        zero = F.transform(window[0], lambda x: F.lit(0.0))
+        return F.aggregate(rows, zero, lambda a, row: F.zip_with(a, row, lambda x, y: x + y))
+
+    return bind(F.array_max(energy), lambda peak: bind(
+        F.transform(energy, lambda e: F.exp(e - peak)), lambda raised: bind(
+            F.aggregate(raised, F.lit(0.0), lambda a, x: a + x),
+            lambda total: weighted_sum(raised, total))))

@@ -89,7 +89,7 @@ def score(history: DataFrame, scorer="seasonal_naive", horizon: int = C.HORIZON)
     """
     if isinstance(scorer, str):
         return history.withColumn("predicted", SCORERS[scorer](horizon))
-    scaled = history.withColumn("predicted", scorer.predict(scaled_input(), history.sparkSession))
+    scaled = scorer.predict(history, scaled_input())
     return scaled.withColumn("predicted", windows.unscale(
         F.col("predicted"), F.col("target_mean"), F.col("target_std")))
 

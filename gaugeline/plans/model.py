@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline import constants as C
-from gaugeline.functions import as_moment, epoch
+from gaugeline.functions import as_moment, bind, epoch
 from gaugeline.operators import blocks as B
 from gaugeline.sources import dims
 
@@ -69,16 +69,17 @@ class LevelModel:
                                 strength=pa.float64(), train_loss=pa.float64(),
                                 validation_loss=pa.float64())
 
-    def predict(self, vector: Column, spark: SparkSession) -> Column:
-        """Array of scaled levels from a scaled, flattened window; no Python in the plan."""
-        packed = self.coefficients(spark).agg(F.sort_array(F.collect_list(
+    def predict(self, df: DataFrame, vector: Column, name: str = "predicted") -> DataFrame:
+        """Adds the array of scaled levels of a scaled, flattened window; no Python in the plan."""
+        packed = self.coefficients(df.sparkSession).agg(F.sort_array(F.collect_list(
             F.struct("hour_ahead", "intercept", "weights")))).scalar()
 
-        def level(c):
-            products = F.zip_with(c["weights"], vector, lambda w, x: w * x)
+        def level(c, x):
+            products = F.zip_with(c["weights"], x, lambda w, v: w * v)
             return F.aggregate(products, c["intercept"], lambda total, p: total + p)
 
-        return F.transform(packed, level)
+        levels = bind(vector, lambda x: F.transform("_model", lambda c: level(c, x)))
+        return df.withColumn("_model", packed).withColumn(name, levels).drop("_model")
 
     def save(self, spark: SparkSession, path: str) -> None:
         settings = json.dumps({"version": self.version, "strength": self.strength, **self.parameters})
