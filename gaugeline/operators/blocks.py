@@ -7,8 +7,10 @@ border travels in a summary of one row per block. The summary is built with
 map-side aggregation, carried along each series (a few blocks per year of data),
 and joined back on ``(keys, block)``, the partitioning the rows already have.
 
-Rows need a non-NULL time to have a place in a series; rows without one are kept
-and get nothing carried.
+The series key is one struct column. It is never NULL, so joining on it adds no
+filter to either side: rows with a NULL key form a series of their own as in any
+SQL window, and both sides keep the same plan below, so Spark reads and shuffles
+it once. Rows without a time sort before all others of their series.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import epoch, guarded, interval_seconds
 
-BLOCK = "_block"
+SERIES, BLOCK = "_series", "_block"
+#: Block of the rows without a time.
+NO_TIME = -(10**9)
 #: 672 rows of an hourly series.
 DEFAULT_BLOCK = "28 days"
 
@@ -33,93 +37,120 @@ def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def with_block(df: DataFrame, time_col: str, block: str = DEFAULT_BLOCK) -> DataFrame:
+def with_block(df: DataFrame, keys: Sequence[str], time_col: str,
+               block: str = DEFAULT_BLOCK) -> DataFrame:
+    """The key columns packed into the series key, and the block of each row.
+
+    :func:`restore` unpacks them; meanwhile rows carry their key once.
+    """
     seconds = interval_seconds(block)
     moment = epoch(F.col(time_col))
-    return df.withColumn(BLOCK, ((moment - F.pmod(moment, F.lit(seconds))) / seconds).cast("long"))
+    number = ((moment - F.pmod(moment, F.lit(seconds))) / seconds).cast("long")
+    return df.withColumns({SERIES: F.struct(*keys), BLOCK: F.coalesce(number, F.lit(NO_TIME))}).drop(*keys)
+
 
+def restore(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """``columns`` in order, the keys among them unpacked."""
+    return df.select(*[F.col(f"{SERIES}.{c}").alias(c) if c in keys else F.col(c) for c in columns])
 
-def in_block(keys: Sequence[str], *order: Column | str):
-    return W.partitionBy(*keys, BLOCK).orderBy(*order)
 
+def in_block(*order: Column | str):
+    return W.partitionBy(SERIES, BLOCK).orderBy(*order)
 
-def along(keys: Sequence[str]):
+
+def along():
     """Window over the block summary of one series, oldest first."""
-    return W.partitionBy(*keys).orderBy(BLOCK)
+    return W.partitionBy(SERIES).orderBy(BLOCK)
 
 
-def along_back(keys: Sequence[str]):
+def along_back():
     """The same, newest first: what lies ahead becomes a running frame."""
-    return W.partitionBy(*keys).orderBy(F.col(BLOCK).desc())
+    return W.partitionBy(SERIES).orderBy(F.col(BLOCK).desc())
+
 
+def whole():
+    """Window over all blocks of one series."""
+    return W.partitionBy(SERIES)
 
-def join_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    return df.join(summary, [*keys, BLOCK], how)
 
+def join_summary(df: DataFrame, summary: DataFrame, how: str = "left") -> DataFrame:
+    return df.join(summary, [SERIES, BLOCK], how)
 
-def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              name: str = "_idx") -> DataFrame:
+
+def row_index(df: DataFrame, order: Sequence[str], name: str = "_idx") -> DataFrame:
     """0-based position in the series, in ``order``; ``df`` carries its block."""
-    counts = df.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(SERIES, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        *keys, BLOCK,
-        F.coalesce(F.sum("_n").over(along(keys).rowsBetween(*_past)), F.lit(0)).alias("_offset"))
-    numbered = df.withColumn("_rn", F.row_number().over(in_block(keys, *order)))
-    return (join_summary(numbered, offsets, keys)
+        SERIES, BLOCK,
+        F.coalesce(F.sum("_n").over(along().rowsBetween(*_past)), F.lit(0)).alias("_offset"))
+    numbered = df.withColumn("_rn", F.row_number().over(in_block(*order)))
+    return (join_summary(numbered, offsets)
             .withColumn(name, (F.col("_rn") - 1 + F.coalesce("_offset", F.lit(0))).cast("long"))
             .drop("_rn", "_offset"))
 
 
-def known_summary(df: DataFrame, keys: Sequence[str], position: Column,
-                  measures: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
-    """Per block, the last known point of all earlier blocks and the first of all later ones.
-
-    A point is ``struct(at, x)`` with ``at`` the position. Results are named
-    ``_before_<measure>`` and ``_after_<measure>``.
-    """
+def block_points(df: DataFrame, position: Column, measures: Sequence[str],
+                 extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per block with the position and value of its first and last known points."""
     points = []
     for m in measures:
         # Position and value apart: plain numbers keep this a hash aggregate.
         at = F.when(F.col(m).isNotNull(), position)
         points += [F.max(at).alias(f"_last_at_{m}"), F.max_by(m, at).alias(f"_last_x_{m}"),
                    F.min(at).alias(f"_first_at_{m}"), F.min_by(m, at).alias(f"_first_x_{m}")]
-    found = df.groupBy(*keys, BLOCK).agg(*points, *extra)
-    behind = along(keys).rowsBetween(*_past)
-    ahead = along_back(keys).rowsBetween(*_past)
+    return df.groupBy(SERIES, BLOCK).agg(*points, *extra)
+
 
+def carry_points(blocks: DataFrame, measures: Sequence[str], shift: Column | None = None) -> DataFrame:
+    """Adds ``_before_<m>``, the last known point of all earlier blocks, and ``_after_<m>``,
+    the first one of all later blocks. A point is ``struct(at, x)``; ``shift`` is added to
+    positions that count from the start of a block.
+    """
     def point(end: str, m: str) -> Column:
         at = F.col(f"_{end}_at_{m}")
-        return F.when(at.isNotNull(), F.struct(at.alias("at"), F.col(f"_{end}_x_{m}").alias("x")))
+        place = at if shift is None else at + shift
+        return F.when(at.isNotNull(), F.struct(place.alias("at"), F.col(f"_{end}_x_{m}").alias("x")))
 
-    carried = {f"_before_{m}": F.last(point("last", m), ignorenulls=True).over(behind) for m in measures}
-    carried |= {f"_after_{m}": F.last(point("first", m), ignorenulls=True).over(ahead) for m in measures}
+    behind, ahead = along().rowsBetween(*_past), along_back().rowsBetween(*_past)
+    carried = {f"_after_{m}": F.last(point("first", m), ignorenulls=True).over(ahead) for m in measures}
+    carried |= {f"_before_{m}": F.last(point("last", m), ignorenulls=True).over(behind) for m in measures}
     ends = [f"_{end}_{part}_{m}" for end in ("last", "first") for part in ("at", "x") for m in measures]
-    return found.withColumns(carried).drop(*ends) if measures else found
+    return blocks.withColumns(carried).drop(*ends) if measures else blocks
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], position: Column,
-               measures: Sequence[str]) -> DataFrame:
-    """Adds ``_prev_<m>`` (known point at or before a row) and ``_next_<m>`` (after it).
+def neighbours(df: DataFrame, position: str, measures: Sequence[str],
+               order: Sequence[str] = ()) -> DataFrame:
+    """Adds ``_prev_<m>``, the known point of the block at or before a row, and ``_next_<m>`` after it.
 
-    ``df`` carries its block and the columns of :func:`known_summary`.
+    Rows are in ``order``, by default that of their position. Called before the
+    summary is joined, the join needs no sort of its own.
     """
-    forward = in_block(keys, position).rowsBetween(*_past_and_self)
-    backward = in_block(keys, position.desc()).rowsBetween(*_past)
-    found = {}
-    for m in measures:
-        point = F.when(F.col(m).isNotNull(), F.struct(position.alias("at"), F.col(m).alias("x")))
-        found[f"_prev_{m}"] = F.coalesce(
-            F.last(point, ignorenulls=True).over(forward), F.col(f"_before_{m}"))
-    for m in measures:
-        point = F.when(F.col(m).isNotNull(), F.struct(position.alias("at"), F.col(m).alias("x")))
-        found[f"_next_{m}"] = F.coalesce(
-            F.last(point, ignorenulls=True).over(backward), F.col(f"_after_{m}"))
-    return df.withColumns(found).drop(*[f"_before_{m}" for m in measures],
-                                      *[f"_after_{m}" for m in measures])
+    at, order = F.col(position), list(order) or [position]
+    forward = in_block(*order).rowsBetween(*_past_and_self)
+    backward = in_block(*[F.col(c).desc() for c in order]).rowsBetween(*_past)
+
+    def point(m: str) -> Column:
+        return F.when(F.col(m).isNotNull(), F.struct(at.alias("at"), F.col(m).alias("x")))
+
+    found = {f"_prev_{m}": F.last(point(m), ignorenulls=True).over(forward) for m in measures}
+    found |= {f"_next_{m}": F.last(point(m), ignorenulls=True).over(backward) for m in measures}
+    return df.withColumns(found) if measures else df
+
+
+def beyond_block(df: DataFrame, measures: Sequence[str], shift: Column | None = None) -> DataFrame:
+    """Completes the neighbours of the block by the carried points of the joined summary."""
+    def near(name: str) -> Column:
+        point = F.col(name)
+        if shift is None:
+            return point
+        return F.when(point.isNotNull(), F.struct((point["at"] + shift).alias("at"), point["x"].alias("x")))
+
+    found = {f"_prev_{m}": F.coalesce(near(f"_prev_{m}"), F.col(f"_before_{m}")) for m in measures}
+    found |= {f"_next_{m}": F.coalesce(near(f"_next_{m}"), F.col(f"_after_{m}")) for m in measures}
+    return df.withColumns(found) if measures else df
 
 
-def attach_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
-                 wanted: Sequence[str]) -> DataFrame:
+def attach_stats(df: DataFrame, measures: Sequence[str], wanted: Sequence[str]) -> DataFrame:
     """Adds ``_<stat>_<measure>`` over each whole series; ``df`` carries its block.
 
     ``wanted`` names among count, mean, std_pop, std_samp, min, max. Blocks are
@@ -131,8 +162,8 @@ def attach_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
         n = F.count(m)
         parts += [n.alias(f"_n_{m}"), F.avg(m).alias(f"_a_{m}"), (F.var_pop(m) * n).alias(f"_q_{m}"),
                   F.min(m).alias(f"_lo_{m}"), F.max(m).alias(f"_hi_{m}")]
-    blocks = df.groupBy(*keys, BLOCK).agg(*parts)
-    series = W.partitionBy(*keys)
+    blocks = df.groupBy(SERIES, BLOCK).agg(*parts)
+    series = whole()
     means = {}
     for m in measures:
         means[f"_count_{m}"] = F.sum(f"_n_{m}").over(series)
@@ -150,4 +181,4 @@ def attach_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
         spreads[f"_std_samp_{m}"] = F.when(count > 1, F.sqrt(square / guarded(count - 1)))
     merged = merged.withColumns(spreads)
     names = [f"_{stat}_{m}" for stat in wanted for m in measures]
-    return join_summary(df, merged.select(*keys, BLOCK, *names), keys)
+    return join_summary(df, merged.select(SERIES, BLOCK, *names))

@@ -25,13 +25,13 @@ def _with_stats(df: DataFrame, measures, wanted, keys, time_col, block):
         return df, lambda s, m: stats[f"{s}_{m}"]
     if time_col is None:
         raise ValueError("statistics per series need time_col to cut the series into blocks")
-    attached = B.attach_stats(B.with_block(df, time_col, block), keys, measures, wanted)
+    attached = B.attach_stats(B.with_block(df, keys, time_col, block), measures, wanted)
     return attached, lambda s, m: F.col(f"_{s}_{m}")
 
 
-def _replaced(df: DataFrame, out: DataFrame, changes: dict[str, Column]) -> DataFrame:
+def _replaced(df: DataFrame, out: DataFrame, changes: dict[str, Column], keys) -> DataFrame:
     names = list(df.columns) + [c for c in changes if c not in df.columns]
-    return out.withColumns(changes).select(*names)
+    return B.restore(out.withColumns(changes), names, keys)
 
 
 def normalize(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = (),
@@ -39,7 +39,7 @@ def normalize(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = (),
     """Min-Max scaling; a constant column becomes 0, NULL stays NULL."""
     out, stat = _with_stats(df, measures, ["min", "max"], list(keys), time_col, block)
     return _replaced(df, out, {
-        m: (F.col(m) - stat("min", m)) / guarded(stat("max", m) - stat("min", m)) for m in measures})
+        m: (F.col(m) - stat("min", m)) / guarded(stat("max", m) - stat("min", m)) for m in measures}, keys)
 
 
 def standardize(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = (),
@@ -47,7 +47,7 @@ def standardize(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = ()
     """Z-score with the population deviation; a constant column becomes 0."""
     out, stat = _with_stats(df, measures, ["mean", "std_pop"], list(keys), time_col, block)
     return _replaced(df, out, {
-        m: (F.col(m) - stat("mean", m)) / guarded(stat("std_pop", m)) for m in measures})
+        m: (F.col(m) - stat("mean", m)) / guarded(stat("std_pop", m)) for m in measures}, keys)
 
 
 def flag_anomalies(df: DataFrame, measure: str, threshold: float = 3.0, keys: Sequence[str] = (),
@@ -56,4 +56,4 @@ def flag_anomalies(df: DataFrame, measure: str, threshold: float = 3.0, keys: Se
     """Rows farther than ``threshold`` sample deviations from the mean; never NULL."""
     out, stat = _with_stats(df, [measure], ["mean", "std_samp"], list(keys), time_col, block)
     far = F.abs(F.col(measure) - stat("mean", measure)) > threshold * stat("std_samp", measure)
-    return _replaced(df, out, {flag: F.coalesce(far, F.lit(False))})
+    return _replaced(df, out, {flag: F.coalesce(far, F.lit(False))}, keys)

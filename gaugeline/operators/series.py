@@ -32,12 +32,12 @@ def resample_mean(df: DataFrame, keys: Sequence[str], time_col: str, measures: S
     if 86400 % seconds == 0:
         binned = df.withColumn(time_col, time_bin(F.col(time_col), seconds))
     else:
-        blocked = B.with_block(df, time_col, block)
-        first = (blocked.groupBy(*keys, B.BLOCK).agg(F.min(time_col).alias("_first"))
-                 .withColumn("_first", F.min("_first").over(W.partitionBy(*keys))))
+        blocked = B.with_block(df, keys, time_col, block)
+        first = (blocked.groupBy(B.SERIES, B.BLOCK).agg(F.min(time_col).alias("_first"))
+                 .withColumn("_first", F.min("_first").over(B.whole())))
         origin = epoch(F.date_trunc("day", F.col("_first")))
-        binned = B.join_summary(blocked, first, keys).withColumn(
-            time_col, time_bin(F.col(time_col), seconds, origin))
+        binned = B.restore(B.join_summary(blocked, first).withColumn(
+            time_col, time_bin(F.col(time_col), seconds, origin)), df.columns, keys)
     aggregates = [F.avg(m).alias(m) for m in measures]
     if count:
         aggregates.append(F.count(F.lit(1)).alias(count))
@@ -67,14 +67,13 @@ def _spread(df: DataFrame, time_col: str, seconds: int) -> DataFrame:
             .drop("_until"))
 
 
-def _bin_summary(bins: DataFrame, keys: list[str], time_col: str, measures: Sequence[str]) -> DataFrame:
+def _bin_summary(bins: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Block summary with carried points, the next block's first bin and the series' ends."""
-    at = epoch(F.col(time_col))
-    series = W.partitionBy(*keys)
-    return (B.known_summary(bins, keys, at, measures,
-                            [F.min(at).alias("_lo"), F.max(at).alias("_hi")])
-            .withColumns({"_until_next": F.lead("_lo").over(B.along(keys)),
-                          "_first": F.min("_lo").over(series), "_last": F.max("_hi").over(series)})
+    at = F.col("_at")
+    points = B.block_points(bins, at, measures, [F.min(at).alias("_lo"), F.max(at).alias("_hi")])
+    return (B.carry_points(points, measures)
+            .withColumns({"_until_next": F.lead("_lo").over(B.along()),
+                          "_first": F.min("_lo").over(B.whole()), "_last": F.max("_hi").over(B.whole())})
             .drop("_lo", "_hi"))
 
 
@@ -91,27 +90,32 @@ def dense_series(bins: DataFrame, keys: Sequence[str], time_col: str, measures:
     Gaps are expanded from the existing rows, so the spine needs no join.
     """
     keys, seconds = list(keys), interval_seconds(interval)
-    blocked = B.with_block(bins, time_col, block)
-    summary = _bin_summary(blocked, keys, time_col, measures if fill else [])
+    filled = list(measures) if fill else []
+    dated = bins.filter(F.col(time_col).isNotNull())
+    blocked = B.with_block(dated, keys, time_col, block).withColumn("_at", epoch(F.col(time_col)))
+    summary = _bin_summary(blocked, filled)
+
+    def local(rows: DataFrame) -> DataFrame:
+        ahead = rows.withColumn("_until", F.lead("_at").over(B.in_block("_at")))
+        return B.neighbours(ahead, "_at", filled)
+
     if last is None:
-        rows = B.join_summary(blocked, summary, keys, "inner")
+        rows = B.join_summary(local(blocked), summary)
     else:
         tail = F.col("_last") - (last - 1) * seconds
         until = F.coalesce(F.col("_until_next"), F.col("_last") + seconds)
-        rows = B.join_summary(blocked, summary.filter(until > tail), keys, "inner")
+        rows = local(B.join_summary(blocked, summary.filter(until > tail), "inner"))
     at = epoch(F.col(time_col))
-    if fill:
-        rows = B.neighbours(rows, keys, at, measures)
-    rows = rows.withColumn("_until", F.coalesce(
-        F.lead(at).over(B.in_block(keys, at)), F.col("_until_next")))
+    rows = B.beyond_block(rows, filled).withColumn("_until", F.coalesce("_until", "_until_next"))
     spine = _spread(rows, time_col, seconds)
     if last is not None:
         spine = spine.filter(at > F.col("_last") - last * seconds)
     here = F.col("_ahead") == 0
     plain = spine.withColumns({c: F.when(here, F.col(c)) for c in [*measures, *passed]})
     values = [line(m, at, False).alias(m) if fill else F.col(m) for m in measures]
-    return plain.select(*keys, time_col, *values, *passed,
-                        ((at - F.col("_first")) / seconds).cast("long").alias("step"))
+    placed = plain.select(B.SERIES, time_col, *values, *passed,
+                          ((at - F.col("_first")) / seconds).cast("long").alias("step"))
+    return B.restore(placed, [*keys, time_col, *measures, *passed, "step"], keys)
 
 
 def resample(df: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
@@ -144,25 +148,29 @@ def recent_spine(ends: DataFrame, end_col: str, time_col: str = "hour", length:
 def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
                  tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """The last known value of each measure; leading gaps stay NULL."""
-    keys = list(keys)
-    blocked = B.with_block(df, time_col, block)
-    order = F.struct(time_col, *tie)
-    joined = B.join_summary(blocked, B.known_summary(blocked, keys, order, measures), keys)
-    window = B.in_block(keys, time_col, *tie).rowsBetween(W.unboundedPreceding, W.currentRow)
-    filled = {m: F.coalesce(F.last(m, ignorenulls=True).over(window), F.col(f"_before_{m}")["x"])
-              for m in measures}
-    return joined.withColumns(filled).select(*df.columns)
+    blocked = B.with_block(df, keys, time_col, block)
+    order = F.struct(time_col, *tie) if tie else F.col(time_col)
+    summary = B.carry_points(B.block_points(blocked, order, measures), measures)
+    window = B.in_block(time_col, *tie).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = blocked.withColumns({m: F.last(m, ignorenulls=True).over(window) for m in measures})
+    filled = {m: F.coalesce(F.col(m), F.col(f"_before_{m}")["x"]) for m in measures}
+    return B.restore(B.join_summary(local, summary).withColumns(filled), df.columns, keys)
 
 
 def interpolate(df: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
                 tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """Linear between known neighbours by row position; both ends take the nearest value."""
-    keys = list(keys)
-    placed = B.row_index(B.with_block(df, time_col, block), keys, [time_col, *tie])
-    at = F.col("_idx")
-    joined = B.join_summary(placed, B.known_summary(placed, keys, at, measures), keys)
-    near = B.neighbours(joined, keys, at, measures)
-    return near.withColumns({m: line(m, at, True) for m in measures}).select(*df.columns)
+    blocked = B.with_block(df, keys, time_col, block)
+    placed = blocked.withColumn("_rn", F.row_number().over(B.in_block(time_col, *tie)))
+    points = B.block_points(placed, F.col("_rn"), measures, [F.count(F.lit(1)).alias("_n")])
+    before = F.coalesce(F.sum("_n").over(B.along().rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    shift = F.col("_offset")
+    summary = B.carry_points(points.withColumn("_offset", before), measures, shift)
+    local = B.neighbours(placed, "_rn", measures, [time_col, *tie])
+    joined = B.join_summary(local, summary)
+    near = B.beyond_block(joined, measures, shift)
+    at = F.col("_rn") + shift
+    return B.restore(near.withColumns({m: line(m, at, True) for m in measures}), df.columns, keys)
 
 
 def drop_missing(df: DataFrame, measures: Sequence[str] | None = None) -> DataFrame:
@@ -197,11 +205,11 @@ def daily_profile(df: DataFrame, keys: Sequence[str], time_col: str, measure: st
 def profile_residual(df: DataFrame, keys: Sequence[str], time_col: str, measure: str,
                      block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """Adds ``hour_of_day``, its ``profile`` mean and the ``residual`` from it."""
-    hourly = B.with_block(_hour_of_day(df, time_col), time_col, block)
-    out = B.attach_stats(hourly, [*keys, "hour_of_day"], [measure], ["mean"])
+    hourly = B.with_block(_hour_of_day(df, time_col), [*keys, "hour_of_day"], time_col, block)
+    out = B.attach_stats(hourly, [measure], ["mean"])
     profile = F.when(F.col(measure).isNotNull(), F.col(f"_mean_{measure}"))
-    return out.select(*df.columns, "hour_of_day", profile.alias("profile"),
-                      (F.col(measure) - profile).alias("residual"))
+    found = out.withColumns({"profile": profile, "residual": F.col(measure) - profile})
+    return B.restore(found, [*df.columns, "hour_of_day", "profile", "residual"], [*keys, "hour_of_day"])
 
 
 def daily_amplitude(df: DataFrame, keys: Sequence[str], time_col: str, measure: str) -> DataFrame:
@@ -222,27 +230,29 @@ def rain_events(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
     if length % seconds:
         raise ValueError("block must be a multiple of interval")
     at = epoch(F.col(time_col))
-    wet_rows = B.with_block(df.filter(F.col(measure) >= wet), time_col, block)
-    order = B.in_block(keys, time_col)
+    wet_rows = B.with_block(df.filter((F.col(measure) >= wet) & F.col(time_col).isNotNull()),
+                            keys, time_col, block)
+    order = B.in_block(time_col)
     joined = F.coalesce(F.lag(at).over(order) == at - seconds, F.lit(False))
     marked = wet_rows.withColumn("_new", F.when(joined, 0).otherwise(1))
     runs = (marked.withColumn("_run", F.sum("_new").over(
                 order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-            .groupBy(*keys, B.BLOCK, "_run")
+            .groupBy(B.SERIES, B.BLOCK, "_run")
             .agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"),
                  F.count(F.lit(1)).alias("hours"), F.sum(measure).alias("total"),
                  F.max(measure).alias("peak")))
     border = ((epoch(F.col("start")) == F.col(B.BLOCK) * length)
               | (epoch(F.col("end")) == (F.col(B.BLOCK) + 1) * length - seconds))
-    columns = [*keys, "start", "end", "hours", "total", "peak"]
+    columns = [*[F.col(f"{B.SERIES}.{k}").alias(k) for k in keys],
+               "start", "end", "hours", "total", "peak"]
     inner = runs.filter(~border).select(*columns)
-    by_start = W.partitionBy(*keys).orderBy("start")
+    by_start = B.whole().orderBy("start")
     follows = F.coalesce(epoch(F.lag("end").over(by_start)) == epoch(F.col("start")) - seconds,
                          F.lit(False))
     crossing = (runs.filter(border).withColumn("_new", F.when(follows, 0).otherwise(1))
                 .withColumn("_run", F.sum("_new").over(
                     by_start.rowsBetween(W.unboundedPreceding, W.currentRow)))
-                .groupBy(*keys, "_run")
+                .groupBy(B.SERIES, "_run")
                 .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                      F.sum("hours").alias("hours"), F.sum("total").alias("total"),
                      F.max("peak").alias("peak"))

@@ -33,8 +33,8 @@ def _chunked(df: DataFrame, position: str, overlap: int, chunk: int) -> DataFram
 def _positioned(df, keys, time_col, tie, position, block):
     if position is not None:
         return df, position
-    placed = B.row_index(B.with_block(df, time_col, block), list(keys), [time_col, *tie])
-    return placed.drop(B.BLOCK), "_idx"
+    placed = B.row_index(B.with_block(df, keys, time_col, block), [time_col, *tie])
+    return B.restore(placed, [*df.columns, "_idx"], keys), "_idx"
 
 
 def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features: Sequence[str],

@@ -39,10 +39,10 @@ def time_split(df: DataFrame, keys: Sequence[str], time_col: str, fraction: floa
     """
     if cutoff is not None:
         return df.withColumn("is_train", F.col(time_col) <= as_moment(cutoff))
-    timed = B.with_block(df, time_col, block).withColumn("_t", epoch(F.col(time_col)))
-    ends = B.attach_stats(timed, list(keys), ["_t"], ["min", "max"])
+    timed = B.with_block(df, keys, time_col, block).withColumn("_t", epoch(F.col(time_col)))
+    ends = B.attach_stats(timed, ["_t"], ["min", "max"])
     edge = F.col("_min__t") + F.floor((F.col("_max__t") - F.col("_min__t")) * F.lit(fraction))
-    return ends.withColumn("is_train", F.col("_t") <= edge).select(*df.columns, "is_train")
+    return B.restore(ends.withColumn("is_train", F.col("_t") <= edge), [*df.columns, "is_train"], keys)
 
 
 @dataclass
