@@ -120,12 +120,7 @@ def f4_trend(spark, sf):
 
 def fitted(t: Tables) -> model.LevelModel:
     """Model on the hourly series of all stations, split by time."""
-    split = model.time_split(t.resampled.na.drop(subset=MEASURES), KEY, "hour")
-
-    def windows_of(rows):
-        return windows.training_pairs(rows, KEY, "hour", MEASURES, horizon=24)
-
-    return model.fit(windows_of(split.filter("is_train")), windows_of(split.filter("NOT is_train")))
+    return model.fit_series(t.resampled, KEY, "hour", position="step")
 
 
 @query("f2_fit_loss_history")
@@ -225,7 +220,7 @@ JOIN (SELECT station_id, MAX(i) AS top FROM numbered GROUP BY 1) t ON t.station_
 WHERE a.i - 24 - h + 1 >= 0 AND a.i - 24 - h + 1 + 47 <= t.top GROUP BY 1""", "numbered")
 def a10(spark, sf):
     rows = Tables(spark, sf).resampled.filter("water_level IS NOT NULL")
-    errors = windows.horizon_errors(rows, KEY, "hour", block="7 days", chunk=128)
+    errors = windows.horizon_errors(rows, KEY, "hour", position="step", chunk=128)
     return errors.select("hour_ahead", "n", r("mse"))
 
 

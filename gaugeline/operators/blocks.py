@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeline.functions import epoch, guarded, interval_seconds
+from gaugeline.functions import epoch, interval_seconds
 
 SERIES, BLOCK = "_series", "_block"
 #: Block of the rows without a time.
@@ -29,12 +29,22 @@ NO_TIME = -(10**9)
 #: 672 rows of an hourly series.
 DEFAULT_BLOCK = "28 days"
 
-_past = (W.unboundedPreceding, -1)
-_past_and_self = (W.unboundedPreceding, W.currentRow)
 
 
-def as_list(names: str | Sequence[str]) -> list[str]:
-    return [names] if isinstance(names, str) else list(names)
+#: Frames and windows as SQL text: one call to the engine per column.
+_IN_BLOCK = f"PARTITION BY {SERIES}, {BLOCK} ORDER BY"
+_ALONG = f"(PARTITION BY {SERIES} ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_BACK = f"(PARTITION BY {SERIES} ORDER BY {BLOCK} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_WHOLE = f"(PARTITION BY {SERIES})"
+
+
+def sql_name(name: str) -> str:
+    """Column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns_of(texts: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in texts.items()}
 
 
 def with_block(df: DataFrame, keys: Sequence[str], time_col: str,
@@ -63,11 +73,6 @@ def along():
     return W.partitionBy(SERIES).orderBy(BLOCK)
 
 
-def along_back():
-    """The same, newest first: what lies ahead becomes a running frame."""
-    return W.partitionBy(SERIES).orderBy(F.col(BLOCK).desc())
-
-
 def whole():
     """Window over all blocks of one series."""
     return W.partitionBy(SERIES)
@@ -77,77 +82,92 @@ def join_summary(df: DataFrame, summary: DataFrame, how: str = "left") -> DataFr
     return df.join(summary, [SERIES, BLOCK], how)
 
 
+def rows_before(count: str = "_n") -> Column:
+    """Rows of a series in all earlier blocks, from the counts in the block summary."""
+    return F.expr(f"coalesce(sum({count}) OVER {_ALONG}, 0)")
+
+
 def row_index(df: DataFrame, order: Sequence[str], name: str = "_idx") -> DataFrame:
     """0-based position in the series, in ``order``; ``df`` carries its block."""
-    counts = df.groupBy(SERIES, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        SERIES, BLOCK,
-        F.coalesce(F.sum("_n").over(along().rowsBetween(*_past)), F.lit(0)).alias("_offset"))
+    counts = df.groupBy(SERIES, BLOCK).agg(F.expr("count(*) AS _n"))
+    offsets = counts.select(SERIES, BLOCK, rows_before().alias("_offset"))
     numbered = df.withColumn("_rn", F.row_number().over(in_block(*order)))
     return (join_summary(numbered, offsets)
-            .withColumn(name, (F.col("_rn") - 1 + F.coalesce("_offset", F.lit(0))).cast("long"))
+            .withColumn(name, F.expr("cast(_rn - 1 + coalesce(_offset, 0) AS bigint)"))
             .drop("_rn", "_offset"))
 
 
-def block_points(df: DataFrame, position: Column, measures: Sequence[str],
-                 extra: Sequence[Column] = ()) -> DataFrame:
-    """One row per block with the position and value of its first and last known points."""
-    points = []
-    for m in measures:
+def block_points(df: DataFrame, position: str, measures: Sequence[str],
+                 extra: Sequence[str] = ()) -> DataFrame:
+    """One row per block with the position and value of its first and last known points.
+
+    ``position`` and the ``extra`` aggregates are SQL texts.
+    """
+    points = list(extra)
+    for i, m in enumerate(map(sql_name, measures)):
         # Position and value apart: plain numbers keep this a hash aggregate.
-        at = F.when(F.col(m).isNotNull(), position)
-        points += [F.max(at).alias(f"_last_at_{m}"), F.max_by(m, at).alias(f"_last_x_{m}"),
-                   F.min(at).alias(f"_first_at_{m}"), F.min_by(m, at).alias(f"_first_x_{m}")]
-    return df.groupBy(SERIES, BLOCK).agg(*points, *extra)
+        at = f"CASE WHEN {m} IS NOT NULL THEN {position} END"
+        points += [f"max({at}) AS _last_at_{i}", f"max_by({m}, {at}) AS _last_x_{i}",
+                   f"min({at}) AS _first_at_{i}", f"min_by({m}, {at}) AS _first_x_{i}"]
+    return df.groupBy(SERIES, BLOCK).agg(*map(F.expr, points))
 
 
-def carry_points(blocks: DataFrame, measures: Sequence[str], shift: Column | None = None) -> DataFrame:
-    """Adds ``_before_<m>``, the last known point of all earlier blocks, and ``_after_<m>``,
-    the first one of all later blocks. A point is ``struct(at, x)``; ``shift`` is added to
-    positions that count from the start of a block.
+def carry_points(blocks: DataFrame, measures: Sequence[str], shift: str | None = None) -> DataFrame:
+    """Adds ``_before_<i>``, the last known point of all earlier blocks for the i-th measure, and
+    ``_after_<i>``, the first one of all later blocks. A point is ``struct(at, x)``; ``shift`` is
+    added to positions that count from the start of a block.
     """
-    def point(end: str, m: str) -> Column:
-        at = F.col(f"_{end}_at_{m}")
-        place = at if shift is None else at + shift
-        return F.when(at.isNotNull(), F.struct(place.alias("at"), F.col(f"_{end}_x_{m}").alias("x")))
+    def point(end: str, i: int) -> str:
+        at = f"_{end}_at_{i}"
+        place = at if shift is None else f"{at} + {shift}"
+        return f"CASE WHEN {at} IS NOT NULL THEN struct({place} AS at, _{end}_x_{i} AS x) END"
 
-    behind, ahead = along().rowsBetween(*_past), along_back().rowsBetween(*_past)
-    carried = {f"_after_{m}": F.last(point("first", m), ignorenulls=True).over(ahead) for m in measures}
-    carried |= {f"_before_{m}": F.last(point("last", m), ignorenulls=True).over(behind) for m in measures}
-    ends = [f"_{end}_{part}_{m}" for end in ("last", "first") for part in ("at", "x") for m in measures]
-    return blocks.withColumns(carried).drop(*ends) if measures else blocks
+    if not measures:
+        return blocks
+    count = range(len(measures))
+    carried = {f"_after_{i}": f"last({point('first', i)}, true) OVER {_BACK}" for i in count}
+    carried |= {f"_before_{i}": f"last({point('last', i)}, true) OVER {_ALONG}" for i in count}
+    ends = [f"_{end}_{part}_{i}" for end in ("last", "first") for part in ("at", "x") for i in count]
+    return blocks.withColumns(columns_of(carried)).drop(*ends)
 
 
 def neighbours(df: DataFrame, position: str, measures: Sequence[str],
                order: Sequence[str] = ()) -> DataFrame:
-    """Adds ``_prev_<m>``, the known point of the block at or before a row, and ``_next_<m>`` after it.
+    """Adds ``_prev_<i>``, the i-th measure's known point at or before a row in its block, and
+    ``_next_<i>``, the one after it.
 
     Rows are in ``order``, by default that of their position. Called before the
     summary is joined, the join needs no sort of its own.
     """
-    at, order = F.col(position), list(order) or [position]
-    forward = in_block(*order).rowsBetween(*_past_and_self)
-    backward = in_block(*[F.col(c).desc() for c in order]).rowsBetween(*_past)
+    if not measures:
+        return df
+    names = [sql_name(c) for c in (list(order) or [position])]
+    forward = f"({_IN_BLOCK} {', '.join(names)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    backward = (f"({_IN_BLOCK} {', '.join(n + ' DESC' for n in names)} "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 
-    def point(m: str) -> Column:
-        return F.when(F.col(m).isNotNull(), F.struct(at.alias("at"), F.col(m).alias("x")))
+    def point(m: str) -> str:
+        return f"CASE WHEN {m} IS NOT NULL THEN struct({position} AS at, {m} AS x) END"
 
-    found = {f"_prev_{m}": F.last(point(m), ignorenulls=True).over(forward) for m in measures}
-    found |= {f"_next_{m}": F.last(point(m), ignorenulls=True).over(backward) for m in measures}
-    return df.withColumns(found) if measures else df
+    found = {f"_prev_{i}": f"last({point(m)}, true) OVER {forward}"
+             for i, m in enumerate(map(sql_name, measures))}
+    found |= {f"_next_{i}": f"last({point(m)}, true) OVER {backward}"
+              for i, m in enumerate(map(sql_name, measures))}
+    return df.withColumns(columns_of(found))
 
 
-def beyond_block(df: DataFrame, measures: Sequence[str], shift: Column | None = None) -> DataFrame:
+def beyond_block(df: DataFrame, measures: Sequence[str], shift: str | None = None) -> DataFrame:
     """Completes the neighbours of the block by the carried points of the joined summary."""
-    def near(name: str) -> Column:
-        point = F.col(name)
+    def near(name: str) -> str:
         if shift is None:
-            return point
-        return F.when(point.isNotNull(), F.struct((point["at"] + shift).alias("at"), point["x"].alias("x")))
+            return name
+        return f"CASE WHEN {name} IS NOT NULL THEN struct({name}.at + {shift} AS at, {name}.x AS x) END"
 
-    found = {f"_prev_{m}": F.coalesce(near(f"_prev_{m}"), F.col(f"_before_{m}")) for m in measures}
-    found |= {f"_next_{m}": F.coalesce(near(f"_next_{m}"), F.col(f"_after_{m}")) for m in measures}
-    return df.withColumns(found) if measures else df
+    found = {}
+    for i in range(len(measures)):
+        found[f"_prev_{i}"] = f"coalesce({near(f'_prev_{i}')}, _before_{i})"
+        found[f"_next_{i}"] = f"coalesce({near(f'_next_{i}')}, _after_{i})"
+    return df.withColumns(columns_of(found)) if found else df
 
 
 def attach_stats(df: DataFrame, measures: Sequence[str], wanted: Sequence[str]) -> DataFrame:
@@ -157,28 +177,19 @@ def attach_stats(df: DataFrame, measures: Sequence[str], wanted: Sequence[str])
     aggregated on the map side and merged, so no row moves to get its statistics
     other than to its block.
     """
-    parts = []
-    for m in measures:
-        n = F.count(m)
-        parts += [n.alias(f"_n_{m}"), F.avg(m).alias(f"_a_{m}"), (F.var_pop(m) * n).alias(f"_q_{m}"),
-                  F.min(m).alias(f"_lo_{m}"), F.max(m).alias(f"_hi_{m}")]
-    blocks = df.groupBy(SERIES, BLOCK).agg(*parts)
-    series = whole()
-    means = {}
-    for m in measures:
-        means[f"_count_{m}"] = F.sum(f"_n_{m}").over(series)
-        means[f"_mean_{m}"] = (F.sum(F.col(f"_n_{m}") * F.col(f"_a_{m}")).over(series)
-                               / guarded(F.sum(f"_n_{m}").over(series)))
-        means[f"_min_{m}"] = F.min(f"_lo_{m}").over(series)
-        means[f"_max_{m}"] = F.max(f"_hi_{m}").over(series)
-    merged = blocks.withColumns(means)
-    spreads = {}
-    for m in measures:
-        gap = F.col(f"_a_{m}") - F.col(f"_mean_{m}")
-        square = F.sum(F.col(f"_q_{m}") + F.col(f"_n_{m}") * gap * gap).over(series)
-        count = F.col(f"_count_{m}")
-        spreads[f"_std_pop_{m}"] = F.sqrt(square / guarded(count))
-        spreads[f"_std_samp_{m}"] = F.when(count > 1, F.sqrt(square / guarded(count - 1)))
-    merged = merged.withColumns(spreads)
-    names = [f"_{stat}_{m}" for stat in wanted for m in measures]
-    return join_summary(df, merged.select(SERIES, BLOCK, *names))
+    parts, means, spreads = [], {}, {}
+    for i, m in enumerate(map(sql_name, measures)):
+        parts += [f"count({m}) AS _n_{i}", f"avg({m}) AS _a_{i}", f"var_pop({m}) * count({m}) AS _q_{i}",
+                  f"min({m}) AS _lo_{i}", f"max({m}) AS _hi_{i}"]
+        means |= {f"_count_{i}": f"sum(_n_{i}) OVER {_WHOLE}",
+                  f"_mean_{i}": f"sum(_n_{i} * _a_{i}) OVER {_WHOLE} / greatest(sum(_n_{i}) OVER {_WHOLE}, 1)",
+                  f"_min_{i}": f"min(_lo_{i}) OVER {_WHOLE}", f"_max_{i}": f"max(_hi_{i}) OVER {_WHOLE}"}
+        spreads[f"_square_{i}"] = f"sum(_q_{i} + _n_{i} * power(_a_{i} - _mean_{i}, 2)) OVER {_WHOLE}"
+    stats = {"count": "_count_{0}", "mean": "_mean_{0}", "min": "_min_{0}", "max": "_max_{0}",
+             "std_pop": "sqrt(_square_{0} / greatest(_count_{0}, 1))",
+             "std_samp": "CASE WHEN _count_{0} > 1 THEN sqrt(_square_{0} / greatest(_count_{0} - 1, 1)) END"}
+    blocks = df.groupBy(SERIES, BLOCK).agg(*map(F.expr, parts)).withColumns(columns_of(means))
+    if any(stat.startswith("std") for stat in wanted):
+        blocks = blocks.withColumns(columns_of(spreads))
+    named = [F.expr(stats[stat].format(i)).alias(f"_{stat}_{m}") for stat in wanted for i, m in enumerate(measures)]
+    return join_summary(df, blocks.select(SERIES, BLOCK, *named))

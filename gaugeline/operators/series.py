@@ -44,15 +44,20 @@ def resample_mean(df: DataFrame, keys: Sequence[str], time_col: str, measures: S
     return binned.groupBy(*keys, time_col).agg(*aggregates)
 
 
-def line(measure: str, at: Column, fill_lead: bool) -> Column:
-    """Value on the line between the known neighbours; the last one is held at the end."""
-    prev, nxt = F.col(f"_prev_{measure}"), F.col(f"_next_{measure}")
-    slope = (nxt["x"] - prev["x"]) / (nxt["at"] - prev["at"])
-    inner = prev["x"] + slope * (at - prev["at"])
-    return (F.when(F.col(measure).isNotNull(), F.col(measure))
-            .when(prev.isNull(), nxt["x"] if fill_lead else F.lit(None))
-            .when(nxt.isNull(), prev["x"])
-            .otherwise(inner))
+def _lines(measures: Sequence[str], at: str, fill_lead: bool) -> list[Column]:
+    """Values on the line between the known neighbours; the last one is held at the end.
+
+    ``at`` is the position as SQL text. A leading gap takes the first value or stays NULL.
+    """
+    values = []
+    for i, name in enumerate(measures):
+        m, prev, nxt = B.sql_name(name), f"_prev_{i}", f"_next_{i}"
+        values.append(F.expr(
+            f"CASE WHEN {m} IS NOT NULL THEN {m} "
+            f"WHEN {prev} IS NULL THEN {f'{nxt}.x' if fill_lead else 'NULL'} "
+            f"WHEN {nxt} IS NULL THEN {prev}.x "
+            f"ELSE {prev}.x + ({nxt}.x - {prev}.x) / ({nxt}.at - {prev}.at) * ({at} - {prev}.at) END").alias(name))
+    return values
 
 
 def _spread(df: DataFrame, time_col: str, seconds: int) -> DataFrame:
@@ -69,8 +74,7 @@ def _spread(df: DataFrame, time_col: str, seconds: int) -> DataFrame:
 
 def _bin_summary(bins: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Block summary with carried points, the next block's first bin and the series' ends."""
-    at = F.col("_at")
-    points = B.block_points(bins, at, measures, [F.min(at).alias("_lo"), F.max(at).alias("_hi")])
+    points = B.block_points(bins, "_at", measures, ["min(_at) AS _lo", "max(_at) AS _hi"])
     return (B.carry_points(points, measures)
             .withColumns({"_until_next": F.lead("_lo").over(B.along()),
                           "_first": F.min("_lo").over(B.whole()), "_last": F.max("_hi").over(B.whole())})
@@ -112,7 +116,7 @@ def dense_series(bins: DataFrame, keys: Sequence[str], time_col: str, measures:
         spine = spine.filter(at > F.col("_last") - last * seconds)
     here = F.col("_ahead") == 0
     plain = spine.withColumns({c: F.when(here, F.col(c)) for c in [*measures, *passed]})
-    values = [line(m, at, False).alias(m) if fill else F.col(m) for m in measures]
+    values = _lines(measures, f"unix_seconds({B.sql_name(time_col)})", False) if fill else list(measures)
     placed = plain.select(B.SERIES, time_col, *values, *passed,
                           ((at - F.col("_first")) / seconds).cast("long").alias("step"))
     return B.restore(placed, [*keys, time_col, *measures, *passed, "step"], keys)
@@ -149,11 +153,12 @@ def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, measures: Se
                  tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """The last known value of each measure; leading gaps stay NULL."""
     blocked = B.with_block(df, keys, time_col, block)
-    order = F.struct(time_col, *tie) if tie else F.col(time_col)
-    summary = B.carry_points(B.block_points(blocked, order, measures), measures)
+    order = [B.sql_name(c) for c in (time_col, *tie)]
+    position = f"struct({', '.join(order)})" if tie else order[0]
+    summary = B.carry_points(B.block_points(blocked, position, measures), measures)
     window = B.in_block(time_col, *tie).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = blocked.withColumns({m: F.last(m, ignorenulls=True).over(window) for m in measures})
-    filled = {m: F.coalesce(F.col(m), F.col(f"_before_{m}")["x"]) for m in measures}
+    filled = {m: F.coalesce(F.col(m), F.col(f"_before_{i}.x")) for i, m in enumerate(measures)}
     return B.restore(B.join_summary(local, summary).withColumns(filled), df.columns, keys)
 
 
@@ -162,15 +167,12 @@ def interpolate(df: DataFrame, keys: Sequence[str], time_col: str, measures: Seq
     """Linear between known neighbours by row position; both ends take the nearest value."""
     blocked = B.with_block(df, keys, time_col, block)
     placed = blocked.withColumn("_rn", F.row_number().over(B.in_block(time_col, *tie)))
-    points = B.block_points(placed, F.col("_rn"), measures, [F.count(F.lit(1)).alias("_n")])
-    before = F.coalesce(F.sum("_n").over(B.along().rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    shift = F.col("_offset")
-    summary = B.carry_points(points.withColumn("_offset", before), measures, shift)
+    points = B.block_points(placed, "_rn", measures, ["count(*) AS _n"])
+    summary = B.carry_points(points.withColumn("_offset", B.rows_before()), measures, "_offset")
     local = B.neighbours(placed, "_rn", measures, [time_col, *tie])
-    joined = B.join_summary(local, summary)
-    near = B.beyond_block(joined, measures, shift)
-    at = F.col("_rn") + shift
-    return B.restore(near.withColumns({m: line(m, at, True) for m in measures}), df.columns, keys)
+    near = B.beyond_block(B.join_summary(local, summary), measures, "_offset")
+    lines = dict(zip(measures, _lines(measures, "_rn + _offset", True)))
+    return B.restore(near.withColumns(lines), df.columns, keys)
 
 
 def drop_missing(df: DataFrame, measures: Sequence[str] | None = None) -> DataFrame:

@@ -97,20 +97,19 @@ def horizon_errors(df: DataFrame, keys: Sequence[str], time_col: str, target: st
     if season < horizon:
         raise ValueError("the season must cover the horizon")
     placed, pos = _positioned(df, keys, time_col, tie, position, block)
-    rows = placed.select(*keys, F.col(pos).alias("_pos"), F.col(target).alias("_x"))
+    rows = placed.select(*keys, F.col(pos).alias("_pos"), F.array(F.col(target).cast("double")).alias("_x"))
     pieces = _chunked(rows, "_pos", season + horizon - 1, chunk)
-    order = W.partitionBy(*keys, "_piece").orderBy("_pos")
     # The row is the first of the season; its origin is the season's last row.
-    complete = F.col("_own") & F.lead("_pos", season + horizon - 1).over(order).isNotNull()
-    errors = {}
-    for h in range(1, horizon + 1):
-        actual = F.lead("_x", season + h - 1).over(order)
-        forecast = F.col("_x") if h == 1 else F.lead("_x", h - 1).over(order)
-        errors[f"_e{h}"] = F.pow(forecast - actual, F.lit(2))
-    sums = pieces.withColumn("_complete", complete).withColumns(errors).filter("_complete").agg(
-        *[F.struct(F.lit(h).alias("hour_ahead"), F.count(f"_e{h}").alias("n"),
-                   F.avg(f"_e{h}").alias("mse")).alias(f"_s{h}") for h in range(1, horizon + 1)])
-    return sums.select(F.inline(F.array(*[F.col(f"_s{h}") for h in range(1, horizon + 1)])))
+    frame = W.partitionBy(*keys, "_piece").orderBy("_pos").rowsBetween(0, season + horizon - 1)
+    spans = pieces.withColumn("_span", F.flatten(F.collect_list("_x").over(frame))).filter(
+        F.col("_own") & (F.size("_span") == season + horizon))
+
+    def errors(h: int) -> str:
+        error = f"power(_span[{h - 1}] - _span[{season + h - 1}], 2)"
+        return f"struct({h} AS hour_ahead, count({error}) AS n, avg({error}) AS mse)"
+
+    hours = ", ".join(errors(h) for h in range(1, horizon + 1))
+    return spans.agg(F.expr(f"array({hours})").alias("_hours")).select(F.inline("_hours"))
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], time_col: str, n: int = C.WINDOW_ROWS,

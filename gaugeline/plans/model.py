@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from gaugeline import constants as C
 from gaugeline.functions import as_moment, bind, epoch
 from gaugeline.operators import blocks as B
+from gaugeline.operators import windows
+from gaugeline.session import cut_lineage
 from gaugeline.sources import dims
 
 #: Called per ridge strength with its number, training loss and validation loss.
@@ -146,3 +148,24 @@ def fit(train: DataFrame, validation: DataFrame | None = None, version: str = "l
     _, strength, beta = best
     settings = {"horizon": horizon, "windows": int(n), **(parameters or {})}
     return LevelModel(version, strength, beta[0].copy(), beta[1:].T.copy(), losses, settings)
+
+
+def fit_series(dense: DataFrame, keys: Sequence[str], time_col: str,
+               features: Sequence[str] = tuple(C.FEATURES), target: str = C.TARGET,
+               length: int = C.WINDOW_ROWS, horizon: int = C.HORIZON, fraction: float = 0.8,
+               position: str | None = None, block: str = B.DEFAULT_BLOCK, **options) -> LevelModel:
+    """Split every series by time, scale both parts by themselves, cut windows and fit.
+
+    The split series, one row per bin, is checkpointed: both parts are read from
+    it. Windows, many times its size, are only ever streamed into the sums.
+    """
+    known = dense.na.drop(subset=list(dict.fromkeys([*features, target])))
+    split = cut_lineage(time_split(known, keys, time_col, fraction, block=block))
+
+    def pairs(rows: DataFrame) -> DataFrame:
+        return windows.training_pairs(rows, keys, time_col, features, target, length, horizon,
+                                      position=position, block=block)
+
+    settings = {"features": list(features), "length": length, **options.pop("parameters", {})}
+    return fit(pairs(split.filter("is_train")), pairs(split.filter(~F.col("is_train"))),
+               horizon=horizon, parameters=settings, **options)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this package relies on; all can be set at run time.
 SQL_CONF = {
@@ -12,6 +14,9 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+#: Fixed when a session starts. Recording the Python call site of every column
+#: would triple the time to build a plan.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -30,7 +35,7 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_CONF, **conf}.items():
+    for key, value in {**SQL_CONF, **START_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
@@ -41,3 +46,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
     return f"{root.rstrip('/')}/{name}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` from a reliable checkpoint in the shared folder.
+
+    For a frame that several later steps read: its plan is run once, survives the
+    loss of executors, and later plans start from it. On a cluster the folder is
+    the one ``spark.checkpoint.dir`` names; only a local session gets its own.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="gaugeline-"))
+    return df.checkpoint()

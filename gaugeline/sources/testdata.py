@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.functions import nan_to_null, time_bin
+from gaugeline.constants import FEATURES
+from gaugeline.functions import time_bin
 from gaugeline.session import configure
 
 AS_OF = "2024-01-25 00:00:00"
@@ -32,35 +33,28 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long readings, one row per event."""
-    events = load(spark, sf_dir, "events").withColumn(
-        "k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
-    kind, value, ok = F.col("event_type"), nan_to_null(F.col("value")), F.col("k") > 0
-    quality = ok & (kind == "error")
-    return events.select(
-        F.concat(F.lit("S00"), (F.col("user_id") % 5 + 1).cast("string")).alias("station_id"),
-        F.when(kind == "view", "water_level").when(kind == "click", "rainfall")
-        .when(kind == "purchase", "flow_rate").when(kind == "signup", "temperature")
-        .otherwise("water_quality").alias("data_type"),
+    """Long readings, one row per event; a NaN value counts as not measured."""
+    events = load(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id", "event_type AS kind", "CASE WHEN NOT isnan(value) THEN value END AS value",
+        "cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS k")
+    return events.selectExpr(
+        "concat('S00', cast(user_id % 5 + 1 AS string)) AS station_id",
+        "CASE kind WHEN 'view' THEN 'water_level' WHEN 'click' THEN 'rainfall' WHEN 'purchase' THEN 'flow_rate' "
+        "WHEN 'signup' THEN 'temperature' ELSE 'water_quality' END AS data_type",
         "ts",
-        F.when(~ok, None).when(kind == "view", value / 5.0).when(kind == "click", value)
-        .when(kind == "purchase", value * 10.0).when(kind == "signup", value / 2.0 - 10.0)
-        .alias("value"),
-        F.when(quality, F.col("k") * 15 / F.lit(100.0)).alias("ph"),
-        F.when(quality, value).alias("turbidity"),
-        F.when(quality, value / 20.0).alias("dissolved_oxygen"),
-        F.when(F.col("k") == 0, "sensor failure").alias("error"),
-        "event_id")
+        "CASE WHEN k = 0 THEN NULL WHEN kind = 'view' THEN value / 5D WHEN kind = 'click' THEN value "
+        "WHEN kind = 'purchase' THEN value * 10D WHEN kind = 'signup' THEN value / 2D - 10D END AS value",
+        "CASE WHEN k > 0 AND kind = 'error' THEN k * 15 / 100D END AS ph",
+        "CASE WHEN k > 0 AND kind = 'error' THEN value END AS turbidity",
+        "CASE WHEN k > 0 AND kind = 'error' THEN value / 20D END AS dissolved_oxygen",
+        "CASE WHEN k = 0 THEN 'sensor failure' END AS error", "event_id")
 
 
 def hour_wide(readings: DataFrame) -> DataFrame:
     """Hourly means per station, one column per measure."""
-    def mean(kind):
-        return F.avg(F.when(F.col("data_type") == kind, F.col("value"))).alias(kind)
-
+    means = [F.expr(f"avg(CASE WHEN data_type = '{kind}' THEN value END) AS {kind}") for kind in FEATURES]
     return (readings.groupBy("station_id", time_bin(F.col("ts"), 3600).alias("hour"))
-            .agg(mean("water_level"), mean("flow_rate"), mean("rainfall"), mean("temperature"),
-                 F.count(F.lit(1)).alias("n_readings")))
+            .agg(*means, F.expr("count(*) AS n_readings")))
 
 
 def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
