@@ -112,61 +112,50 @@ def block_points(df: DataFrame, position: str, measures: Sequence[str],
     return df.groupBy(SERIES, BLOCK).agg(*map(F.expr, points))
 
 
-def carry_points(blocks: DataFrame, measures: Sequence[str], shift: str | None = None) -> DataFrame:
-    """Adds ``_before_<i>``, the last known point of all earlier blocks for the i-th measure, and
-    ``_after_<i>``, the first one of all later blocks. A point is ``struct(at, x)``; ``shift`` is
-    added to positions that count from the start of a block.
+def carry_points(blocks: DataFrame, measures: Sequence[str], shift: str = "") -> DataFrame:
+    """Adds ``_before_at_<i>`` and ``_before_x_<i>``, the last known point of all earlier blocks for
+    the i-th measure, and ``_after_...``, the first one of all later blocks. ``shift`` (SQL text
+    such as ``+ _offset``) is added to positions that count from the start of a block.
     """
-    def point(end: str, i: int) -> str:
-        at = f"_{end}_at_{i}"
-        place = at if shift is None else f"{at} + {shift}"
-        return f"CASE WHEN {at} IS NOT NULL THEN struct({place} AS at, _{end}_x_{i} AS x) END"
-
     if not measures:
         return blocks
-    count = range(len(measures))
-    carried = {f"_after_{i}": f"last({point('first', i)}, true) OVER {_BACK}" for i in count}
-    carried |= {f"_before_{i}": f"last({point('last', i)}, true) OVER {_ALONG}" for i in count}
-    ends = [f"_{end}_{part}_{i}" for end in ("last", "first") for part in ("at", "x") for i in count]
+    carried = {}
+    for name, end, over in (("after", "first", _BACK), ("before", "last", _ALONG)):
+        for i in range(len(measures)):
+            carried[f"_{name}_at_{i}"] = f"last(_{end}_at_{i} {shift}, true) OVER {over}"
+            carried[f"_{name}_x_{i}"] = f"last(_{end}_x_{i}, true) OVER {over}"
+    ends = [f"_{end}_{part}_{i}" for end in ("last", "first") for part in ("at", "x")
+            for i in range(len(measures))]
     return blocks.withColumns(columns_of(carried)).drop(*ends)
 
 
 def neighbours(df: DataFrame, position: str, measures: Sequence[str],
                order: Sequence[str] = ()) -> DataFrame:
-    """Adds ``_prev_<i>``, the i-th measure's known point at or before a row in its block, and
-    ``_next_<i>``, the one after it.
+    """Adds ``_prev_at_<i>`` and ``_prev_x_<i>``, the i-th measure's known point at or before a row
+    in its block, and ``_next_...``, the one after it.
 
     Rows are in ``order``, by default that of their position. Called before the
     summary is joined, the join needs no sort of its own.
     """
-    if not measures:
-        return df
     names = [sql_name(c) for c in (list(order) or [position])]
     forward = f"({_IN_BLOCK} {', '.join(names)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     backward = (f"({_IN_BLOCK} {', '.join(n + ' DESC' for n in names)} "
                 "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-
-    def point(m: str) -> str:
-        return f"CASE WHEN {m} IS NOT NULL THEN struct({position} AS at, {m} AS x) END"
-
-    found = {f"_prev_{i}": f"last({point(m)}, true) OVER {forward}"
-             for i, m in enumerate(map(sql_name, measures))}
-    found |= {f"_next_{i}": f"last({point(m)}, true) OVER {backward}"
-              for i, m in enumerate(map(sql_name, measures))}
-    return df.withColumns(columns_of(found))
+    found = {}
+    for name, over in (("prev", forward), ("next", backward)):
+        for i, m in enumerate(map(sql_name, measures)):
+            found[f"_{name}_at_{i}"] = f"last(CASE WHEN {m} IS NOT NULL THEN {position} END, true) OVER {over}"
+            found[f"_{name}_x_{i}"] = f"last({m}, true) OVER {over}"
+    return df.withColumns(columns_of(found)) if found else df
 
 
-def beyond_block(df: DataFrame, measures: Sequence[str], shift: str | None = None) -> DataFrame:
+def beyond_block(df: DataFrame, measures: Sequence[str], shift: str = "") -> DataFrame:
     """Completes the neighbours of the block by the carried points of the joined summary."""
-    def near(name: str) -> str:
-        if shift is None:
-            return name
-        return f"CASE WHEN {name} IS NOT NULL THEN struct({name}.at + {shift} AS at, {name}.x AS x) END"
-
     found = {}
-    for i in range(len(measures)):
-        found[f"_prev_{i}"] = f"coalesce({near(f'_prev_{i}')}, _before_{i})"
-        found[f"_next_{i}"] = f"coalesce({near(f'_next_{i}')}, _after_{i})"
+    for near, far in (("prev", "before"), ("next", "after")):
+        for i in range(len(measures)):
+            found[f"_{near}_at_{i}"] = f"coalesce(_{near}_at_{i} {shift}, _{far}_at_{i})"
+            found[f"_{near}_x_{i}"] = f"coalesce(_{near}_x_{i}, _{far}_x_{i})"
     return df.withColumns(columns_of(found)) if found else df
 
 

@@ -51,12 +51,13 @@ def _lines(measures: Sequence[str], at: str, fill_lead: bool) -> list[Column]:
     """
     values = []
     for i, name in enumerate(measures):
-        m, prev, nxt = B.sql_name(name), f"_prev_{i}", f"_next_{i}"
+        m, lead = B.sql_name(name), f"_next_x_{i}" if fill_lead else "NULL"
         values.append(F.expr(
             f"CASE WHEN {m} IS NOT NULL THEN {m} "
-            f"WHEN {prev} IS NULL THEN {f'{nxt}.x' if fill_lead else 'NULL'} "
-            f"WHEN {nxt} IS NULL THEN {prev}.x "
-            f"ELSE {prev}.x + ({nxt}.x - {prev}.x) / ({nxt}.at - {prev}.at) * ({at} - {prev}.at) END").alias(name))
+            f"WHEN _prev_at_{i} IS NULL THEN {lead} "
+            f"WHEN _next_at_{i} IS NULL THEN _prev_x_{i} "
+            f"ELSE _prev_x_{i} + (_next_x_{i} - _prev_x_{i}) / (_next_at_{i} - _prev_at_{i}) "
+            f"* ({at} - _prev_at_{i}) END").alias(name))
     return values
 
 
@@ -158,7 +159,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, measures: Se
     summary = B.carry_points(B.block_points(blocked, position, measures), measures)
     window = B.in_block(time_col, *tie).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = blocked.withColumns({m: F.last(m, ignorenulls=True).over(window) for m in measures})
-    filled = {m: F.coalesce(F.col(m), F.col(f"_before_{i}.x")) for i, m in enumerate(measures)}
+    filled = {m: F.coalesce(F.col(m), F.col(f"_before_x_{i}")) for i, m in enumerate(measures)}
     return B.restore(B.join_summary(local, summary).withColumns(filled), df.columns, keys)
 
 
@@ -168,9 +169,9 @@ def interpolate(df: DataFrame, keys: Sequence[str], time_col: str, measures: Seq
     blocked = B.with_block(df, keys, time_col, block)
     placed = blocked.withColumn("_rn", F.row_number().over(B.in_block(time_col, *tie)))
     points = B.block_points(placed, "_rn", measures, ["count(*) AS _n"])
-    summary = B.carry_points(points.withColumn("_offset", B.rows_before()), measures, "_offset")
+    summary = B.carry_points(points.withColumn("_offset", B.rows_before()), measures, "+ _offset")
     local = B.neighbours(placed, "_rn", measures, [time_col, *tie])
-    near = B.beyond_block(B.join_summary(local, summary), measures, "_offset")
+    near = B.beyond_block(B.join_summary(local, summary), measures, "+ _offset")
     lines = dict(zip(measures, _lines(measures, "_rn + _offset", True)))
     return B.restore(near.withColumns(lines), df.columns, keys)
 
