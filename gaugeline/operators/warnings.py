@@ -54,7 +54,8 @@ def flood_requests(forecasts: DataFrame, texts: DataFrame | None = None) -> Data
     ``forecasts`` has ``risk_level``, ``station_name``, ``max_predicted_water_level``
     and ``location_id``; a missing location falls back to the station name.
     """
-    texts = dims.flood_texts(forecasts.sparkSession) if texts is None else texts
+    # The four texts of the package are a bounded side; a caller's own carry no hint.
+    texts = F.broadcast(dims.flood_texts(forecasts.sparkSession)) if texts is None else texts
     other_title, other_text = C.FLOOD_TEXT_OTHER
     name = F.coalesce("station_name", F.lit("unknown station"))
     level = F.coalesce("max_predicted_water_level", F.lit(0.0)).cast("string")

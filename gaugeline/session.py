@@ -40,25 +40,29 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
     return configure(builder.getOrCreate())
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """Folder ``name`` below the shared checkpoint folder the cluster names."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def shared_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder the cluster names; a local session without one gets its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
-    return f"{root.rstrip('/')}/{name}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
+        root = tempfile.mkdtemp(prefix="gaugeline-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """Folder ``name`` below the shared checkpoint folder."""
+    return f"{shared_root(spark)}/{name}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of ``df`` from a reliable checkpoint in the shared folder.
 
     For a frame that several later steps read: its plan is run once, survives the
-    loss of executors, and later plans start from it. On a cluster the folder is
-    the one ``spark.checkpoint.dir`` names; only a local session gets its own.
+    loss of executors, and later plans start from it.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not root and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
-        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="gaugeline-"))
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()

@@ -24,17 +24,21 @@ KNOWN_STATIONS = [
 ]
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table with its times as TIMESTAMP."""
-    df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
+    """A test table, read once or as a stream, with its times as TIMESTAMP."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = configure(spark).read.parquet(path)
+    if stream:
+        # A pattern, as a plain path would have to be a folder and the table may be one file.
+        df = spark.readStream.schema(df.schema).parquet(path[:-1] + "[t]")
     times = {f.name: F.col(f.name).cast("timestamp") for f in df.schema
              if f.dataType.simpleString() == "timestamp_ntz"}
     return df.withColumns(times) if times else df
 
 
-def reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reading(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Long readings, one row per event; a NaN value counts as not measured."""
-    events = load(spark, sf_dir, "events").selectExpr(
+    events = load(spark, sf_dir, "events", stream).selectExpr(
         "event_id", "ts", "user_id", "event_type AS kind", "CASE WHEN NOT isnan(value) THEN value END AS value",
         "cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS k")
     return events.selectExpr(
@@ -66,12 +70,12 @@ def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.avg("l_discount").alias("rainfall"), F.count(F.lit(1)).alias("n_readings")))
 
 
-def station_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_batches(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Nested batches: every line is one sweep over a station's three sensors.
 
     The rainfall sensor fails on returned lines and then reports an error.
     """
-    line = load(spark, sf_dir, "lineitem")
+    line = load(spark, sf_dir, "lineitem", stream)
     station = F.col("l_suppkey").cast("string")
     moment = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
     none = F.lit(None)

@@ -6,15 +6,15 @@ import __spark_entry__ as entry
 from gaugeline.operators import blocks
 
 SF = "/root/testdata/sf0.001"
-#: These fit a model first, which runs jobs.
-FITS = {"f2_fit_loss_history", "f4_linear_model"}
+#: These fit a model or run a stream first.
+JOBS = {"f2_fit_loss_history", "f4_linear_model", *(n for n in entry.queries() if n.startswith("st"))}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - FITS))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - JOBS))
 def test_batch_plan(spark, name):
     lines = plan(entry.queries()[name](spark, SF)).splitlines()
     for at, line in enumerate(lines):
