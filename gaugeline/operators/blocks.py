@@ -159,12 +159,14 @@ def beyond_block(df: DataFrame, measures: Sequence[str], shift: str = "") -> Dat
     return df.withColumns(columns_of(found)) if found else df
 
 
-def attach_stats(df: DataFrame, measures: Sequence[str], wanted: Sequence[str]) -> DataFrame:
+def attach_stats(df: DataFrame, measures: Sequence[str], wanted: Sequence[str],
+                 offset: bool = False) -> DataFrame:
     """Adds ``_<stat>_<measure>`` over each whole series; ``df`` carries its block.
 
     ``wanted`` names among count, mean, std_pop, std_samp, min, max. Blocks are
     aggregated on the map side and merged, so no row moves to get its statistics
-    other than to its block.
+    other than to its block. ``offset`` also adds ``_offset``, the rows of the
+    series before the block.
     """
     parts, means, spreads = [], {}, {}
     for i, m in enumerate(map(sql_name, measures)):
@@ -177,8 +179,11 @@ def attach_stats(df: DataFrame, measures: Sequence[str], wanted: Sequence[str])
     stats = {"count": "_count_{0}", "mean": "_mean_{0}", "min": "_min_{0}", "max": "_max_{0}",
              "std_pop": "sqrt(_square_{0} / greatest(_count_{0}, 1))",
              "std_samp": "CASE WHEN _count_{0} > 1 THEN sqrt(_square_{0} / greatest(_count_{0} - 1, 1)) END"}
+    if offset:
+        parts.append("count(*) AS _rows")
+        means["_offset"] = f"coalesce(sum(_rows) OVER {_ALONG}, 0)"
     blocks = df.groupBy(SERIES, BLOCK).agg(*map(F.expr, parts)).withColumns(columns_of(means))
     if any(stat.startswith("std") for stat in wanted):
         blocks = blocks.withColumns(columns_of(spreads))
     named = [F.expr(stats[stat].format(i)).alias(f"_{stat}_{m}") for stat in wanted for i, m in enumerate(measures)]
-    return join_summary(df, blocks.select(SERIES, BLOCK, *named))
+    return join_summary(df, blocks.select(SERIES, BLOCK, *named, *(["_offset"] if offset else [])))

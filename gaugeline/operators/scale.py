@@ -42,6 +42,22 @@ def normalize(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = (),
         m: (F.col(m) - stat("min", m)) / guarded(stat("max", m) - stat("min", m)) for m in measures}, keys)
 
 
+def standardize_indexed(df: DataFrame, measures: Sequence[str], keys: Sequence[str], time_col: str,
+                        tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK,
+                        index: str = "_idx") -> DataFrame:
+    """Z-score over each series, with the 0-based position of each row in its series.
+
+    Statistics and positions come from one block summary, so one shuffle and one
+    join serve both.
+    """
+    blocked = B.with_block(df, keys, time_col, block)
+    numbered = blocked.withColumn("_rn", F.row_number().over(B.in_block(time_col, *tie)))
+    out = B.attach_stats(numbered, measures, ["mean", "std_pop"], offset=True)
+    scaled = {m: (F.col(m) - F.col(f"_mean_{m}")) / guarded(F.col(f"_std_pop_{m}")) for m in measures}
+    scaled[index] = F.expr("cast(_rn - 1 + _offset AS bigint)")
+    return B.restore(out.withColumns(scaled), [*df.columns, index], keys)
+
+
 def standardize(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = (),
                 time_col: str | None = None, block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """Z-score with the population deviation; a constant column becomes 0."""

@@ -79,7 +79,11 @@ def training_pairs(df: DataFrame, keys: Sequence[str], time_col: str,
     Scaling is the Z-score over each series, or over the whole table.
     """
     wanted = list(dict.fromkeys([*features, target]))
-    scaled = scale.standardize(df, wanted, keys if per_series else (), time_col, block)
+    if per_series and position is None:
+        position = "_idx"
+        scaled = scale.standardize_indexed(df, wanted, keys, time_col, tie, block, position)
+    else:
+        scaled = scale.standardize(df, wanted, keys if per_series else (), time_col, block)
     return sliding_windows(scaled, keys, time_col, features, length, target, horizon, tie,
                            position, block, chunk)
 
