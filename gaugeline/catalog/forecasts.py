@@ -6,7 +6,6 @@ from gaugeline import functions as G
 from gaugeline.catalog.base import (
     AS_OF,
     DAILY_BLOCK,
-    MEASURES,
     VIEWS,
     Tables,
     half_up,

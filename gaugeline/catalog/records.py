@@ -12,7 +12,6 @@ from gaugeline.catalog.base import (
     qr,
     qrs,
     query,
-    r,
     rs,
     sql_confidence,
     sql_grade,

@@ -62,3 +62,12 @@ def test_hot_station_is_spread_over_blocks(spark):
 def test_last_rows_are_ranked_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(entry.queries()["w4_last_rows"](spark, SF))
     assert "WindowGroupLimit" in plan(entry.queries()["f6_forecast_all"](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["w9_resample", "w8_interpolate_daily", "w2_training_pairs", "a2_standardize_by_station"])
+def test_source_is_read_once(spark, name):
+    """Rows and their block summary share the scan and its exchange."""
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
