@@ -137,7 +137,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Segments(NamedTuple):
-    """Maximal runs of windows of one text with the same minimizer."""
+    """Maximal runs of windows of one text with the same minimizer at the same place."""
 
     doc: np.ndarray
     start: np.ndarray  # first window, counted in the text
@@ -165,7 +165,8 @@ def segments(tokens: np.ndarray, lengths: np.ndarray, window: int, k: int) -> Se
     np.add.at(valid, begins[1:][full] - window + 1, -1)
     valid = np.cumsum(valid[:len(least)], dtype=np.int8) > 0
     cut = valid.copy()
-    cut[1:] &= ~valid[:-1] | (least[1:] != least[:-1])
+    # Another value, or the same one at a later place.
+    cut[1:] &= ~valid[:-1] | (least[1:] != least[:-1]) | (gram[:len(least) - 1] == least[:-1])
     start = np.flatnonzero(cut)
     doc = np.searchsorted(begins, start, "right") - 1
     last = np.minimum(np.append(start[1:], len(least)), begins[doc + 1] - window + 1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixture, pii, repetition_rules
+from . import debruijn_dedup, decontaminate, mixture, pii, repetition_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = debruijn_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules.repetition_rules(documents(spark, sf_dir))
 
@@ -44,6 +55,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_quality_rules, op7_pii, op8_decontamination, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op5_quality_rules, op7_pii, op8_decontamination, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {"op10_mix_sources": mixture.ORACLE}
