@@ -86,6 +86,29 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tupl
     return out
 
 
+def _automata(benchmark: DataFrame, window: int, item_col: str, item_text_col: str) -> list[ahocorasick.Automaton]:
+    return [a for part in _parts(benchmark, item_col, item_text_col) if (a := build_automaton(part, window)) is not None]
+
+
+def judge(text: str | None, automata: list[ahocorasick.Automaton], per: int) -> tuple[int, int, list[str], list[tuple[int, int]], bool]:
+    """``(words, hit words, items, runs of hit words, contaminated)`` of a text."""
+    total, hits, items = 0, [], set()
+    for automaton in automata:
+        total, runs, found = scan(text, automaton)
+        hits += runs
+        items |= found
+    if not automata:
+        total = len(normalise(text))
+    merged: list[tuple[int, int]] = []
+    for low, high in sorted(hits):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    n_hit = sum(high - low for low, high in merged)
+    return total, n_hit, sorted(map(str, items)), merged, n_hit > 0 and per * n_hit >= total
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, per: int = 20,
                        id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text") -> DataFrame:
@@ -101,32 +124,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     Null and empty texts have no words; null items and items without words hit nothing; items
     with equal texts are all reported. Rows of ``docs`` are judged one by one, whatever their id.
     """
-    automata = [a for part in _parts(benchmark, item_col, item_text_col) if (a := build_automaton(part, window)) is not None]
+    automata = _automata(benchmark, window, item_col, item_text_col)
     schema = "n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>, contaminated boolean"
 
-    def judge(text: str | None) -> tuple:
-        total, hits, items = 0, [], set()
-        for automaton in automata:
-            total, runs, found = scan(text, automaton)
-            hits += runs
-            items |= found
-        if not automata:
-            total = len(normalise(text))
-        if len(automata) > 1 and hits:
-            merged: list[tuple[int, int]] = []
-            for low, high in sorted(hits):
-                if merged and low <= merged[-1][1]:
-                    merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-                else:
-                    merged.append((low, high))
-            hits = merged
-        n_hit = sum(high - low for low, high in hits)
-        spans = [{"start": a, "end": b} for a, b in word_offsets(text, hits)] if hits else []
-        return total, n_hit, sorted(map(str, items)), spans, n_hit > 0 and per * n_hit >= total
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(t) for t in batch.column(1).to_pylist()]
+            rows = []
+            for text in batch.column(1).to_pylist():
+                total, n_hit, items, runs, bad = judge(text, automata, per)
+                spans = [{"start": a, "end": b} for a, b in word_offsets(text, runs)] if runs else []
+                rows.append((total, n_hit, items, spans, bad))
             cols = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
@@ -137,3 +144,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return plain.mapInArrow(run, f"id {dict(plain.dtypes)['id']}, {schema}").withColumnRenamed("id", id_col)
 
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, per: int = 20, text_col: str = "text",
+                        item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that ``find_contamination`` does not call contaminated."""
+    automata = _automata(benchmark, window, item_col, item_text_col)
+    position = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not judge(t, automata, per)[4] for t in batch.column(position).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

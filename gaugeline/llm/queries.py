@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn_dedup, decontaminate, mixture, pii, repetition_rules, suffix_dedup
+from . import debruijn_dedup, decontaminate, jaccard_join, mixture, pii, quality_model, repetition_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules.repetition_rules(documents(spark, sf_dir))
 
@@ -55,6 +63,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op5_quality_rules, op7_pii, op8_decontamination, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_jaccard_join, op4_quality_classifier, op5_quality_rules, op7_pii, op8_decontamination, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {"op10_mix_sources": mixture.ORACLE}
