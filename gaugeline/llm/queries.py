@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn_dedup, decontaminate, jaccard_join, mixture, pii, quality_model, repetition_rules, suffix_dedup
+from . import debruijn_dedup, decontaminate, jaccard_join, kneser_ney, mixture, pii, quality_model, repetition_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules.repetition_rules(documents(spark, sf_dir))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_texts(documents(spark, sf_dir))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir))
     base = ("email", "ip", "card", "phone")
@@ -63,6 +67,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_jaccard_join, op4_quality_classifier, op5_quality_rules, op7_pii, op8_decontamination, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_jaccard_join, op4_quality_classifier, op5_quality_rules, op6_lm_scoring, op7_pii, op8_decontamination, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {"op10_mix_sources": mixture.ORACLE}
