@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn_dedup, decontaminate, jaccard_join, kneser_ney, mixture, pii, quality_model, repetition_rules, suffix_dedup
+from . import debruijn_dedup, decontaminate, jaccard_join, kneser_ney, language_crf, mixture, pii, quality_model, repetition_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,10 +63,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "spans")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_crf.identify_language(documents(spark, sf_dir))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_jaccard_join, op4_quality_classifier, op5_quality_rules, op6_lm_scoring, op7_pii, op8_decontamination, op10_mix_sources)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_suffix_dedup, op2_substring_dedup, op3_jaccard_join, op4_quality_classifier, op5_quality_rules, op6_lm_scoring,
+    op7_pii, op8_decontamination, op9_language_id, op10_mix_sources)}
 
 ORACLES: dict[str, str] = {"op10_mix_sources": mixture.ORACLE}
