@@ -97,7 +97,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
             back[:more] = message / message.sum(axis=1, keepdims=True)
         both = ahead[at] * back[:n]
         marginals[at] = both / both.sum(axis=1, keepdims=True)
-    return marginals, moves, marginals[begins].sum(axis=0)
+    return marginals, moves, marginals[begins[:live[0] if len(live) else 0]].sum(axis=0)
 
 
 def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
