@@ -49,8 +49,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     """
     kind = Kind(word_tokens, window, min(6, max(1, window // 2)))
     keyed, restore = with_keys(docs, id_col, text_col)
-    ranges, n = plan_ranges(keyed)
-    splitters = sample_splitters(keyed, kind, ranges, n)
+    ranges, n, size = plan_ranges(keyed)
+    splitters = sample_splitters(keyed, kind, ranges, n, size)
     split = splitters.gram.view(np.int64).tolist()
 
     dealt = find_segments(keyed, kind, splitters, ranges)

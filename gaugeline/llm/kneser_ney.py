@@ -12,11 +12,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, chunks, signed, words
+from .arrays import U, chunks, mix, signed, words
 from .quality_model import remainder
 from .shared import materialize, shared_folder
 
-#: Tokens that a task combines before it sends them, and tokens for each part of the model.
+#: Tokens that a task combines before it sends them, and tokens for each part of the model; about so many
+#: documents, and pairs of them thinned by hash, give the splits.
 FLUSH, PART_TOKENS = 4_000_000, 3_000_000
 SAMPLE_DOCS, SAMPLE = 2_000, 20_000
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -276,13 +277,16 @@ def train(texts: DataFrame, folder: str) -> Model:
         first, second, _ = _pairs(hashes, counts, arrays)
         return (first.astype(U) << U(32)) | second.astype(U)
 
+    thin = U(max(1, round(min(docs, SAMPLE_DOCS) * model.train_tokens / max(docs, 1) / SAMPLE)))
+
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = Arrays(model)
         for hashes, counts in _tokens(batches, FLUSH):
-            yield pa.RecordBatch.from_arrays([pa.array(signed(np.unique(keys_of(arrays, hashes, counts))))], ["key"])
+            keys = np.unique(keys_of(arrays, hashes, counts))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys[mix(keys) % thin == 0]))], ["key"])
 
     some = texts if docs <= SAMPLE_DOCS else texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * SAMPLE_DOCS / docs))
-    drawn = some.mapInArrow(sample, "key long").withColumn("by", F.rand(7)).orderBy("by").limit(SAMPLE).collect()
+    drawn = some.mapInArrow(sample, "key long").collect()
     drawn = sorted(r.key % (1 << 64) for r in drawn)
     splits = np.array(sorted({drawn[i * len(drawn) // parts] for i in range(1, parts)}) if drawn else [], U)
     model = model._replace(pair_splits=splits)

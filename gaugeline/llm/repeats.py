@@ -21,8 +21,8 @@ from .arrays import U, byte_table, chunks, grams, merge_runs, mix, segments, sig
 FLUSH = 400_000
 #: Windows that are compared at once, unless one minimizer has more.
 COMPARED = 400_000
-#: Documents and segments that the splitters are sampled from.
-SAMPLE_DOCS, SAMPLE = 2_000, 20_000
+#: Documents and segments that the splitters are sampled from, and bytes of text in a segment, roughly.
+SAMPLE_DOCS, SAMPLE, TEXT_PER_SEGMENT = 2_000, 20_000, 40
 #: Bytes of text for each range of the partitioning, at most.
 RANGE_BYTES = 64 << 20
 
@@ -84,17 +84,20 @@ def _segments_of(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[tupl
         yield tuple(np.concatenate(c) for c in zip(*held))
 
 
-def sample_splitters(keyed: DataFrame, kind: Kind, ranges: int, docs: int) -> Splitters:
-    """Splitters from a sample of at most SAMPLE segments, all of whole documents chosen by hash."""
+def sample_splitters(keyed: DataFrame, kind: Kind, ranges: int, docs: int, size: int) -> Splitters:
+    """Splitters from about SAMPLE segments, thinned by hash, of about SAMPLE_DOCS whole documents chosen by hash."""
+    expected = min(docs, SAMPLE_DOCS) * size / max(docs, 1) / TEXT_PER_SEGMENT
+    thin = U(max(1, round(expected / SAMPLE)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, gram, content in _segments_of(batches, kind):
-            yield pa.RecordBatch.from_arrays([pa.array(signed(gram)), pa.array(signed(content))], ["gram", "content"])
+            some = content % thin == 0
+            yield pa.RecordBatch.from_arrays([pa.array(signed(gram[some])), pa.array(signed(content[some]))], ["gram", "content"])
 
     some = keyed
     if docs > SAMPLE_DOCS:
         some = keyed.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int((1 << 30) * SAMPLE_DOCS / docs))
-    rows = some.mapInArrow(run, "gram long, content long")
-    rows = rows.withColumn("by", F.rand(7)).orderBy("by").limit(SAMPLE).select("gram", "content").collect()
+    rows = some.mapInArrow(run, "gram long, content long").collect()
     pairs = sorted((r.gram % (1 << 64), r.content % (1 << 64)) for r in rows)
     cuts = sorted({pairs[i * len(pairs) // ranges] for i in range(1, ranges)}) if pairs else []
     return Splitters(np.array([c[0] for c in cuts], U), np.array([c[1] for c in cuts], U))
@@ -151,11 +154,11 @@ def find_segments(keyed: DataFrame, kind: Kind, splitters: Splitters, ranges: in
     return keyed.mapInArrow(run, SEGMENT)
 
 
-def plan_ranges(keyed: DataFrame) -> tuple[int, int]:
-    """Number of ranges and of documents."""
-    docs, size = keyed.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+def plan_ranges(keyed: DataFrame) -> tuple[int, int, int]:
+    """Number of ranges, of documents, and of bytes."""
+    docs, size = keyed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     least = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-(size or 0) // RANGE_BYTES)), docs
+    return max(least, -(-size // RANGE_BYTES)), docs, size
 
 
 def fetch_segments(keyed: DataFrame, open_segments: DataFrame, kind: Kind, splitters: Splitters, ranges: int) -> DataFrame:

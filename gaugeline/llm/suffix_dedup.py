@@ -110,8 +110,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     kind = Kind(byte_tokens, length, min(24, max(1, length // 2)))
     keyed, restore = with_keys(docs, id_col, text_col)
-    ranges, n = plan_ranges(keyed)
-    splitters = sample_splitters(keyed, kind, ranges, n)
+    ranges, n, size = plan_ranges(keyed)
+    splitters = sample_splitters(keyed, kind, ranges, n, size)
     split_grams = splitters.gram.view(np.int64)
 
     dealt = find_segments(keyed, kind, splitters, ranges).repartitionById(ranges, "bucket")
