@@ -211,6 +211,17 @@ def k2(spark, sf):
         "location_id", F.inline("hourly_predictions").alias("hour", "level"))
 
 
+@query("k2_long_horizon", f"""
+SELECT station_id AS location_id, CAST(hour_ahead + later AS INTEGER) AS hour, {half_up('level')} AS level
+FROM seasonal, (SELECT unnest([0, 24]) AS later) d""", "seasonal")
+def k2_long(spark, sf):
+    """All 48 hours of a forecast of 48 hours."""
+    t = Tables(spark, sf)
+    recent = forecast.recent_series(t.hour_wide)
+    return forecast.forecast_all(recent, t.stations, horizon=48, as_of=AS_OF).select(
+        "location_id", F.inline("hourly_predictions").alias("hour", "level"))
+
+
 @query("a10_mse_by_hour_ahead", f"""
 SELECT CAST(h AS INTEGER) AS hour_ahead, COUNT(*) AS n, {qr('AVG(POWER(a.water_level - f.water_level, 2))', 'mse')}
 FROM numbered a JOIN numbered f ON f.station_id = a.station_id AND f.i = a.i - 24

@@ -1,5 +1,7 @@
 """Queries on readings and records: scans, reshaping, validation, lookups, expressions."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gaugeline import functions as G
@@ -18,6 +20,7 @@ from gaugeline.catalog.base import (
     sql_risk_name,
 )
 from gaugeline.operators import kpis, reshape, risk, series, validate
+from gaugeline.session import shared_folder
 from gaugeline.sources import dims, readings, tables
 
 TIME_ISSUE = (f"CASE WHEN {{0}} > TIMESTAMP '{AS_OF}' THEN 'FUTURE' "
@@ -501,10 +504,10 @@ def e3(spark, sf):
 
 @query("e4_round_floor_abs", f"""
 SELECT event_id, {half_up('value / 3')} AS third, GREATEST(CAST(0 AS DOUBLE), value - 20) AS above,
-       ABS(value - 20) AS distance FROM reading WHERE value IS NOT NULL""", "reading")
+       ABS(value - 20) AS distance FROM reading""", "reading")
 def e4(spark, sf):
     value = F.col("value")
-    return Tables(spark, sf).reading.filter("value IS NOT NULL").select(
+    return Tables(spark, sf).reading.select(
         "event_id", G.rounded(value / 3).alias("third"), G.floor_zero(value - 20).alias("above"),
         F.abs(value - 20).alias("distance"))
 
@@ -553,12 +556,11 @@ def e9(spark, sf):
     return t.raw("events").select("event_id", G.hash_suffix(F.concat("props", station)).alias("suffix"))
 
 
-@query("e10_tanh_exp", f"SELECT event_id, {qr('tanh(value / 100)', 'tanh')}, {qr('exp(value / 100)', 'exp', 4)} "
-       "FROM reading WHERE value IS NOT NULL AND data_type <> 'flow_rate'", "reading")
+@query("e10_tanh_exp", f"SELECT event_id, {qr('tanh(value / 1000)', 'tanh')}, {qr('exp(value / 1000)', 'exp', 4)} FROM reading", "reading")
 def e10(spark, sf):
     value = F.col("value")
-    return Tables(spark, sf).reading.filter("value IS NOT NULL AND data_type <> 'flow_rate'").select(
-        "event_id", c(F.tanh(value / 100)).alias("tanh"), c(F.exp(value / 100), 4).alias("exp"))
+    return Tables(spark, sf).reading.select(
+        "event_id", c(F.tanh(value / 1000)).alias("tanh"), c(F.exp(value / 1000), 4).alias("exp"))
 
 
 @query("e11_row_json")
@@ -581,3 +583,29 @@ FROM (SELECT station_id, MAX(hour) AS last_hour FROM hour_wide GROUP BY 1) e""",
 def e13(spark, sf):
     ends = Tables(spark, sf).hour_wide.groupBy("station_id").agg(F.max("hour").alias("last_hour"))
     return series.recent_spine(ends, "last_hour").select("station_id", "hour")
+
+
+@query("s4_malformed_batches", """
+SELECT event_id % 10 = 0 AS malformed, COUNT(*) AS n, COUNT(CASE WHEN event_id % 10 <> 0 THEN value END) AS n_values
+FROM reading GROUP BY 1""", "reading")
+def s4_malformed(spark, sf):
+    """Batches written as JSON lines, every tenth cut off, and read back: none vanishes."""
+    fields = ["station_id", "data_type", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")]
+    line = F.to_json(F.struct("station_id", F.array(F.struct(*fields)).alias("readings")))
+    cut = F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 25)).otherwise(line)
+    path = shared_folder(spark, f"runs/s4-{uuid.uuid4().hex}")
+    Tables(spark, sf).reading.select(cut.alias("value")).write.text(path)
+    flat = reshape.flatten(readings.read_batches(spark, path))
+    return flat.groupBy(F.col("malformed").isNotNull().alias("malformed")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("value").alias("n_values"))
+
+
+@query("s8_overflow", """
+SELECT COALESCE(CASE WHEN ABS(ROUND(value * 1000, 2)) >= 1000000 THEN 'OVERFLOW_WATER_LEVEL' END, '') AS problem, COUNT(*) AS n
+FROM reading WHERE NOT isnan(COALESCE(value, 0)) GROUP BY 1""", "reading")
+def s8_overflow(spark, sf):
+    """A number too large for its column is a problem, not an accepted NULL."""
+    rows = Tables(spark, sf).reading.select(
+        F.col("station_id").alias("location_id"), F.col("ts").alias("timestamp"), (F.col("value") * 1000).alias("water_level"))
+    conformed = tables.conform(rows, "water_monitoring_data", AS_OF)
+    return conformed.groupBy(F.array_join("problems", ",").alias("problem")).agg(F.count(F.lit(1)).alias("n"))

@@ -200,6 +200,21 @@ def w12(spark, sf):
         "station_id", "start", "end", "hours", r("total"), r("peak"))
 
 
+@query("w12_rain_events_half_hour", f"""
+SELECT station_id, MIN(hour) AS start, MAX(hour) AS end, COUNT(*) AS hours, {qr('SUM(rainfall)', 'total')},
+       {qr('MAX(rainfall)', 'peak')}
+FROM (SELECT *, SUM(brk) OVER (PARTITION BY station_id ORDER BY hour ROWS UNBOUNDED PRECEDING) AS grp
+      FROM (SELECT station_id, hour + INTERVAL 30 MINUTE AS hour, rainfall,
+                   CASE WHEN LAG(hour) OVER (PARTITION BY station_id ORDER BY hour) = hour - INTERVAL '1' HOUR
+                        THEN 0 ELSE 1 END AS brk
+            FROM hour_wide WHERE rainfall >= 0.5) a) g
+GROUP BY station_id, grp""", "hour_wide")
+def w12_half_hour(spark, sf):
+    """Bins between the whole hours: events that cross a block border stay whole."""
+    shifted = Tables(spark, sf).hour_wide.withColumn("hour", F.col("hour") + F.expr("INTERVAL 30 MINUTES"))
+    return series.rain_events(shifted, KEY, block="1 day").select("station_id", "start", "end", "hours", r("total"), r("peak"))
+
+
 # Windows.
 
 def sql_windows(source: str, time: str, feature: str, horizon: int = 1, label: str = "") -> str:

@@ -14,7 +14,13 @@ from gaugeline.catalog.base import (
 from gaugeline.operators import kpis, reshape, risk, warnings
 from gaugeline.plans import monitor
 
-SUFFIX = "lpad(CAST(CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT) % 1000 AS VARCHAR), 3, '0')"
+def _sql_id(said: str) -> str:
+    """The id by the columns of a warning."""
+    return ("'WARN-' || strftime(publish_time, '%Y%m%d%H%M%S') || '-' || md5(strftime(expire_time, '%Y%m%d%H%M%S') || '|' || "
+            f"{said}) || '-' || affected_location")
+
+
+SAID = "warning_type || '|' || warning_level || '|' || COALESCE(title, '') || '|' || COALESCE(content, '')"
 
 
 def _sql_text(column: int) -> str:
@@ -24,7 +30,7 @@ def _sql_text(column: int) -> str:
 
 # Every station-hour at risk as a warning published in that hour.
 VIEWS["flood_warning"] = (("hour_wide", "station"), f"""
-SELECT 'WARN-' || strftime(publish_time, '%Y%m%d%H%M%S') || '-' || {SUFFIX.format('title')} || '-' || affected_location AS id,
+SELECT {_sql_id(SAID)} AS id,
        * FROM (
   SELECT 1 AS warning_type, risk_level AS warning_level,
          replace({_sql_text(1)}, '%s', station_name) AS title,
@@ -73,12 +79,11 @@ def n1_forecast(spark, sf):
 
 
 @query("n2_create_warnings", f"""
-SELECT 'WARN-20240125000000-' || {SUFFIX.format('title')} || '-' || place AS id, warning_type, warning_level, title, content,
-       place AS affected_location, TIMESTAMP '{AS_OF}' AS publish_time, TIMESTAMP '{AS_OF}' + INTERVAL 6 HOUR AS expire_time,
-       1 AS status
+SELECT {_sql_id(SAID)} AS id, *
 FROM (SELECT 3 AS warning_type, 2 AS warning_level, 'turbid water no. ' || CAST(event_id AS VARCHAR) AS title,
              'turbidity ' || CAST(turbidity AS VARCHAR) AS content,
-             CASE WHEN k > 50 THEN station_id ELSE 'unknown area' END AS place
+             CASE WHEN k > 50 THEN station_id ELSE 'unknown area' END AS affected_location,
+             TIMESTAMP '{AS_OF}' AS publish_time, TIMESTAMP '{AS_OF}' + INTERVAL 6 HOUR AS expire_time, 1 AS status
       FROM reading WHERE turbidity > 40) q""", "reading")
 def n2(spark, sf):
     t = Tables(spark, sf)
@@ -91,6 +96,18 @@ def n2(spark, sf):
     return warnings.create_warnings(requests, AS_OF, 6)
 
 
+@query("n2_unique_ids", """
+SELECT COUNT(*) AS warnings, COUNT(DISTINCT event_id) AS ids, 1::BIGINT AS cancelled_by_one FROM reading WHERE turbidity > 40""",
+       "reading")
+def n2_ids(spark, sf):
+    """Every request has its own id, and cancelling one id changes one warning."""
+    log = n2(spark, sf)
+    one = log.agg(F.min("id").alias("id"))
+    state = warnings.current_state(log, one)
+    return state.agg(F.count(F.lit(1)).alias("warnings"), F.countDistinct("id").alias("ids"),
+                     F.sum((F.col("status") == 0).cast("bigint")).alias("cancelled_by_one"))
+
+
 @query("n3_fan_out", """
 SELECT id AS warning_id, title, warning_level, affected_location,
        unnest(['system_notification', 'app_push', 'sms']) AS channel, TRUE AS success FROM flood_warning""",

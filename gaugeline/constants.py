@@ -73,15 +73,9 @@ WET_HOUR = 0.5
 # Titles and texts of flood warnings: level, title, content. Both are printf
 # patterns; the title takes the station, the content the station and the level.
 FLOOD_TEXTS = [
-    (4, "[red] severe flood imminent at %s",
-     "Level at %s is forecast to reach %s m, above the danger mark; severe flooding is possible. "
-     "Evacuate and start the highest emergency response."),
-    (3, "[orange] high flood risk at %s",
-     "Level at %s is forecast to reach %s m, near the danger mark; flood risk is high. "
-     "Prepare flood defences and watch the level closely."),
-    (2, "[yellow] flood risk at %s",
-     "Level at %s is forecast to reach %s m; there is some flood risk. Watch for further warnings."),
-    (1, "[blue] raised water level at %s",
-     "Level at %s is forecast to reach %s m, which is raised. Keep watching."),
+    (4, "RED - %s", "%s: peak of %s m expected within the forecast. Clear the flood plain now."),
+    (3, "ORANGE - %s", "%s: peak of %s m expected within the forecast. Man the barriers; crews on call."),
+    (2, "YELLOW - %s", "%s: peak of %s m expected within the forecast. Check pumps and gates today."),
+    (1, "BLUE - %s", "%s: peak of %s m expected within the forecast. For information."),
 ]
-FLOOD_TEXT_OTHER = ("flood warning for %s", "Level at %s is now %s m")
+FLOOD_TEXT_OTHER = ("NOTICE - %s", "%s: level of %s m.")

@@ -9,12 +9,23 @@ from pyspark.sql import functions as F
 
 from gaugeline import constants as C
 from gaugeline.functions import nan_to_null, parse_iso, time_bin
+from gaugeline.schemas import CORRUPT, READING
 
 
 def flatten(batches: DataFrame) -> DataFrame:
-    """One row per reading; a batch without readings gives none."""
-    inner = batches.select(F.col("station_id").alias("_station"), F.explode("readings").alias("r"))
+    """One row per reading; a batch without readings gives none.
+
+    Batches read as JSON lines carry the text of a line that is no batch: it gives one row with that
+    text in ``malformed`` and nothing else, which no rule can accept.
+    """
+    if CORRUPT not in batches.columns:
+        readings, text = F.explode("readings"), []
+    else:
+        rows = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(None).cast(READING))).otherwise(F.col("readings"))
+        readings, text = F.explode(rows), [F.col(CORRUPT).alias("malformed")]
+    inner = batches.select(F.col("station_id").alias("_station"), *text, readings.alias("r"))
     return inner.select(
+        *([F.col("malformed")] if text else []),
         F.coalesce("_station", "r.station_id").alias("station_id"), F.col("r.data_type").alias("data_type"),
         nan_to_null(F.col("r.value")).alias("value"), F.col("r.unit").alias("unit"),
         nan_to_null(F.col("r.parameters.ph")).alias("ph"),
@@ -34,6 +45,7 @@ def storage_records(readings: DataFrame) -> DataFrame:
         return F.when(kind == "water_quality", F.col(name))
 
     return readings.select(
+        *([F.col("malformed")] if "malformed" in readings.columns else []),
         F.col("station_id").alias("location_id"), F.col("ts").alias("timestamp"),
         F.when(F.col("error").isNotNull(), C.QUALITY_ABNORMAL).otherwise(C.QUALITY_OK)
         .alias("data_quality"),

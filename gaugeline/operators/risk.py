@@ -12,8 +12,8 @@ from gaugeline import constants as C
 def grade(level: Column, thresholds=tuple(C.WARNING_THRESHOLDS)) -> Column:
     """``struct(level, name, confidence)`` of the highest threshold reached.
 
-    The confidence is a constant of the grade, not a probability. A NULL level
-    has no grade.
+    The confidence is a constant of the grade, not a probability. A NULL or NaN
+    level has no grade.
     """
     def entry(number, name, confidence):
         return F.struct(F.lit(number).alias("level"), F.lit(name).alias("name"),
@@ -24,7 +24,7 @@ def grade(level: Column, thresholds=tuple(C.WARNING_THRESHOLDS)) -> Column:
         reached = level >= lowest
         result = (F.when(reached, entry(number, name, confidence)) if result is None
                   else result.when(reached, entry(number, name, confidence)))
-    return F.when(level.isNotNull(), result.otherwise(entry(*C.NO_RISK)))
+    return F.when(level.isNotNull() & ~F.isnan(level.cast("double")), result.otherwise(entry(*C.NO_RISK)))
 
 
 def with_grade(df: DataFrame, level_col: str) -> DataFrame:

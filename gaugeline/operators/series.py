@@ -56,7 +56,7 @@ def _lines(measures: Sequence[str], at: str, fill_lead: bool) -> list[Column]:
             f"CASE WHEN {m} IS NOT NULL THEN {m} "
             f"WHEN _prev_at_{i} IS NULL THEN {lead} "
             f"WHEN _next_at_{i} IS NULL THEN _prev_x_{i} "
-            f"ELSE _prev_x_{i} + (_next_x_{i} - _prev_x_{i}) / (_next_at_{i} - _prev_at_{i}) "
+            f"ELSE _prev_x_{i} + (_next_x_{i} - _prev_x_{i}) / greatest(_next_at_{i} - _prev_at_{i}, 1) "
             f"* ({at} - _prev_at_{i}) END").alias(name))
     return values
 
@@ -67,8 +67,9 @@ def _spread(df: DataFrame, time_col: str, seconds: int) -> DataFrame:
     ``_ahead`` is 0 on the bin itself and counts the empty bins after it.
     """
     start = epoch(F.col(time_col))
-    gap = F.coalesce((F.col("_until") - start) / seconds, F.lit(1)).cast("int")
-    return (df.withColumn("_ahead", F.explode(F.sequence(F.lit(0), gap - 1)))
+    gap = F.coalesce((F.col("_until") - start) / seconds, F.lit(1)).cast("long")
+    last = F.greatest(gap, F.lit(1).cast("long")) - 1  # rows of one bin have no bin between them
+    return (df.withColumn("_ahead", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(1).cast("long"))))
             .withColumn(time_col, F.timestamp_seconds(start + F.col("_ahead") * seconds))
             .drop("_until"))
 
@@ -244,8 +245,9 @@ def rain_events(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
             .agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"),
                  F.count(F.lit(1)).alias("hours"), F.sum(measure).alias("total"),
                  F.max(measure).alias("peak")))
-    border = ((epoch(F.col("start")) == F.col(B.BLOCK) * length)
-              | (epoch(F.col("end")) == (F.col(B.BLOCK) + 1) * length - seconds))
+    # A run that starts or ends within one interval of the border, wherever the bins lie.
+    border = ((epoch(F.col("start")) < F.col(B.BLOCK) * length + seconds)
+              | (epoch(F.col("end")) >= (F.col(B.BLOCK) + 1) * length - seconds))
     columns = [*[F.col(f"{B.SERIES}.{k}").alias(k) for k in keys],
                "start", "end", "hours", "total", "peak"]
     inner = runs.filter(~border).select(*columns)

@@ -17,8 +17,6 @@ from gaugeline.functions import (
     as_moment,
     code_label,
     compact_time,
-    hash_suffix,
-    numbered,
 )
 from gaugeline.sources import dims
 
@@ -27,9 +25,15 @@ COLUMNS = ("id", "warning_type", "warning_level", "title", "content", "affected_
            "publish_time", "expire_time", "status")
 
 
-def warning_id(publish: Column, title: Column, location: Column) -> Column:
-    """``WARN-<time>-<nnn>-<location>``; the same warning gets the same id on every run."""
-    return F.concat_ws("-", F.lit("WARN"), compact_time(publish), numbered(hash_suffix(title)), location)
+def warning_id(publish: Column, expire: Column, kind: Column, level: Column, title: Column, content: Column,
+               location: Column) -> Column:
+    """``WARN-<time>-<hash>-<location>``; the same warning gets the same id on every run.
+
+    The hash takes in everything a warning says, so different warnings have different ids.
+    """
+    said = [compact_time(expire), kind.cast("string"), level.cast("string"), title, content]
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(part, F.lit("")) for part in said]))
+    return F.concat_ws("-", F.lit("WARN"), compact_time(publish), digest, location)
 
 
 def create_warnings(requests: DataFrame, as_of=None, hours: int = C.WARNING_HOURS,
@@ -42,9 +46,9 @@ def create_warnings(requests: DataFrame, as_of=None, hours: int = C.WARNING_HOUR
     publish = as_moment(as_of)
     place = F.coalesce(F.nullif(F.trim("affected_location"), F.lit("")), F.lit(unknown))
     return (requests.withColumn("affected_location", place).withColumn("publish_time", publish)
-            .withColumns({
-                "id": warning_id(F.col("publish_time"), F.col("title"), F.col("affected_location")),
-                "expire_time": add_hours(F.col("publish_time"), hours), "status": F.lit(1)})
+            .withColumns({"expire_time": add_hours(F.col("publish_time"), hours), "status": F.lit(1)})
+            .withColumn("id", warning_id(*[F.col(c) for c in (
+                "publish_time", "expire_time", "warning_type", "warning_level", "title", "content", "affected_location")]))
             .select(*COLUMNS))
 
 

@@ -50,7 +50,8 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features:
     ``label``, the target in the ``horizon`` rows after the window.
 
     Windows are built inside pieces of a series; the frame reads at most
-    ``length + horizon`` rows. A regular series can pass its ``position`` column.
+    ``length + horizon`` rows. A regular series can pass its ``position`` column, which must
+    count its rows without holes: a hole would hide windows at the ends of pieces, so it is an error.
     """
     placed, pos = _positioned(df, keys, time_col, tie, position, block)
     kept = placed.select(*keys, F.col(pos).alias("_pos"), F.col(time_col).alias("window_start"),
@@ -63,6 +64,9 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features:
     if target:
         columns["label"] = F.flatten(
             F.collect_list("_target").over(order.rowsBetween(length, length + horizon - 1)))
+    if position is not None:
+        ahead = F.lead("_pos").over(order) - F.col("_pos")
+        columns["_own"] = F.when(ahead > 1, F.raise_error(F.lit(f"{position} has holes"))).otherwise(F.col("_own"))
     found = pieces.withColumns(columns).filter(
         F.col("_own") & (F.size("window") == length) & (F.col("_follows") == horizon))
     return found.select(*keys, "window_start", F.col("_pos").alias("window_id"), "window",

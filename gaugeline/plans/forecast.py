@@ -94,18 +94,19 @@ def score(history: DataFrame, scorer="seasonal_naive", horizon: int = C.HORIZON)
         F.col("predicted"), F.col("target_mean"), F.col("target_std")))
 
 
-def assess(scored: DataFrame, as_of=None, station: str = "station_id") -> DataFrame:
-    """Result rows: the highest level, its grade, and the hourly levels.
+def assess(scored: DataFrame, as_of=None, station: str = "station_id", horizon: int = C.HORIZON) -> DataFrame:
+    """Result rows: the highest level, its grade, and the hourly levels of the next ``horizon`` hours.
 
     The grade is taken from the unrounded maximum; rounding is for output.
     """
+    scored = scored.withColumn("predicted", F.slice("predicted", 1, horizon))
     peak = scored.withColumn("_peak", F.array_max("predicted"))
     hourly = F.transform("predicted", lambda level, i: F.struct(
         (i + 1).alias("hour"), rounded(level).alias("level")))
     return risk.with_grade(peak, "_peak").withColumns({
         "location_id": F.col(station), "predict_time": as_moment(as_of),
         "max_predicted_water_level": rounded(F.col("_peak")),
-        "hourly_predictions": F.slice(hourly, 1, C.HORIZON)}).select(
+        "hourly_predictions": hourly}).select(
         "location_id", "predict_time", "max_predicted_water_level", "hourly_predictions",
         "risk_level", "risk_name", "confidence", "n_rows", "last_time")
 
@@ -116,7 +117,7 @@ def forecast_all(dense: DataFrame, stations: DataFrame, scorer="seasonal_naive",
                  horizon: int = C.HORIZON, as_of=None) -> DataFrame:
     """Forecast and grade of every station with enough history, with its name."""
     history = long_enough(histories(dense, keys, time_col, features, C.TARGET, length), length)
-    result = assess(score(history, scorer, horizon), as_of, keys[0])
+    result = assess(score(history, scorer, horizon), as_of, keys[0], horizon)
     return kpis.with_station_name(result, stations, "location_id")
 
 

@@ -159,7 +159,12 @@ def fit_series(dense: DataFrame, keys: Sequence[str], time_col: str,
     The split series, one row per bin, is checkpointed: both parts are read from
     it. Windows, many times its size, are only ever streamed into the sums.
     """
-    known = dense.na.drop(subset=list(dict.fromkeys([*features, target])))
+    complete = F.lit(True)
+    for name in dict.fromkeys([*features, target]):
+        complete = complete & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
+    known = dense.filter(complete)
+    if position is not None:  # counted anew: rows that were left out would be holes
+        position = None
     split = cut_lineage(time_split(known, keys, time_col, fraction, block=block))
 
     def pairs(rows: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ READING = T.StructType([
     T.StructField("timestamp", T.StringType()),
 ])
 
+#: Text of a JSON line that is no batch; Spark fills it where the schema names it.
+CORRUPT = "_corrupt_record"
 #: Readings of one station taken in one sweep over its sensors.
 STATION_BATCH = T.StructType([
     T.StructField("station_id", T.StringType()),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this package relies on; all can be set at run time.
@@ -41,14 +39,9 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a local session without one gets its own."""
+    """The shared checkpoint folder the cluster names, or one beside the tables of the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gaugeline-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugeline.functions import parse_iso
-from gaugeline.schemas import READING, STATION_BATCH
+from gaugeline.functions import nan_to_null, parse_iso
+from gaugeline.schemas import CORRUPT, READING, STATION_BATCH
+
+
+def _batch_schema(kind: str) -> T.StructType:
+    """JSON batches also have the text of a line that is no batch."""
+    return T.StructType([*STATION_BATCH.fields, T.StructField(CORRUPT, T.StringType())]) if kind == "json" else STATION_BATCH
 
 
 def read_batches(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
     """Station batches from JSON Lines or parquet files; the schema is given, not inferred."""
-    return spark.read.schema(STATION_BATCH).format(kind).load(path)
+    return spark.read.schema(_batch_schema(kind)).format(kind).load(path)
 
 
 def stream_batches(spark: SparkSession, path: str, kind: str = "json",
                    max_files: int = 1000) -> DataFrame:
     """The same files as a stream, ``max_files`` new ones per micro-batch."""
-    return (spark.readStream.schema(STATION_BATCH).option("maxFilesPerTrigger", max_files)
+    return (spark.readStream.schema(_batch_schema(kind)).option("maxFilesPerTrigger", max_files)
             .format(kind).load(path))
 
 
@@ -50,8 +56,17 @@ def parse_submissions(lines: DataFrame, text: str = "value",
         F.when(malformed, F.lit("MALFORMED")),
         *[F.when(~malformed & F.col(f"_r.{name}").isNull(), F.lit(f"MISSING_{name.upper()}"))
           for name in required]))
-    fields = [parse_iso(F.col("_r.timestamp")).alias("timestamp") if f.name == "timestamp"
-              else F.col(f"_r.{f.name}").alias(f.name) for f in READING.fields]
+    def field(f: T.StructField) -> Column:
+        value = F.col(f"_r.{f.name}")
+        if f.name == "timestamp":
+            value = parse_iso(value)
+        elif f.name == "value":
+            value = nan_to_null(value)
+        elif f.name == "parameters":
+            value = F.when(value.isNotNull(), F.struct(*[nan_to_null(value[p.name]).alias(p.name) for p in f.dataType.fields]))
+        return value.alias(f.name)
+
+    fields = [field(f) for f in READING.fields]
     return (parsed.select(*[F.col(c) for c in lines.columns], *fields, problems.alias("problems"))
             .withColumn("accepted", F.size("problems") == 0))
 

@@ -18,19 +18,32 @@ JSON_TIMES = {
 def _stored(value: Column, kind: str) -> Column:
     if kind.startswith("decimal"):
         scale = int(kind.rstrip(")").split(",")[1])
-        return F.round(value.cast("double"), scale).try_cast(kind)
+        return F.round(value.try_cast("double"), scale).try_cast(kind)
     return value.try_cast(kind)
 
 
 def conform(df: DataFrame, table: str, as_of=None) -> DataFrame:
     """Rows in the column types of ``table`` plus ``problems``, the broken rules.
 
-    Columns the input lacks become NULL or their default; numbers that overflow
-    their type become NULL; ``created_at`` and ``updated_at`` default to ``as_of``.
+    Columns the input lacks become NULL or their default; ``created_at`` and ``updated_at`` default to
+    ``as_of``. A value that does not fit its column becomes NULL with the problem ``OVERFLOW_<COL>``
+    (a number too large) or ``TYPE_<COL>`` (anything else), so its row is not accepted. NaN is NULL.
     """
     spec = TABLES[table]
     defaults = {**spec.defaults, "created_at": as_moment(as_of), "updated_at": as_moment(as_of)}
 
+    def lost(name: str, kind: str) -> Column:
+        """The problem of a value that its column cannot hold."""
+        number = F.col(name).try_cast("double")
+        given = F.col(name).isNotNull() & ~F.coalesce(F.isnan(number), F.lit(False))
+        whole = kind.startswith("decimal") or kind in ("tinyint", "smallint", "int", "bigint")
+        reason = F.when(number.isNotNull(), F.lit(f"OVERFLOW_{name.upper()}")) if whole else F.lit(None)
+        return F.when(given & _stored(F.col(name), kind).isNull(), F.coalesce(reason, F.lit(f"TYPE_{name.upper()}")))
+
+    kinds = dict(df.dtypes)
+    unfit = [lost(name, kind) for name, kind in spec.columns.items()
+             if kinds.get(name, kind) != kind and not (kind == "string" or kinds[name] in ("date", "timestamp", "timestamp_ntz", "void"))]
+
     def stored(name: str, kind: str) -> Column:
         value = _stored(F.col(name) if name in df.columns else F.lit(None), kind)
         if name in defaults:
@@ -39,13 +52,14 @@ def conform(df: DataFrame, table: str, as_of=None) -> DataFrame:
             value = F.coalesce(value, default.cast(kind))
         return value.alias(name)
 
-    rows = df.select(*[stored(name, kind) for name, kind in spec.columns.items()])
+    lost_values = F.array_compact(F.array(*unfit)) if unfit else F.array().cast("array<string>")
+    rows = df.select(*[stored(name, kind) for name, kind in spec.columns.items()], lost_values.alias("_unfit"))
     broken = [F.when(F.col(name).isNull(), F.lit(f"MISSING_{name.upper()}")) for name in spec.required]
     broken += [F.when((F.col(name) < low) | (F.col(name) > high), F.lit(f"CODE_{name.upper()}"))
                for name, (low, high) in spec.codes.items()]
     broken += [F.when(F.length(name) > size, F.lit(f"LENGTH_{name.upper()}"))
                for name, size in spec.lengths.items()]
-    return rows.withColumn("problems", F.array_compact(F.array(*broken)))
+    return rows.withColumn("problems", F.concat("_unfit", F.array_compact(F.array(*broken)))).drop("_unfit")
 
 
 def accepted(conformed: DataFrame) -> DataFrame:

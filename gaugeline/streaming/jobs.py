@@ -43,7 +43,7 @@ def judged(readings: DataFrame, as_of=None) -> DataFrame:
 
 
 def good_rows(verdicts: DataFrame) -> DataFrame:
-    return validate.keep_valid(verdicts.filter(F.size("missing") == 0)).drop("missing")
+    return validate.keep_valid(verdicts.filter(F.size("missing") == 0)).drop("missing", "malformed")
 
 
 def dead_rows(verdicts: DataFrame) -> DataFrame:
@@ -62,9 +62,11 @@ def ingest(batches: DataFrame, good_path: str, dead_path: str, as_of=None, dedup
 
     def store(micro: DataFrame, batch_id: int) -> None:
         verdicts = judged(micro, as_of).persist()
-        write_batch(good_rows(verdicts), good_path, batch_id)
-        write_batch(dead_rows(verdicts), dead_path, batch_id)
-        verdicts.unpersist()
+        try:
+            write_batch(good_rows(verdicts), good_path, batch_id)
+            write_batch(dead_rows(verdicts), dead_path, batch_id)
+        finally:
+            verdicts.unpersist()
 
     return _start(readings, batches.sparkSession, name, checkpoint, "append", trigger
                   ).foreachBatch(store).start()
@@ -90,7 +92,8 @@ def store_hourly(readings: DataFrame, path: str, watermark: str = C.EXPIRY,
 
 def latest(readings: DataFrame) -> DataFrame:
     """Newest reading per station and type; state is one row each."""
-    newest = F.max_by(F.struct("ts", "value", "ph", "turbidity", "dissolved_oxygen", "error"), "ts")
+    # Equal times are ordered by the values, so a re-run finds the same row.
+    newest = F.max(F.struct("ts", "value", "ph", "turbidity", "dissolved_oxygen", "error"))
     return (readings.groupBy("station_id", "data_type").agg(newest.alias("r"))
             .select("station_id", "data_type", "r.*"))
 
@@ -130,7 +133,7 @@ def raised(micro: DataFrame, log: DataFrame, cancels: DataFrame, now: Column) ->
     peaks = graded.groupBy(F.col("station_id").alias("location_id"), "risk_level").agg(
         F.max("water_level").alias("max_predicted_water_level"),
         F.max("station_name").alias("station_name"))
-    in_force = warnings.active_warnings(log, cancels, now).select(
+    in_force = warnings.active_warnings(log.filter(F.col("publish_time") <= now), cancels, now).select(
         F.col("affected_location").alias("location_id"), F.col("warning_level").alias("risk_level"))
     fresh = peaks.join(in_force, ["location_id", "risk_level"], "left_anti")
     return warnings.generate_flood_warnings(fresh, now)
@@ -138,13 +141,14 @@ def raised(micro: DataFrame, log: DataFrame, cancels: DataFrame, now: Column) ->
 
 def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None,
                   checkpoint: str | None = None, trigger: dict | None = None,
-                  name: str = "warnings") -> StreamingQuery:
+                  name: str = "warnings", clock=None) -> StreamingQuery:
     """Raise warnings on level crossings into the append-only log.
 
     ``levels`` has ``station_id``, ``station_name``, ``ts`` and ``water_level``.
-    "Now" is the newest event of the micro-batch, so a re-run raises the same
-    warnings, reads no log row of its own batch, and replaces its own files.
-    The log is partitioned by publish day; a batch reads two days of it.
+    Events after ``clock`` (the time of processing) are no evidence and are left out. "Now" is the newest
+    of the others in the micro-batch, so a re-run raises the same warnings, reads no log row of its
+    own batch, and replaces its own files. The log is partitioned by the day of expiry; a batch reads
+    the days on which a warning can still be in force, however long warnings last.
     """
     spark = levels.sparkSession
     _open(spark, log_path, LOG_SCHEMA, ["day", BATCH])
@@ -152,17 +156,21 @@ def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None
 
     def store(micro: DataFrame, batch_id: int) -> None:
         session = micro.sparkSession
-        newest = micro.agg(F.max("ts").alias("ts")).first()["ts"]
-        if newest is None:
-            return
-        now = as_moment(as_of) if as_of is not None else as_moment(newest)
-        log = (session.read.schema(LOG_SCHEMA).parquet(log_path)
-               .filter((F.col(BATCH) < batch_id) & (F.col("day") >= F.date_sub(F.to_date(now), 2))))
-        cancels = session.read.schema(CANCEL_SCHEMA).parquet(cancel_path)
-        fresh = raised(micro, log, cancels, now)
-        (fresh.withColumns({"day": F.to_date("publish_time"), BATCH: F.lit(batch_id).cast("long")})
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day", BATCH).parquet(log_path))
+        past = micro.filter(F.col("ts") <= as_moment(clock)).persist()
+        try:
+            newest = past.agg(F.max("ts").alias("ts")).first()["ts"]
+            if newest is None:
+                return
+            now = as_moment(as_of) if as_of is not None else as_moment(newest)
+            log = (session.read.schema(LOG_SCHEMA).parquet(log_path)
+                   .filter((F.col(BATCH) < batch_id) & (F.col("day") >= F.to_date(now))))
+            cancels = session.read.schema(CANCEL_SCHEMA).parquet(cancel_path)
+            fresh = raised(past, log, cancels, now)
+            (fresh.withColumns({"day": F.to_date("expire_time"), BATCH: F.lit(batch_id).cast("long")})
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("day", BATCH).parquet(log_path))
+        finally:
+            past.unpersist()
 
     return _start(levels, spark, name, checkpoint, "append", trigger).foreachBatch(store).start()
 

@@ -145,3 +145,14 @@ def test_intervals():
     for bad in ("", "0h", "1 fortnight", "h1"):
         with pytest.raises(ValueError):
             interval_seconds(bad)
+
+
+def test_two_rows_of_a_bin_invent_no_row(spark):
+    import datetime as dt
+
+    from gaugeline.operators import series
+    rows = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1.0), ("a", dt.datetime(2024, 1, 1), 2.0), ("a", dt.datetime(2024, 1, 1, 2), 3.0)],
+                                 "k string, hour timestamp, x double")
+    out = series.dense_series(rows, ["k"], "hour", ["x"]).collect()
+    assert sorted(r.hour.hour for r in out) == [0, 0, 1, 2]
+    assert all(r.hour >= dt.datetime(2024, 1, 1) for r in out)

@@ -69,7 +69,7 @@ def test_ingest_equals_batch(spark, tmp_path):
     kept, lost = spark.read.parquet(good), spark.read.parquet(dead)
     assert kept.select("batch_id").distinct().count() == 3
     assert rows(kept.drop("batch_id")) == rows(jobs.good_rows(verdicts))
-    assert rows(lost.drop("batch_id")) == rows(jobs.dead_rows(verdicts))
+    assert rows(lost.drop("batch_id", "malformed")) == rows(jobs.dead_rows(verdicts))
     assert kept.count() + lost.count() == 3 * batches.count()
 
 
@@ -158,3 +158,42 @@ def test_a_repeated_warning_batch_raises_once(spark, tmp_path):
 def test_checkpoints_need_a_shared_folder(spark):
     from gaugeline.session import shared_folder
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_malformed_lines_reach_the_dead_letters(spark, tmp_path):
+    source, good, dead = (str(tmp_path / n) for n in ("in", "good", "dead"))
+    lines = ['{"station_id": "S1", "readings": [{"data_type": "water_level", "value": 5.0, "timestamp": "2024-01-01T00:00:00"}]}',
+             '{"station_id": "S1", "readings": [{"data_ty', "no json at all"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(source)
+    finish(jobs.ingest(readings.stream_batches(spark, source), good, dead, "2024-01-02 00:00:00", trigger=ONCE, name="malformed_test"))
+    kept, lost = spark.read.parquet(good), spark.read.parquet(dead)
+    assert (kept.count(), lost.count()) == (1, 2)
+    assert {r.malformed for r in lost.collect()} == set(lines[1:])
+
+
+def _raise(spark, tmp_path, name, days, **options):
+    source, log, cancels = (str(tmp_path / n) for n in ("in", "log", "cancel"))
+    df = spark.createDataFrame([("S1", "n", d, 16.0) for d in days], LEVELS)
+    os.makedirs(source, exist_ok=True)
+    write_in_order(spark, df, f"{source}/{name}", 1)
+    finish(jobs.live_warnings(stream(spark, f"{source}/*", LEVELS), log, cancels, trigger=ONCE, name="future_test", **options))
+    return rows(spark.read.schema(jobs.LOG_SCHEMA).parquet(log), "publish_time")
+
+
+def test_an_event_of_the_future_silences_nothing(spark, tmp_path):
+    start = dt.datetime(2024, 1, 10)
+    assert _raise(spark, tmp_path, 0, [dt.datetime(2099, 1, 1)]) == []
+    assert _raise(spark, tmp_path, 1, [start, dt.datetime(2098, 1, 1)]) == [(start,)]
+    later = start + dt.timedelta(days=2)
+    assert _raise(spark, tmp_path, 2, [later]) == [(start,), (later,)]
+
+
+def test_a_long_warning_is_seen_while_it_is_in_force(spark):
+    start = dt.datetime(2024, 1, 10)
+    log = spark.createDataFrame([("w", 1, 1, "t", "c", "S1", start, start + dt.timedelta(days=6), 1, (start + dt.timedelta(days=6)).date(), 0)],
+                                jobs.LOG_SCHEMA)
+    none = spark.createDataFrame([], jobs.CANCEL_SCHEMA)
+    for days, expected in ((5, 0), (7, 1)):
+        now = F.lit(start + dt.timedelta(days=days)).cast("timestamp")
+        levels = spark.createDataFrame([("S1", "n", start, 16.0)], LEVELS)
+        assert jobs.raised(levels, log.filter(F.col("day") >= F.to_date(now)), none, now).count() == expected

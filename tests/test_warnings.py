@@ -22,12 +22,12 @@ def test_generated_from_the_given_risk_level(spark):
     rows = {r["affected_location"]: r for r in log(spark).collect()}
     assert set(rows) == {"S001", "lower reach", "S004", "S005"}
     first = rows["S001"]
-    assert first["warning_level"] == 3 and first["title"] == "[orange] high flood risk at upper reach"
-    assert "Level at upper reach is forecast to reach 22.5 m" in first["content"]
+    assert first["warning_level"] == 3 and first["title"] == "ORANGE - upper reach"
+    assert "upper reach: peak of 22.5 m" in first["content"]
     assert first["publish_time"] == NOW and first["expire_time"] == NOW + dt.timedelta(hours=24)
     assert first["status"] == 1 and first["warning_type"] == 1
     assert "unknown station" in rows["S004"]["title"]
-    assert rows["S005"]["title"] == "flood warning for x" and rows["S005"]["content"] == "Level at x is now 1.0 m"
+    assert rows["S005"]["title"] == "NOTICE - x" and rows["S005"]["content"] == "x: level of 1.0 m."
 
 
 def test_ids_are_stable_and_distinct(spark):

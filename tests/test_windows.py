@@ -91,3 +91,19 @@ def test_horizon_errors_equal_a_scan(spark):
     for h in (1, 2, 3):
         errors = [(values[s + h - 1] - values[s + 5 + h - 1]) ** 2 for s in range(30 - 5 - 3 + 1)]
         assert rows[h][0] == len(errors) and close(rows[h][1], sum(errors) / len(errors))
+
+
+def test_a_hole_in_the_position_is_an_error(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from gaugeline.operators import windows
+    rows = spark.range(40).select(F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("t"), F.col("id").alias("p"), F.rand(1).alias("x"))
+    for chunk in (8, 64):
+        whole = windows.sliding_windows(rows, ["k"], "t", ["x"], 4, position="p", chunk=chunk)
+        assert whole.count() == 36
+        holed = rows.filter("p <> 17")
+        assert windows.sliding_windows(holed, ["k"], "t", ["x"], 4, chunk=chunk).count() == 35
+        with pytest.raises(PySparkException, match="p has holes"):
+            windows.sliding_windows(holed, ["k"], "t", ["x"], 4, position="p", chunk=chunk).collect()
