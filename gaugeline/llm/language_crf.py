@@ -55,6 +55,12 @@ def word_features(data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(parts)[order] % U(ROWS)).astype(np.int64), np.bincount(owner, minlength=n)
 
 
+def distinct_words(found: Words) -> tuple[Words, np.ndarray]:
+    """One occurrence of each word, and for each occurrence which of them it is."""
+    _, pick, which = np.unique(found.hash, return_index=True, return_inverse=True)
+    return Words(found.start[pick], found.end[pick], found.doc[pick], found.hash[pick]), which
+
+
 def emissions(weights: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Mean weight of a word's features, times the root of their number, for each label."""
     if not len(counts):
@@ -106,8 +112,9 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
     parts = [(data, lengths, words(_LOWER[data], lengths)) for _, _, data, lengths in chunks(pa.array(texts, pa.string()), 1 << 40)]
     data, lengths, found = parts[0]
-    rows, counts = word_features(_LOWER[data], found)
-    offsets = np.cumsum(counts) - counts
+    same, which = distinct_words(found)
+    rows, counts = word_features(_LOWER[data], same)
+    rows, offsets = rows.astype(np.int32), np.cumsum(counts) - counts
     doc_words = found.per_doc(len(lengths))
     doc_begin = np.cumsum(doc_words) - doc_words
     label_of = np.array([names.index(x) for x in labels])
@@ -128,7 +135,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
                 target.append(np.full(len(piece), k))
                 size += len(piece)
             sizes.append(size)
-        at, truth, sizes = np.concatenate(picked), np.concatenate(target), np.array(sizes)
+        at, truth, sizes = which[np.concatenate(picked)], np.concatenate(target), np.array(sizes)
         n = counts[at]
         own = rows[np.repeat(offsets[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         marginals, moves, firsts = forward_backward(emissions(weights, own, n), sizes, transitions, start)
@@ -156,9 +163,8 @@ def label_words(data: np.ndarray, lengths: np.ndarray, model: Model) -> tuple[np
     """Marginals of the labels of each word, and the words per text."""
     low = _LOWER[data]
     found = words(low, lengths)
-    _, pick, back = np.unique(found.hash, return_index=True, return_inverse=True)
-    some = Words(found.start[pick], found.end[pick], found.doc[pick], found.hash[pick])
-    scores = emissions(model.weights, *word_features(low, some))[back]
+    same, which = distinct_words(found)
+    scores = emissions(model.weights, *word_features(low, same))[which]
     return scores, found.per_doc(len(lengths))
 
 
@@ -180,7 +186,7 @@ def train(docs: DataFrame, fit_rows: int, folds: int, held_fold: int, id_col: st
     return fit([t for _, _, t in rows], [lang for _, lang, _ in rows])
 
 
-def identify_language(docs: DataFrame, fit_rows: int = 2_000, folds: int = 4, held_fold: int = 2, id_col: str = "doc_id",
+def identify_language(docs: DataFrame, fit_rows: int = 1_000, folds: int = 4, held_fold: int = 2, id_col: str = "doc_id",
                       text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, shares`` for each row of ``docs``.
 
