@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .shared import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Sources are broadcast up to so many bytes; the other columns of a row take ROW_BYTES at most.
+BROADCAST_BYTES, ROW_BYTES = 8 << 20, 200
 #: Hash digits (4 bits each) by which one histogram is finer than the one before, and in all.
 STEP, DIGITS = 3, 15
 
@@ -65,8 +67,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     ), "sizes")
     sources = materialize(source_targets(sized, weights, share, cap), "sources")
 
+    # One row per source: if these are small, they go to the documents, so a hot source is not gathered; beyond
+    # the bound the join shuffles and adaptive execution splits a hot source.
+    bytes_ = sources.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+
     def join_source(left: DataFrame, right: DataFrame) -> DataFrame:
         right = right.withColumnRenamed("source", "_source")
+        right = F.broadcast(right) if bytes_ <= BROADCAST_BYTES else right
         return left.join(right, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
     # at: the digits of the bucket in which the budget is passed; base: the words in all buckets before it.

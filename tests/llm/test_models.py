@@ -109,6 +109,12 @@ def test_mixture_meets_its_targets(spark):
     assert again == {r.doc_id: r.taken for r in out}
 
 
+def test_many_sources_are_joined_by_shuffle(spark, monkeypatch):
+    expected = sorted(tuple(r) for r in mixture.mix_sources(frames.docs(spark, 8)).collect())
+    monkeypatch.setattr(mixture, "BROADCAST_BYTES", 0)
+    assert sorted(tuple(r) for r in mixture.mix_sources(frames.docs(spark, 8)).collect()) == expected
+
+
 def test_mixture_of_awkward_rows(spark):
     out = mixture.mix_sources(frames.awkward(spark)).collect()
     assert len(out) == 8 and all(r.taken in (0, r.size, 2 * r.size) for r in out)
