@@ -98,7 +98,7 @@ def sample_splitters(keyed: DataFrame, kind: Kind, ranges: int, docs: int, size:
     if docs > SAMPLE_DOCS:
         some = keyed.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int((1 << 30) * SAMPLE_DOCS / docs))
     rows = some.mapInArrow(run, "gram long, content long").collect()
-    pairs = sorted((r.gram % (1 << 64), r.content % (1 << 64)) for r in rows)
+    pairs = sorted({(r.gram % (1 << 64), r.content % (1 << 64)) for r in rows})  # a task sends a content once
     cuts = sorted({pairs[i * len(pairs) // ranges] for i in range(1, ranges)}) if pairs else []
     return Splitters(np.array([c[0] for c in cuts], U), np.array([c[1] for c in cuts], U))
 
