@@ -1,5 +1,7 @@
 """Queries on forecasts: eligibility, scorers, risk results, records, errors."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gaugeline import functions as G
@@ -18,7 +20,8 @@ from gaugeline.catalog.base import (
 )
 from gaugeline.operators import windows
 from gaugeline.plans import forecast, model, monitor
-from gaugeline.sources import tables
+from gaugeline.session import run_folder
+from gaugeline.sources import dims, tables
 
 KEY = ["station_id"]
 
@@ -127,6 +130,84 @@ def f2(spark, sf):
     return fitted(Tables(spark, sf)).loss_history(spark)
 
 
+def level_windows(t: Tables, length: int, horizon: int):
+    """Windows of unscaled levels with the levels that follow."""
+    rows = t.resampled.filter("water_level IS NOT NULL").select("station_id", "hour", "water_level")
+    return windows.sliding_windows(rows, KEY, "hour", ["water_level"], length, "water_level", horizon)
+
+
+#: Two levels of a series in a row, and three.
+VIEWS["steps"] = (("numbered",), """
+SELECT station_id, i, water_level AS x, LEAD(water_level) OVER w AS y, LEAD(water_level, 2) OVER w AS z
+FROM numbered WINDOW w AS (PARTITION BY station_id ORDER BY i)""")
+#: So weak a ridge that the fit is the line of least squares.
+LINE = {"version": "line", "strengths": (1e-12,)}
+
+
+@query("f2_inner_products", f"""
+WITH ahead AS (SELECT water_level AS a, LEAD(water_level, 1) OVER w AS b, LEAD(water_level, 2) OVER w AS c,
+                      LEAD(water_level, 3) OVER w AS d, LEAD(water_level, 4) OVER w AS e
+               FROM numbered WINDOW w AS (PARTITION BY station_id ORDER BY i)),
+whole AS (SELECT [1.0::DOUBLE, a, b, c, d, e] AS r FROM ahead WHERE e IS NOT NULL)
+SELECT CAST(p.i AS INTEGER) AS i, CAST(q.j AS INTEGER) AS j, {qr('SUM(r[p.i + 1] * r[q.j + 1])', 'total', 3)}
+FROM whole, range(6) p(i), range(6) q(j) GROUP BY 1, 2""", "numbered")
+def f2_inner(spark, sf):
+    """Every cell of the matrix that the fit solves, for windows of 3 hours and 2 hours ahead."""
+    products = model.inner_products(level_windows(Tables(spark, sf), 3, 2))
+    cells = [(i, j, float(x)) for i, row in enumerate(products) for j, x in enumerate(row)]
+    return dims.local_table(spark, cells, i=pa.int32(), j=pa.int32(), total=pa.float64()).select("i", "j", r("total", 3))
+
+
+@query("f2_normal_equations", "SELECT CAST(unnest(range(1, 25)) AS INTEGER) AS hour_ahead, TRUE AS solved")
+def f2_solved(spark, sf):
+    """Whether the coefficients solve the ridge equations of each hour ahead."""
+    rows = Tables(spark, sf).resampled.filter("water_level IS NOT NULL")
+    pairs = windows.training_pairs(rows, KEY, "hour", ["water_level"], horizon=24)
+    found, products = model.fit(pairs, strengths=(0.01,)), model.inner_products(pairs)
+    p, n = products.shape[0] - 24, products[0, 0]
+    ridge = found.strength * n * np.diag([0.0] + [1.0] * (p - 1))
+    beta = np.vstack([found.intercepts, found.weights.T])
+    left = np.abs((products[:p, :p] + ridge) @ beta - products[:p, p:]).max(axis=0) / n
+    return dims.local_table(spark, [(h + 1, bool(x < 1e-6)) for h, x in enumerate(left)],
+                            hour_ahead=pa.int32(), solved=pa.bool_())
+
+
+@query("f3_loss_of_fit", f"""
+SELECT {qr('loss', 'train_loss')}, {qr('loss', 'scored_loss')}, n AS windows
+FROM (SELECT (regr_syy(y, x) - regr_sxy(y, x) ** 2 / regr_sxx(y, x)) / COUNT(y) AS loss, COUNT(y) AS n FROM steps) s""",
+       "steps")
+def f3_loss(spark, sf):
+    """The loss that the fit reports, and the loss of all windows scored with its coefficients."""
+    pairs = level_windows(Tables(spark, sf), 1, 1)
+    found = model.fit(pairs, horizon=1, **LINE)
+    scored = found.predict(pairs, F.flatten("window"))
+    return scored.agg(
+        F.avg(F.pow(F.col("predicted")[0] - F.col("label")[0], 2)).alias("scored_loss"), F.count(F.lit(1)).alias("windows")
+    ).withColumn("train_loss", F.lit(found.losses[0][2])).select(r("train_loss"), r("scored_loss"), "windows")
+
+
+@query("f4_lines", f"""
+SELECT CAST(1 AS INTEGER) AS hour_ahead, {qr('regr_intercept(y, x)', 'intercept')}, {qr('regr_slope(y, x)', 'slope')}
+FROM steps WHERE z IS NOT NULL
+UNION ALL SELECT 2, {qr('regr_intercept(z, x)', 'intercept')}, {qr('regr_slope(z, x)', 'slope')} FROM steps""", "steps")
+def f4_lines(spark, sf):
+    """With a window of one hour the model is a line of regression per hour ahead."""
+    found = model.fit(level_windows(Tables(spark, sf), 1, 2), horizon=2, **LINE)
+    return found.coefficients(spark).withColumn("slope", F.col("weights")[0]).select("hour_ahead", r("intercept"), r("slope"))
+
+
+@query("s9_saved_model", f"""
+SELECT station_id, i AS window_id, {qr('a + b * x', 'level')}
+FROM steps, (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM steps) f WHERE y IS NOT NULL""", "steps")
+def s9(spark, sf):
+    """Fit, save, load, and score every window with the loaded model."""
+    pairs, path = level_windows(Tables(spark, sf), 1, 1), run_folder(spark, "model")
+    model.fit(pairs, horizon=1, **LINE).save(spark, path)
+    scored = model.LevelModel.load(spark, path).predict(pairs, F.flatten("window"))
+    return scored.select("station_id", "window_id", F.col("predicted")[0].alias("level")).select(
+        "station_id", "window_id", r("level"))
+
+
 @query("f4_linear_model")
 def f4_linear(spark, sf):
     t = Tables(spark, sf)

@@ -569,6 +569,18 @@ def e11(spark, sf):
     return source.select("event_id", tables.row_json(*source.columns).alias("line"))
 
 
+@query("e11_parsed_row", """
+SELECT event_id, station_id, data_type, ts, value, ph, turbidity, dissolved_oxygen, error FROM reading""", "reading")
+def e11_parsed(spark, sf):
+    """Every field of every row read back from its text."""
+    source = Tables(spark, sf).reading
+    names = ["event_id", "station_id", "data_type", "ts", "value", "ph", "turbidity", "dissolved_oxygen", "error"]
+    types = dict(source.dtypes)
+    shape = ", ".join(f"{name} {types[name]}" for name in names)
+    lines = source.select(tables.row_json(*source.columns).alias("line"))
+    return lines.select(F.from_json("line", shape, tables.JSON_TIMES).alias("row")).select("row.*")
+
+
 @query("e12_guarded_division", f"""
 SELECT event_id, {qr('value / CASE WHEN event_id % 4 = 0 THEN CAST(1 AS DOUBLE) ELSE event_id % 4 END', 'share')}
 FROM reading""", "reading")

@@ -1,13 +1,11 @@
 """Queries that run a streaming job over a whole table to its end and read its sink."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.catalog.base import MEASURES, qrs, query, rs
 from gaugeline.catalog.records import LEVEL_BAD, RAIN_BAD
-from gaugeline.session import shared_folder
+from gaugeline.session import run_folder
 from gaugeline.sources import testdata
 from gaugeline.streaming import jobs
 
@@ -18,8 +16,8 @@ class Run:
     """Folders of one run, below the shared folder."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name = spark, f"{name}-{uuid.uuid4().hex[:12]}"
-        self.root = shared_folder(spark, f"runs/{self.name}")
+        self.spark, self.root = spark, run_folder(spark, name)
+        self.name = self.root.rsplit("/", 1)[-1]
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

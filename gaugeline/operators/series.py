@@ -61,17 +61,29 @@ def _lines(measures: Sequence[str], at: str, fill_lead: bool) -> list[Column]:
     return values
 
 
-def _spread(df: DataFrame, time_col: str, seconds: int) -> DataFrame:
-    """Each bin followed by the empty bins up to the next one (``_until``); no shuffle.
+def _spread(df: DataFrame, time_col: str, seconds: int, block: str, tail: Column | None = None) -> DataFrame:
+    """Each bin followed by the empty bins up to the next one (``_until``), those from ``tail`` on.
 
-    ``_ahead`` is 0 on the bin itself and counts the empty bins after it.
+    ``_ahead`` is 0 on the bin itself and counts the empty bins after it. A gap is cut into pieces
+    of a block's length, which are dealt to all tasks before the bins are made: a row that opens a
+    gap of years is not the work of one task. The number of tasks is fixed, as merging them by
+    the small size of the pieces would undo that.
     """
+    one, per = F.lit(1).cast("long"), max(1, interval_seconds(block) // seconds)
     start = epoch(F.col(time_col))
     gap = F.coalesce((F.col("_until") - start) / seconds, F.lit(1)).cast("long")
-    last = F.greatest(gap, F.lit(1).cast("long")) - 1  # rows of one bin have no bin between them
-    return (df.withColumn("_ahead", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(1).cast("long"))))
+    low = F.lit(0).cast("long") if tail is None else F.greatest(
+        F.lit(0).cast("long"), F.ceil((tail - start) / seconds).cast("long"))
+    # Rows of one bin have no bin between them.
+    df = df.withColumns({"_low": low, "_high": F.greatest(gap, one) - 1}).filter("_low <= _high")
+    piece = F.explode(F.expr(f"sequence(_low DIV {per}, greatest(_low, _high) DIV {per}, 1L)"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_piece", piece).repartition(tasks, B.SERIES, B.BLOCK, "_piece")
+    ahead = F.explode(F.expr(f"sequence(greatest(_low, _piece * {per}), "
+                             f"greatest(_low, _piece * {per}, least(_high, _piece * {per} + {per} - 1)), 1L)"))
+    return (dealt.withColumn("_ahead", ahead)
             .withColumn(time_col, F.timestamp_seconds(start + F.col("_ahead") * seconds))
-            .drop("_until"))
+            .drop("_until", "_low", "_high", "_piece"))
 
 
 def _bin_summary(bins: DataFrame, measures: Sequence[str]) -> DataFrame:
@@ -93,7 +105,8 @@ def dense_series(bins: DataFrame, keys: Sequence[str], time_col: str, measures:
     columns keep their value on existing bins and are NULL elsewhere. ``last``
     keeps the last ``last`` bins: older blocks go no further than the summary.
 
-    Gaps are expanded from the existing rows, so the spine needs no join.
+    Gaps are expanded from the existing rows, so the spine needs no join; a task makes the bins
+    of pieces of a block's length, whatever the length of a gap.
     """
     keys, seconds = list(keys), interval_seconds(interval)
     filled = list(measures) if fill else []
@@ -113,9 +126,7 @@ def dense_series(bins: DataFrame, keys: Sequence[str], time_col: str, measures:
         rows = local(B.join_summary(blocked, summary.filter(until > tail), "inner"))
     at = epoch(F.col(time_col))
     rows = B.beyond_block(rows, filled).withColumn("_until", F.coalesce("_until", "_until_next"))
-    spine = _spread(rows, time_col, seconds)
-    if last is not None:
-        spine = spine.filter(at > F.col("_last") - last * seconds)
+    spine = _spread(rows, time_col, seconds, block, None if last is None else tail)
     here = F.col("_ahead") == 0
     plain = spine.withColumns({c: F.when(here, F.col(c)) for c in [*measures, *passed]})
     values = _lines(measures, f"unix_seconds({B.sql_name(time_col)})", False) if fill else list(measures)

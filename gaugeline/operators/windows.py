@@ -30,9 +30,11 @@ def _chunked(df: DataFrame, position: str, overlap: int, chunk: int) -> DataFram
     return df.withColumn("_piece", pieces).withColumn("_own", F.col("_piece") == own)
 
 
-def _positioned(df, keys, time_col, tie, position, block):
+def _positioned(df, keys, time_col, tie, used, position, block):
+    """The ``used`` columns beside key and time, and the column of the position in the series."""
     if position is not None:
         return df, position
+    df = df.select(*dict.fromkeys([*keys, time_col, *tie, *used]))
     placed = B.row_index(B.with_block(df, keys, time_col, block), [time_col, *tie])
     return B.restore(placed, [*df.columns, "_idx"], keys), "_idx"
 
@@ -53,7 +55,8 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features:
     ``length + horizon`` rows. A regular series can pass its ``position`` column, which must
     count its rows without holes: a hole would hide windows at the ends of pieces, so it is an error.
     """
-    placed, pos = _positioned(df, keys, time_col, tie, position, block)
+    used = [*features, *([target] if target else [])]
+    placed, pos = _positioned(df, keys, time_col, tie, used, position, block)
     kept = placed.select(*keys, F.col(pos).alias("_pos"), F.col(time_col).alias("window_start"),
                          F.array(*[F.col(f).cast("double") for f in features]).alias("_row"),
                          *([F.array(F.col(target).cast("double")).alias("_target")] if target else []))
@@ -104,7 +107,7 @@ def horizon_errors(df: DataFrame, keys: Sequence[str], time_col: str, target: st
     """
     if season < horizon:
         raise ValueError("the season must cover the horizon")
-    placed, pos = _positioned(df, keys, time_col, tie, position, block)
+    placed, pos = _positioned(df, keys, time_col, tie, [target], position, block)
     rows = placed.select(*keys, F.col(pos).alias("_pos"), F.array(F.col(target).cast("double")).alias("_x"))
     pieces = _chunked(rows, "_pos", season + horizon - 1, chunk)
     # The row is the first of the season; its origin is the season's last row.

@@ -102,7 +102,7 @@ class LevelModel:
             settings)
 
 
-def _inner_products(pairs: DataFrame) -> np.ndarray:
+def inner_products(pairs: DataFrame) -> np.ndarray:
     """Sum over windows of the outer product of ``[1, window, label]``; incomplete windows are left out."""
     row = F.concat(F.array(F.lit(1.0)), F.flatten("window"), "label")
     whole = pairs.select(row.alias("r")).filter(~F.exists("r", lambda x: x.isNull()))
@@ -128,8 +128,8 @@ def fit(train: DataFrame, validation: DataFrame | None = None, version: str = "l
     """
     if min(strengths) <= 0:
         raise ValueError("ridge strengths must be positive")
-    seen = _inner_products(train)
-    held = None if validation is None else _inner_products(validation)
+    seen = inner_products(train)
+    held = None if validation is None else inner_products(validation)
     p = seen.shape[0] - horizon
     inputs, cross, n = seen[:p, :p], seen[:p, p:], seen[0, 0]
     penalised = np.eye(p)

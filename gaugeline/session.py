@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this package relies on; all can be set at run time.
@@ -49,13 +52,29 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}"
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # the session has ended, and nothing can be reached through it
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, for tables that are read until the driver ends, and then removed."""
+    folder = shared_folder(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of ``df`` from a reliable checkpoint in the shared folder.
 
     For a frame that several later steps read: its plan is run once, survives the
-    loss of executors, and later plans start from it.
+    loss of executors, and later plans start from it. A folder that is set here is removed when the driver ends.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_root(df.sparkSession))
+        atexit.register(_remove, df.sparkSession, context.getCheckpointDir())
     return df.checkpoint()

@@ -16,6 +16,7 @@ from gaugeline.session import shared_folder
 
 BATCH = "batch_id"
 DEDUPE_KEYS = ("station_id", "data_type", "ts")
+ARRIVED = "_arrived"
 
 
 def _start(stream: DataFrame, spark: SparkSession, name: str, checkpoint: str | None, mode: str,
@@ -31,8 +32,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def drop_repeats(readings: DataFrame, delay: str) -> DataFrame:
-    """One reading per station, type and time among those that arrive within ``delay``."""
-    return readings.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(DEDUPE_KEYS))
+    """One reading per station, type and time among those that arrive within ``delay`` of the first.
+
+    The watermark runs on the time of arrival, so a reading is never too late, however old it
+    is; keys leave the state ``delay`` after they arrived.
+    """
+    return (readings.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, delay)
+            .dropDuplicatesWithinWatermark(list(DEDUPE_KEYS)).drop(ARRIVED))
 
 
 def judged(readings: DataFrame, as_of=None) -> DataFrame:

@@ -90,6 +90,23 @@ def test_repeats_are_dropped(spark, reading, tmp_path):
     assert out.count() == reading.count()
 
 
+def test_old_readings_are_no_late_ones(spark, tmp_path):
+    """Readings far behind the newest event stay, one of each key."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    shape = "station_id string, data_type string, ts timestamp, value double"
+    start = dt.datetime(2024, 1, 10)
+    for number, days in enumerate([(0, 40), (-90, 40), (-90, 1), (41,)]):
+        batch = spark.createDataFrame([("S1", "rainfall", start + dt.timedelta(days=d), 1.0) for d in days], shape)
+        write_in_order(spark, batch, f"{path}/{number}", 1)
+        os.utime(f"{path}/{number}/part-000.parquet", (1_700_000_000 + number, 1_700_000_000 + number))
+    deduped = jobs.drop_repeats(stream(spark, f"{path}/*", shape), "2 days")
+    assert deduped.columns == ["station_id", "data_type", "ts", "value"]
+    finish(deduped.writeStream.format("parquet").option("path", out)
+           .option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
+    got = [x[0] for x in rows(spark.read.parquet(out), "ts")]
+    assert sorted(got) == [start + dt.timedelta(days=d) for d in (-90, 0, 1, 40, 41)]
+
+
 def test_hourly_means_equal_batch(spark, reading, reading_files, tmp_path):
     out = str(tmp_path / "hourly")
     finish(jobs.store_hourly(stream(spark, reading_files), out, trigger=ONCE, name="hourly_test"))
