@@ -13,6 +13,7 @@ from gaugeline.catalog.base import (
 )
 from gaugeline.operators import kpis, reshape, risk, warnings
 from gaugeline.plans import monitor
+from gaugeline.sources import testdata
 
 def _sql_id(said: str) -> str:
     """The id by the columns of a warning."""
@@ -48,8 +49,9 @@ PLAIN = ["id", "warning_type", "warning_level", "title", "content", "affected_lo
          "expire_time", "status"]
 
 
-def flood_log(t: Tables):
-    graded = risk.with_grade(t.hour_wide, "water_level").withColumnsRenamed({"station_id": "location_id"})
+def flood_log(t: Tables, hours=None):
+    """The warnings of all hours, or of the given ones."""
+    graded = risk.with_grade(t.hour_wide if hours is None else hours, "water_level").withColumnsRenamed({"station_id": "location_id"})
     results = kpis.with_station_name(graded, t.stations, "location_id").withColumn(
         "max_predicted_water_level", F.round("water_level", 2))
     return warnings.generate_flood_warnings(results, F.col("hour"))
@@ -57,9 +59,7 @@ def flood_log(t: Tables):
 
 def cancels(t: Tables):
     """Ids of warnings published in an hour in which the station's sensor failed."""
-    failed = t.reading.filter("error IS NOT NULL").select(
-        F.col("station_id").alias("affected_location"), F.date_trunc("hour", "ts").alias("publish_time")).distinct()
-    return flood_log(t).join(failed, ["affected_location", "publish_time"], "left_semi").select("id")
+    return flood_log(t, testdata.hour_wide(t.reading, failed=True).filter("n_failed > 0")).select("id")
 
 
 @query("n1_flood_warnings", f"SELECT {', '.join(PLAIN)} FROM flood_warning", "flood_warning")

@@ -90,11 +90,12 @@ def rows_before(count: str = "_n") -> Column:
 def row_index(df: DataFrame, order: Sequence[str], name: str = "_idx") -> DataFrame:
     """0-based position in the series, in ``order``; ``df`` carries its block.
 
-    Rows are counted beside the values of every column, which changes no count (none exceeds that of
-    the rows) but keeps the columns of both sides of the join the same, so the source is read once.
+    The count also looks at a hash of all columns (maps have none). It never exceeds that of the rows, so it
+    changes no result, but both sides of the join then need the same columns, and the source is read once.
     """
-    values = "".join(f", count({sql_name(c)})" for c in df.columns if c not in (SERIES, BLOCK))
-    counts = df.groupBy(SERIES, BLOCK).agg(F.expr(f"greatest(count(*){values}) AS _n"))
+    values = ", ".join(sql_name(c) for c, kind in df.dtypes if c not in (SERIES, BLOCK) and "map<" not in kind)
+    hashed = f", count(nullif(xxhash64({values}), 0L))" if values else ", 0L"
+    counts = df.groupBy(SERIES, BLOCK).agg(F.expr(f"greatest(count(*){hashed}) AS _n"))
     offsets = counts.select(SERIES, BLOCK, rows_before().alias("_offset"))
     numbered = df.withColumn("_rn", F.row_number().over(in_block(*order)))
     return (join_summary(numbered, offsets)

@@ -54,11 +54,11 @@ def reading(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame
         "CASE WHEN k = 0 THEN 'sensor failure' END AS error", "event_id")
 
 
-def hour_wide(readings: DataFrame) -> DataFrame:
-    """Hourly means per station, one column per measure."""
+def hour_wide(readings: DataFrame, failed: bool = False) -> DataFrame:
+    """Hourly means per station, one column per measure; with ``failed`` also ``n_failed``, the readings that failed."""
     means = [F.expr(f"avg(CASE WHEN data_type = '{kind}' THEN value END) AS {kind}") for kind in FEATURES]
     return (readings.groupBy("station_id", time_bin(F.col("ts"), 3600).alias("hour"))
-            .agg(*means, F.expr("count(*) AS n_readings")))
+            .agg(*means, F.expr("count(*) AS n_readings"), *([F.count("error").alias("n_failed")] if failed else [])))
 
 
 def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
