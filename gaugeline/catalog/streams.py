@@ -3,13 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline import constants as C
 from gaugeline.catalog.base import MEASURES, qrs, query, rs
 from gaugeline.catalog.records import LEVEL_BAD, RAIN_BAD
 from gaugeline.session import run_folder
-from gaugeline.sources import testdata
+from gaugeline.sources import readings, testdata
 from gaugeline.streaming import jobs
 
 ALL = {"availableNow": True}
+#: Micro-batches that the files of a source are dealt to, at least.
+BATCHES = 4
 
 
 class Run:
@@ -25,6 +28,12 @@ class Run:
     def options(self) -> dict:
         return {"checkpoint": self.path("checkpoint"), "trigger": ALL, "name": self.name}
 
+    def files(self, rows: DataFrame, key: str, kind: str) -> tuple[str, int]:
+        """``rows`` as files of a source, and how many of them a micro-batch takes."""
+        count = max(BATCHES, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        rows.repartition(count, key).write.format(kind).save(self.path("in"))
+        return self.path("in"), count // BATCHES
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
@@ -44,8 +53,10 @@ SELECT location_id,
        SUM((CASE WHEN bad_time OR bad_level THEN 1 ELSE 0 END) + (CASE WHEN bad_time OR bad_rain THEN 1 ELSE 0 END)
          + (CASE WHEN bad_time THEN 1 ELSE 0 END))::BIGINT AS dead FROM flags GROUP BY 1""", "station_batch")
 def st1(spark, sf):
+    """From JSON files, in several micro-batches."""
     run = Run(spark, "ingest")
-    batches = testdata.station_batches(spark, sf, stream=True)
+    source, per = run.files(testdata.station_batches(spark, sf), "readings", "json")
+    batches = readings.stream_batches(spark, source, max_files=per)
     jobs.ingest(batches, run.path("good"), run.path("dead"), INGEST_TIME, **run.options()).awaitTermination()
     both = run.read("good").select("location_id", F.lit(1).alias("good")).unionByName(
         run.read("dead").select("location_id", F.lit(0).alias("good")))
@@ -64,17 +75,27 @@ def st2(spark, sf):
     return run.read("hourly").select("station_id", "hour", *rs(MEASURES), "n_readings")
 
 
-@query("st3_latest", """
-SELECT station_id, data_type, MAX(ts) AS ts, arg_max_null(value, ts) AS value, arg_max_null(error, ts) AS error
-FROM reading GROUP BY 1, 2""", "reading")
+NEWEST = ", ".join(f"{c} DESC NULLS LAST" for c in ("ts", "value", "ph", "turbidity", "dissolved_oxygen", "error"))
+
+
+@query("st3_latest", f"""
+SELECT station_id, data_type, ts, value, ph, turbidity, dissolved_oxygen, error FROM reading
+QUALIFY ROW_NUMBER() OVER (PARTITION BY station_id, data_type ORDER BY {NEWEST}) = 1""", "reading")
 def st3(spark, sf):
-    run = Run(spark, "latest")
-    jobs.store_latest(testdata.reading(spark, sf, stream=True), run.path("latest"), **run.options()).awaitTermination()
-    return jobs.read_latest(spark, run.path("latest")).select("station_id", "data_type", "ts", "value", "error")
+    """In several micro-batches, with a snapshot after each."""
+    run, rows = Run(spark, "latest"), testdata.reading(spark, sf)
+    source, per = run.files(rows, "event_id", "parquet")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per).parquet(source)
+    jobs.store_latest(stream, run.path("latest"), compact_every=1, **run.options()).awaitTermination()
+    return jobs.read_latest(spark, run.path("latest"))
+
+
+TITLES = " ".join(f"WHEN {level} THEN '{title}'" for level, title, _ in C.FLOOD_TEXTS)
 
 
-@query("st4_live_warnings", """
-SELECT station_id AS affected_location, grade AS warning_level, last_time AS publish_time,
+@query("st4_live_warnings", f"""
+SELECT station_id AS affected_location, 1 AS warning_type, grade AS warning_level, 1 AS status,
+       replace(CASE grade {TITLES} END, '%s', station_id) AS title, last_time AS publish_time,
        last_time + INTERVAL 24 HOUR AS expire_time
 FROM (SELECT station_id, CASE WHEN value >= 30 THEN 4 WHEN value >= 25 THEN 3 WHEN value >= 20 THEN 2
              WHEN value >= 15 THEN 1 ELSE 0 END AS grade, MAX(ts) OVER () AS last_time
@@ -84,4 +105,4 @@ def st4(spark, sf):
     levels = testdata.reading(spark, sf, stream=True).filter("data_type = 'water_level' AND value IS NOT NULL")
     named = levels.selectExpr("station_id", "station_id AS station_name", "ts", "value AS water_level")
     jobs.live_warnings(named, run.path("log"), run.path("cancels"), **run.options()).awaitTermination()
-    return run.read("log").select("affected_location", "warning_level", "publish_time", "expire_time")
+    return run.read("log").select("affected_location", "warning_type", "warning_level", "status", "title", "publish_time", "expire_time")

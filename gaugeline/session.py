@@ -52,7 +52,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}"
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system, if there is one."""
     context = spark.sparkContext
     if context._jsc is None:  # the session has ended, and nothing can be reached through it
         return
@@ -60,10 +61,24 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_values(spark: SparkSession, pattern: str) -> list[str]:
+    """Sorted values of the ``<name>=<value>`` folders that a pattern finds; one that ends in a file gives those that hold it."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(at) or []
+    paths = [f.getPath() if "=" in f.getPath().getName() else f.getPath().getParent() for f in found]
+    return sorted(p.getName().split("=", 1)[1] for p in paths)
+
+
+def folder_numbers(spark: SparkSession, pattern: str) -> list[int]:
+    """:func:`folder_values` as ascending numbers."""
+    return sorted(int(v) for v in folder_values(spark, pattern))
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one, for tables that are read until the driver ends, and then removed."""
     folder = shared_folder(spark, f"runs/{name}-{uuid.uuid4().hex[:12]}")
-    atexit.register(_remove, spark, folder)
+    atexit.register(remove_folder, spark, folder)
     return folder
 
 
@@ -76,5 +91,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_root(df.sparkSession))
-        atexit.register(_remove, df.sparkSession, context.getCheckpointDir())
+        atexit.register(remove_folder, df.sparkSession, context.getCheckpointDir())
     return df.checkpoint()

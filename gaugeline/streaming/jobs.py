@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline import constants as C
 from gaugeline.functions import as_moment
 from gaugeline.operators import reshape, risk, validate, warnings
-from gaugeline.session import shared_folder
+from gaugeline.session import folder_numbers, folder_values, remove_folder, shared_folder
 
 BATCH = "batch_id"
 DEDUPE_KEYS = ("station_id", "data_type", "ts")
@@ -105,20 +105,61 @@ def latest(readings: DataFrame) -> DataFrame:
 
 
 def store_latest(readings: DataFrame, path: str, checkpoint: str | None = None,
-                 trigger: dict | None = None, name: str = "latest") -> StreamingQuery:
-    """Changed rows per micro-batch; :func:`read_latest` gives the view."""
+                 trigger: dict | None = None, name: str = "latest", compact_every: int = 100) -> StreamingQuery:
+    """Changed rows per micro-batch, joined to one snapshot every ``compact_every`` batches;
+    :func:`read_latest` gives the view."""
+    def store(micro: DataFrame, batch_id: int) -> None:
+        write_batch(micro, path, batch_id)
+        if batch_id and batch_id % compact_every == 0:
+            compact_latest(micro.sparkSession, path, batch_id)
+
     return _start(latest(readings), readings.sparkSession, name, checkpoint, "update", trigger
-                  ).foreachBatch(lambda micro, i: write_batch(micro, path, i)).start()
+                  ).foreachBatch(store).start()
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
-    columns = [c for c in rows.columns if c not in ("station_id", "data_type", BATCH)]
-    return (rows.groupBy("station_id", "data_type")
-            .agg(F.max_by(F.struct(*columns), BATCH).alias("r"))
+#: Hidden from readers of the table's folder, as its name starts with an underscore.
+SNAPSHOTS = "_snapshots"
+
+
+def _newest(spark: SparkSession, path: str, snapshot: int | None) -> DataFrame:
+    """One row per station and type, with its batch, of a snapshot and the batches after it."""
+    after = [n for n in folder_numbers(spark, f"{path}/{BATCH}=*") if snapshot is None or n > snapshot]
+    parts = [spark.read.parquet(f"{path}/{SNAPSHOTS}/upto={snapshot}")] if snapshot is not None else []
+    if after or not parts:
+        folders = [f"{path}/{BATCH}={n}" for n in after] or [path]
+        parts.append(spark.read.option("basePath", path).parquet(*folders).withColumn(BATCH, F.col(BATCH).cast("long")))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    columns = [c for c in rows.columns if c not in ("station_id", "data_type")]
+    return (rows.groupBy("station_id", "data_type").agg(F.max_by(F.struct(*columns), BATCH).alias("r"))
             .select("station_id", "data_type", "r.*"))
 
 
+def compact_latest(spark: SparkSession, path: str, upto: int) -> None:
+    """Write the view after batch ``upto`` as a snapshot.
+
+    Batches and snapshots that the snapshot before it replaced are removed; those that this one replaces stay
+    for readers that have listed them. A batch that runs again finds its snapshot done.
+    """
+    done = folder_numbers(spark, f"{path}/{SNAPSHOTS}/upto=*/_SUCCESS")
+    if upto in done:
+        return
+    before = max((n for n in done if n < upto), default=None)
+    _newest(spark, path, before).write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/upto={upto}")
+    if before is not None:
+        for n in folder_numbers(spark, f"{path}/{BATCH}=*"):
+            if n <= before:
+                remove_folder(spark, f"{path}/{BATCH}={n}")
+        for n in done:
+            if n < before:
+                remove_folder(spark, f"{path}/{SNAPSHOTS}/upto={n}")
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last snapshot with the batches after it, however long the stream has run."""
+    done = folder_numbers(spark, f"{path}/{SNAPSHOTS}/upto=*/_SUCCESS")
+    return _newest(spark, path, done[-1] if done else None).drop(BATCH)
+
+
 LOG_SCHEMA = ("id string, warning_type int, warning_level int, title string, content string, "
               "affected_location string, publish_time timestamp, expire_time timestamp, status int, "
               f"day date, {BATCH} bigint")
@@ -130,6 +171,14 @@ def _open(spark: SparkSession, path: str, schema: str, partitions: list[str]) ->
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
+def read_log(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """Warnings that expire on ``day`` (as text) or later; folders of earlier days are not listed."""
+    days = [d for d in folder_values(spark, f"{path}/day=*") if d >= day]
+    if not days:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(*[f"{path}/day={d}" for d in days])
+
+
 def raised(micro: DataFrame, log: DataFrame, cancels: DataFrame, now: Column) -> DataFrame:
     """New warnings of a micro-batch: one per station and grade without a warning in force.
 
@@ -153,8 +202,8 @@ def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None
     ``levels`` has ``station_id``, ``station_name``, ``ts`` and ``water_level``.
     Events after ``clock`` (the time of processing) are no evidence and are left out. "Now" is the newest
     of the others in the micro-batch, so a re-run raises the same warnings, reads no log row of its
-    own batch, and replaces its own files. The log is partitioned by the day of expiry; a batch reads
-    the days on which a warning can still be in force, however long warnings last.
+    own batch, and replaces its own files. The log is partitioned by the day of expiry; a batch lists and
+    reads the days on which a warning can still be in force, however long warnings last.
     """
     spark = levels.sparkSession
     _open(spark, log_path, LOG_SCHEMA, ["day", BATCH])
@@ -164,12 +213,12 @@ def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None
         session = micro.sparkSession
         past = micro.filter(F.col("ts") <= as_moment(clock)).persist()
         try:
-            newest = past.agg(F.max("ts").alias("ts")).first()["ts"]
-            if newest is None:
+            day = F.max("ts") if as_of is None else as_moment(as_of)
+            last = past.agg(F.max("ts").alias("ts"), F.to_date(day).cast("string").alias("day")).first()
+            if last["ts"] is None:
                 return
-            now = as_moment(as_of) if as_of is not None else as_moment(newest)
-            log = (session.read.schema(LOG_SCHEMA).parquet(log_path)
-                   .filter((F.col(BATCH) < batch_id) & (F.col("day") >= F.to_date(now))))
+            now = as_moment(last["ts"] if as_of is None else as_of)
+            log = read_log(session, log_path, last["day"]).filter(F.col(BATCH) < batch_id)
             cancels = session.read.schema(CANCEL_SCHEMA).parquet(cancel_path)
             fresh = raised(past, log, cancels, now)
             (fresh.withColumns({"day": F.to_date("expire_time"), BATCH: F.lit(batch_id).cast("long")})

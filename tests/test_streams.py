@@ -125,6 +125,30 @@ def test_latest_equals_batch(spark, reading, reading_files, tmp_path):
     assert got == rows(kpis.latest_readings(reading), "station_id", "data_type", "ts", "value")
 
 
+def test_latest_is_compacted(spark, reading, reading_files, tmp_path):
+    """Snapshots replace old batches, and a batch that runs again changes nothing."""
+    out = str(tmp_path / "latest")
+    finish(jobs.store_latest(stream(spark, reading_files), out, trigger=ONCE, name="compact_test", compact_every=2))
+    assert sorted(d for d in os.listdir(out) if not d.startswith(".")) == ["_snapshots", "batch_id=3", "batch_id=4"]
+    assert sorted(d for d in os.listdir(f"{out}/_snapshots") if not d.startswith(".")) == ["upto=2", "upto=4"]
+    want = rows(kpis.latest_readings(reading), "station_id", "data_type", "ts", "value")
+    assert rows(jobs.read_latest(spark, out), "station_id", "data_type", "ts", "value") == want
+    jobs.compact_latest(spark, out, 4)
+    jobs.compact_latest(spark, out, 5)
+    assert rows(jobs.read_latest(spark, out), "station_id", "data_type", "ts", "value") == want
+
+
+def test_a_batch_reads_no_old_day_of_the_log(spark, tmp_path):
+    path, start = str(tmp_path / "log"), dt.datetime(2024, 1, 10)
+    log = spark.createDataFrame([(f"w{i}", 1, 1, "t", "c", "S1", start, start + dt.timedelta(days=i), 1, (start + dt.timedelta(days=i)).date(), 0)
+                                 for i in range(5)], jobs.LOG_SCHEMA)
+    log.write.partitionBy("day", jobs.BATCH).parquet(path)
+    recent = jobs.read_log(spark, path, "2024-01-13")
+    assert {f.split("day=")[1][:10] for f in recent.inputFiles()} == {"2024-01-13", "2024-01-14"}
+    assert rows(recent, "id", "day") == [("w3", dt.date(2024, 1, 13)), ("w4", dt.date(2024, 1, 14))]
+    assert jobs.read_log(spark, path, "2025-01-01").count() == 0
+
+
 LEVELS = "station_id string, station_name string, ts timestamp, water_level double"
 
 
