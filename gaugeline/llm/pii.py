@@ -19,7 +19,8 @@ SSN_CUES = ("ssn", "social security")
 ACCOUNT_CUES = ("account number", "account no", "acct", "passport", "customer id", "user id", "kontonummer", "cuenta")
 STREET_CUES = (" street", " avenue", " road", " boulevard", " lane", "straße", "strasse", " rue ", " calle ")
 
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match starts a run of digits, as one inside it would also start there; so a long run is read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -117,7 +118,7 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
             scheme -= 1
         rest = _URL_REST.match(text, end)
         if rest and (text[start] == "w" or scheme < start):
-            found.setdefault("url", []).append((scheme, len(text[:rest.end()].rstrip(".,;:!?)"))))
+            found.setdefault("url", []).append((scheme, scheme + len(text[scheme:rest.end()].rstrip(".,;:!?)"))))
     for start, _ in at.get("key", ()):
         if (m := _KEY_ID.match(text, start)) and not (start and text[start - 1].isalnum()):
             found.setdefault("secret", []).append(m.span())
