@@ -55,7 +55,7 @@ def test_base_spans_of_random_texts(text):
 
 
 def test_long_runs_of_digits_are_read_once():
-    run, rest = "1" * 300_000, " 10.0.0.1 " + "7.8.9." * 50_000 + "x"
+    run, rest = "1" * 300_000, " 10.0.0.1 " + "7.8.9." * 500 + "x"
     found = [s for s in pii.find_spans(run + rest, pii.build_automaton()) if s[0] in ("email", "ip", "card", "phone")]
     assert found == [(kind, start + len(run), end + len(run)) for kind, start, end in brute.personal_data(rest)]
 
