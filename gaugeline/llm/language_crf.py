@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, Words, byte_table, chunks, grams, mix, words
+from .arrays import U, Words, byte_table, chunks, grams, mix, unsigned, words
 from .quality_model import remainder
 
 #: Rows of the weight table that features are hashed to.
 ROWS = 1 << 16
 #: Training: sequences of so many words from up to PIECES texts, so that languages switch inside; steps and their size.
 LENGTH, PIECES, BATCH, STEPS, RATE = 48, 3, 48, 250, 0.3
+#: What a task sends of a text that the field learns from: all of a short one, else so many pieces of LENGTH words, and bytes of a piece.
+SENT, PIECE_BYTES = 8, 1024
 #: Words that forward and backward run over at once.
 WORDS = 1_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -106,19 +108,53 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
     return marginals, moves, marginals[begins[:live[0] if len(live) else 0]].sum(axis=0)
 
 
-def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
-    """Maximise the conditional likelihood by adaptive gradient steps on sequences drawn from the texts."""
+def pieces(data: np.ndarray, lengths: np.ndarray, seeds: np.ndarray) -> list[list[str]]:
+    """What is sent of each text: one that is short is a single piece; of others SENT places, by hash over all its words."""
+    found = words(data, lengths)
+    counts, ends = found.per_doc(len(lengths)), np.cumsum(lengths)
+    out = []
+    for n, first, size, end, seed in zip(counts, np.cumsum(counts) - counts, lengths, ends, seeds):
+        spans = [(end - size, end)]
+        if n and (n > SENT * LENGTH or size > SENT * PIECE_BYTES):
+            spans = []
+            for h in mix(np.arange(1, SENT + 1, dtype=U) * U(0x9E3779B97F4A7C15) ^ seed):
+                word = first + int(h % U(n))
+                start, stops = found.start[word], found.end[word:min(word + LENGTH, first + n)]
+                spare = int(stops[0] - start) - PIECE_BYTES
+                if spare > 0:  # a part of a very long word, from anywhere in it
+                    start += int(mix(h[None])[0] % U(spare + 1))
+                    spans.append((start, start + PIECE_BYTES))
+                else:
+                    spans.append((start, stops[np.searchsorted(stops, start + PIECE_BYTES, "right") - 1]))
+        out.append([data[a:b].tobytes().decode("utf-8", "ignore") for a, b in spans])
+    return out
+
+
+def fit(sample: list[list[str]], labels: list[str], seed: int = 5) -> Model:
+    """Maximise the conditional likelihood by adaptive gradient steps on sequences drawn from the pieces of each text.
+
+    From a text that is a single piece sequences start anywhere, else where a piece starts.
+    """
     names = sorted(set(labels))
     rng = np.random.default_rng(seed)
-    parts = [(data, lengths, words(_LOWER[data], lengths)) for _, _, data, lengths in chunks(pa.array(texts, pa.string()), 1 << 40)]
-    data, lengths, found = parts[0]
-    same, which = distinct_words(found)
-    rows, counts = word_features(_LOWER[data], same)
-    rows, offsets = rows.astype(np.int32), np.cumsum(counts) - counts
-    doc_words = found.per_doc(len(lengths))
-    doc_begin = np.cumsum(doc_words) - doc_words
+    all_rows, all_counts, all_which, all_words, known = [], [], [], [], 0
+    for _, _, data, lengths in chunks(pa.array([p for own in sample for p in own], pa.string())):
+        low = _LOWER[data]
+        found = words(low, lengths)
+        same, at = distinct_words(found)
+        some_rows, some = word_features(low, same)
+        all_rows.append(some_rows.astype(np.int32))
+        all_counts.append(some)
+        all_which.append(at + known)
+        all_words.append(found.per_doc(len(lengths)))
+        known += len(some)
+    rows, counts, which, piece_words = (np.concatenate(x) for x in (all_rows, all_counts, all_which, all_words))
+    offsets = np.cumsum(counts) - counts
+    piece_begin = np.cumsum(piece_words) - piece_words
+    has = np.array([len(own) for own in sample])
+    first_piece = np.cumsum(has) - has
     label_of = np.array([names.index(x) for x in labels])
-    by_label = [np.flatnonzero((label_of == k) & (doc_words > 0)) for k in range(len(names))]
+    by_label = [np.flatnonzero((label_of == k) & (np.add.reduceat(piece_words, first_piece) > 0)) for k in range(len(names))]
     by_label = [(k, docs) for k, docs in enumerate(by_label) if len(docs)]
     weights, transitions, start = np.zeros((ROWS, len(names)), np.float32), np.zeros((len(names),) * 2), np.zeros(len(names))
     seen = [np.full_like(weights, 1e-4), np.full_like(transitions, 1e-4), np.full_like(start, 1e-4)]
@@ -129,8 +165,9 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
             for _ in range(rng.integers(1, PIECES + 1)):
                 k, docs = by_label[rng.integers(len(by_label))]
                 doc = docs[rng.integers(len(docs))]
-                begin = rng.integers(doc_words[doc])
-                piece = np.arange(begin, min(begin + 1 + rng.integers(LENGTH), doc_words[doc])) + doc_begin[doc]
+                one = first_piece[doc] + rng.integers(has[doc])
+                begin = rng.integers(piece_words[one]) if has[doc] == 1 else 0
+                piece = np.arange(begin, min(begin + 1 + rng.integers(LENGTH), piece_words[one])) + piece_begin[one]
                 picked.append(piece)
                 target.append(np.full(len(piece), k))
                 size += len(piece)
@@ -172,21 +209,46 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+def share(counts: list[int], fit_rows: int) -> int:
+    """The most texts per language, at least one, such that all languages together have at most ``fit_rows``."""
+    left, most = fit_rows, 1
+    for i, n in enumerate(sorted(counts)):
+        most = max(1, left // (len(counts) - i))
+        if n > most:
+            break
+        left -= n
+    return most
+
+
 def train(docs: DataFrame, fit_rows: int, folds: int, held_fold: int, id_col: str, text_col: str, lang_col: str) -> Model | None:
-    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).filter(remainder(id_col, folds) != held_fold)
-    ids = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    count = ids.count()
-    if count > fit_rows:  # whole texts of the rows below a hash threshold, then at most fit_rows of them
-        known = known.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.1 * fit_rows / count)))
-    rows = known.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
-                        F.xxhash64(F.col(id_col).cast("string")).alias("by")).limit(2 * fit_rows).collect()
-    rows = sorted(((r.by, r.lang, r.text) for r in rows if has_letter(r.text)))[:fit_rows]
-    if not rows:
+    known = (docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).cast("string").rlike(r"\p{L}")).filter(remainder(id_col, folds) != held_fold)
+             .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
+                     F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("by")))
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
         return None
-    return fit([t for _, _, t in rows], [lang for _, lang, _ in rows])
+    most = share(list(counts.values()), fit_rows)
+    # A threshold per language, below which the first ones by hash surely are.
+    below = [(lang, int((1 << 30) * min(1.0, (most + 6 * most ** 0.5 + 20) / n))) for lang, n in counts.items()]
+    limits = docs.sparkSession.createDataFrame(below, "lang string, below long")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = unsigned(batch.column(1).to_numpy(zero_copy_only=False))
+            parts = [p for a, b, data, lengths in chunks(batch.column(2)) for p in pieces(data, lengths, seeds[a:b])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.string()))], ["lang", "by", "pieces"])
+
+    near = known.join(F.broadcast(limits), "lang").filter(F.pmod("by", F.lit(1 << 30)) < F.col("below")).select("lang", "by", "text")
+    sent = near.mapInArrow(send, "lang string, by long, pieces array<string>").groupBy("lang", "by").agg(F.first("pieces").alias("pieces"))
+    rows, taken = [], dict.fromkeys(counts, 0)
+    for row in sorted(sent.collect(), key=lambda r: (r.by % (1 << 30), r.by, r.lang)):
+        taken[row.lang] += 1
+        if taken[row.lang] <= most:
+            rows.append(row)
+    return fit([r.pieces for r in rows], [r.lang for r in rows])
 
 
-def identify_language(docs: DataFrame, fit_rows: int = 1_000, folds: int = 4, held_fold: int = 2, id_col: str = "doc_id",
+def identify_language(docs: DataFrame, fit_rows: int = 8_000, folds: int = 4, held_fold: int = 2, id_col: str = "doc_id",
                       text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, shares`` for each row of ``docs``.
 
@@ -195,8 +257,10 @@ def identify_language(docs: DataFrame, fit_rows: int = 1_000, folds: int = 4, he
     for each word, also where a text switches its language. ``shares`` has the mean probability by language,
     ``lang_pred`` the language with the largest, ``score`` that share.
 
-    The field learns from at most ``fit_rows`` texts with a language, chosen by a hash of the id among those whose crc32 of
-    the id modulo ``folds`` is not ``held_fold``; its training sequences join pieces of several texts. ``und`` with score 0
+    The field learns from at most ``fit_rows`` texts with a language and a letter, the first of each language by a hash of id and
+    text among those whose crc32 of the id modulo ``folds`` is not ``held_fold``. All languages get the same number of texts;
+    what a rare one has not is left to the others, and each one has a text at least. Its training sequences join pieces of several
+    texts; of a long text tasks send pieces from places by hash over the whole text, so what the driver holds is bounded. ``und`` with score 0
     is the result for null texts, texts without a letter, and where nothing could be learned. Ties go to the first language
     in order. Rows are judged one by one, whatever their id.
     """

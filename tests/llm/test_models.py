@@ -64,6 +64,29 @@ def test_switched_text_has_shares_of_both_languages(spark):
     assert shares["en"] > 0.2 and shares["fr"] > 0.2 and shares["en"] + shares["fr"] > 0.9
 
 
+def test_rare_language_is_a_label(spark):
+    """One of the first texts by hash is not needed: each language has its own sample."""
+    data = [(i, f"the words of text {i} are plain" if i % 1500 else f"zzyq qquv {i} vvxq zzuq", "en" if i % 1500 else "rare") for i in range(9_000)]
+    out = language_crf.identify_language(spark.createDataFrame(data, "doc_id long, text string, lang string"), fit_rows=100)
+    assert {r.lang_pred for r in out.filter("doc_id % 1500 = 0").collect()} == {"rare"}
+
+
+def test_languages_share_the_sample():
+    assert language_crf.share([10, 10, 5000, 9000], 100) == 40
+    assert language_crf.share([5, 6], 100) >= 6
+    assert language_crf.share([9] * 50, 10) == 1
+
+
+def test_sent_pieces_are_bounded_and_cover_the_whole_text():
+    texts = ["a few words", " ".join(f"w{i}" for i in range(200_000)), "é" * 300_000]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    sent = language_crf.pieces(data, np.array([len(t.encode()) for t in texts]), np.arange(3, dtype=np.uint64))
+    assert sent[0] == texts[:1] and all(len(own) == language_crf.SENT for own in sent[1:])
+    assert all(len(p.encode()) <= language_crf.PIECE_BYTES for own in sent for p in own)
+    firsts = [int(p.split()[0][1:]) for p in sent[1]]
+    assert max(firsts) > 100_000 and all(p == " ".join(f"w{i + k}" for k in range(language_crf.LENGTH)) for i, p in zip(firsts, sent[1]))
+
+
 def test_forward_backward_equals_sums_over_all_paths():
     rng = np.random.default_rng(3)
     scores, lengths = rng.normal(size=(7, 2)), np.array([4, 0, 3])
