@@ -28,13 +28,13 @@ class Model(NamedTuple):
     temperature: float
 
 
-def index_vectors() -> np.ndarray:
-    """Sparse vectors of a few signs at places given by hash: the random index of each row."""
-    out = np.zeros((ROWS, DIM), np.float32)
+def index_signs() -> np.ndarray:
+    """Sparse vectors of a few signs at places given by hash: the random index of each row, before its scale."""
+    out = np.zeros((ROWS, DIM), np.int8)
     for i in range(SIGNS):
         h = mix(np.arange(ROWS, dtype=U) * U(SIGNS) + U(i + 1))
-        out[np.arange(ROWS), (h % U(DIM)).astype(np.int64)] += np.where(h >> U(63), 1, -1)
-    return out / np.float32(np.sqrt(SIGNS))
+        out[np.arange(ROWS), (h % U(DIM)).astype(np.int64)] += np.where(h >> U(63), 1, -1).astype(np.int8)
+    return out
 
 
 def word_rows(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,22 +50,44 @@ def word_rows(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return (found.hash % U(ROWS)).astype(np.int64), found.doc, shape
 
 
-def context_vectors(texts: list[str | None]) -> np.ndarray:
-    """Word vectors: a word's index vector plus the sum, to length one, of those of its neighbours in ``texts``."""
-    index = index_vectors()
-    out = np.zeros((ROWS, DIM), np.float32)
-    for _, _, data, lengths in chunks(pa.array(texts, pa.string())):
-        rows, doc, _ = word_rows(data, lengths)
-        for step in (1, 2):
-            near = np.flatnonzero(doc[step:] == doc[:-step])
-            for a, b in ((near, near + step), (near + step, near)):
-                order = np.argsort(rows[a], kind="stable")
-                if len(order):
-                    own = rows[a][order]
-                    firsts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                    out[own[firsts]] += np.add.reduceat(index[rows[b][order]], firsts, axis=0) / step
+def add_contexts(sums: np.ndarray, index: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> None:
+    """Add to the row of each word the index signs of its neighbours, next ones twice and those behind them once."""
+    rows, doc, _ = word_rows(data, lengths)
+    if not len(rows):
+        return
+    at = np.arange(len(rows)) + 2 * doc + 2  # two empty places between texts
+    signs = np.zeros((at[-1] + 3, DIM), np.int8)
+    signs[at] = index[rows]
+    near = np.zeros_like(signs)  # at most 6 * SIGNS in size
+    near[2:-2] = 2 * (signs[1:-3] + signs[3:-1]) + signs[:-4] + signs[4:]
+    order = np.argsort(rows, kind="stable")
+    own = rows[order]
+    firsts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    sums[own[firsts]] += np.add.reduceat(near[at[order]], firsts, axis=0, dtype=np.int32)
+
+
+def context_vectors(texts: DataFrame) -> np.ndarray:
+    """Word vectors: a word's index vector plus the sum, to length one, of those of its neighbours in all ``text``.
+
+    Tasks sum whole numbers, so the order of rows and partitions does not matter; only the merged table reaches the driver.
+    """
+    names = [f"v{i}" for i in range(DIM)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, sums = index_signs(), np.zeros((ROWS, DIM), np.int64)
+        for batch in batches:
+            for _, _, data, lengths in chunks(batch.column(0)):
+                add_contexts(sums, index, data, lengths)
+        some = np.flatnonzero(sums.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32())] + [pa.array(c) for c in sums[some].T.copy()], ["row", *names])
+
+    parts = texts.select("text").mapInArrow(run, "row int, " + ", ".join(f"{n} long" for n in names))
+    table = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    out = np.zeros((ROWS, DIM))
+    if table.num_rows:
+        out[table.column("row").to_numpy()] = np.stack([table.column(n).to_numpy() for n in names], axis=1)
     size = np.linalg.norm(out, axis=1, keepdims=True)
-    return index + out / np.maximum(size, 1e-6)
+    return (index_signs() / np.sqrt(SIGNS) + out / np.maximum(size, 1e-6)).astype(np.float32)
 
 
 def pool(data: np.ndarray, lengths: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -136,7 +158,7 @@ def remainder(id_col: str, modulus: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int, context_rows: int, folds: int, held_fold: int,
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int, folds: int, held_fold: int,
           id_col: str, text_col: str, label_col: str) -> Model | None:
     """A model from at most ``fit_rows`` labelled documents outside the held-out fold; None without both labels."""
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -149,7 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int, context_rows: int,
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "id")  # at most fit_rows rows of two numbers
 
-    vectors = context_vectors([r.text for r in sample.join(F.broadcast(chosen.limit(context_rows).select("id")), "id", "left_semi").select("text").toLocalIterator()])
+    if not count:
+        return None
+    vectors = context_vectors(texts)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,13 +197,13 @@ def _scores(column: pa.Array, model: Model | None) -> np.ndarray:
     return np.concatenate(parts).astype(float) if parts else np.zeros(0)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = 8_000, context_rows: int = 1_500,
+def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = 8_000,
                   folds: int = 5, held_fold: int = 0, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality") -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
     Word vectors are random indexes: each word has a sparse vector of signs given by its hash, to which those of
-    its neighbours in ``context_rows`` sampled texts are added. A text is the mean of its words' vectors, with the mix of
+    its neighbours in the texts of all rows are added, summed by Spark. A text is the mean of its words' vectors, with the mix of
     word shapes; two layers of numpy and a temperature give the probability of label 1.
 
     The network learns from at most ``fit_rows`` labelled documents, the first by hash of the id, whose crc32 of the id
@@ -187,7 +211,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fi
     Null and empty texts get the score of a text without words. Repeated labels of one id count as their largest,
     null ones not at all; without labels of both kinds every score is 0.5. Rows are scored one by one, whatever their id.
     """
-    model = train(docs, labels, fit_rows, context_rows, folds, held_fold, id_col, text_col, label_col)
+    model = train(docs, labels, fit_rows, folds, held_fold, id_col, text_col, label_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,11 +223,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fi
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = 8_000, context_rows: int = 1_500,
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = 8_000,
                  folds: int = 5, held_fold: int = 0, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "quality") -> DataFrame:
     """The rows of ``docs``, all columns, that ``score_quality`` gives at least ``threshold``."""
-    model = train(docs, labels, fit_rows, context_rows, folds, held_fold, id_col, text_col, label_col)
+    model = train(docs, labels, fit_rows, folds, held_fold, id_col, text_col, label_col)
     position = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

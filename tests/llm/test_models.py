@@ -31,6 +31,21 @@ def test_scores_are_repeatable_and_ignore_other_columns(spark):
     assert one == pytest.approx(two, abs=1e-6)
 
 
+def test_word_vectors_have_the_contexts_of_all_documents(spark):
+    texts = [None, "", "one", "a b c a b", " a  c\n"] + [f"rare{i} word{i % 7} next{i % 3}" for i in range(3_000)]
+    index = quality_model.index_signs().astype(np.int64)
+    sums = np.zeros_like(index)
+    for text in texts:
+        own = [int(quality_model.word_rows(np.frombuffer(w.encode(), np.uint8), np.array([len(w)]))[0][0]) for w in (text or "").split()]
+        for i, row in enumerate(own):
+            for j in range(max(0, i - 2), min(len(own), i + 3)):
+                sums[row] += index[own[j]] * (0, 2, 1)[abs(i - j)]
+    expected = index / np.sqrt(quality_model.SIGNS) + sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-6)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    first = quality_model.context_vectors(frame.repartition(5))
+    assert np.allclose(first, expected, atol=1e-5) and (first == quality_model.context_vectors(frame.repartition(2))).all()
+
+
 def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (3, None), (2, 0)], "doc_id long, quality int")
     frame = frames.awkward(spark)
