@@ -141,7 +141,9 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
         for start, end in sorted(set(found.get(kind, ()))):
             if start >= free:
                 out.append((kind, start, end))
-                free = end
+            elif end > free:
+                out[-1] = (kind, out[-1][1], end)
+            free = max(free, end)
     return out
 
 
@@ -150,7 +152,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     One automaton finds anchors: at-signs, schemes, plus signs, digits, and cues such as ``password`` or ``IBAN``. From an anchor a
     parser of the kind widens to both sides and checks what it has: domains, parts of addresses,
-    check digits, lengths. Spans of one kind do not overlap; spans of two kinds may.
+    check digits, lengths. Spans of one kind that overlap are one, their union; spans of two kinds may overlap.
 
     Null and empty texts have no spans; rows are judged one by one, whatever their id.
     """
@@ -167,7 +169,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with each span in the text replaced by ``[KIND]``; overlapping spans by the earliest one's kind.
+    """``docs`` with each span in the text replaced by ``[KIND]``; overlapping spans, as one, by the earliest one's kind.
 
     All rows and columns stay; null and empty texts stay as they are.
     """
@@ -182,7 +184,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 for kind, start, end in sorted(find_spans(text, automaton), key=lambda s: (s[1], -s[2])):
                     if start >= free:
                         out += [text[free:start], f"[{kind.upper()}]"]
-                        free = end
+                    free = max(free, end)
                 if out:
                     texts[i] = "".join(out) + text[free:]
             yield batch.set_column(position, columns[position], pa.array(texts, batch.schema.field(position).type))

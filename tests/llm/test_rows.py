@@ -72,6 +72,15 @@ def test_more_kinds():
     assert kinds("password of the day, 3 roads, tokens and an account") == []
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("+1 (555) 123-4567 12 Oak Avenue, please", "[PHONE], please"),
+    ("write to joe@www.example.com/reset/abc now", "write to [EMAIL] now"),
+    ("at 12 Oak Street Park Avenue now", "at [ADDRESS] now"),
+])
+def test_all_of_spans_that_overlap_in_part_is_redacted(spark, text, expected):
+    assert pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text == expected
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     frame = frames.awkward(spark).unionByName(frames.awkward(spark).limit(1).selectExpr("* except (text)", "'mail a@b.co now' AS text"))
     out = pii.redact(frame)
