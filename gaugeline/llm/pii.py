@@ -19,6 +19,13 @@ SSN_CUES = ("ssn", "social security")
 ACCOUNT_CUES = ("account number", "account no", "acct", "passport", "customer id", "user id", "kontonummer", "cuenta")
 STREET_CUES = (" street", " avenue", " road", " boulevard", " lane", "straße", "strasse", " rue ", " calle ")
 
+# Characters of an IBAN by its country.
+IBAN_SIZES = {country: size for size, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
 # A match starts a run of digits, as one inside it would also start there; so a long run is read once.
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -29,7 +36,7 @@ _URL_REST = re.compile(r"(?:[^\s<>\"'/@]+@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)(
 _SECRET = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,200})")
 _KEY_ID = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 _SSN = re.compile(r"[^0-9\n]{0,12}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9])")
-_IBAN = re.compile(r"[^A-Z0-9\n]{0,8}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})")
+_IBAN = re.compile(r"[^A-Z0-9\n]{0,8}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
 _ACCOUNT = re.compile(r"[^A-Za-z0-9\n]{0,4}([A-Z]{0,3}[0-9][0-9-]{4,18}[0-9])(?![A-Za-z0-9])")
 _HOUSE_BEFORE = re.compile(r"(?<![\w.])[0-9]{1,5}[A-Za-z]?(?: [A-ZÀ-Þ][\w'.-]{1,24}){1,4}$")
 _HOUSE_AFTER = re.compile(r"(?:[A-ZÀ-Þa-zß-ÿ'.-]{0,24} ){0,4}[0-9]{1,5}[a-z]?(?![\w])")
@@ -65,6 +72,16 @@ def iban_valid(text: str) -> bool:
     return 15 <= len(text) <= 34 and int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
+def iban_end(text: str) -> int | None:
+    """Where a valid number ends that ``text`` starts with, with what follows it: by its country, else the longest one of whole groups."""
+    ends = [i + 1 for i, c in enumerate(text) if c != " "]
+    if size := IBAN_SIZES.get(text[:2]):
+        ends = ends[size - 1:size]
+    else:
+        ends = [end for end in reversed(ends) if text[end:end + 1] in ("", " ")]
+    return next((end for end in ends if iban_valid(text[:end])), None)
+
+
 def _emails(text: str, signs: list[int]) -> list[tuple[int, int]]:
     """Each at-sign widened over the local part to its left and the domain to its right."""
     out, free = [], 0
@@ -123,12 +140,12 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
         if (m := _KEY_ID.match(text, start)) and not (start and text[start - 1].isalnum()):
             found.setdefault("secret", []).append(m.span())
     for kind, pattern, good in (("secret", _SECRET, lambda v: any(c.isdigit() for c in v)), ("ssn", _SSN, lambda v: v[:3] not in ("000", "666")),
-                                ("iban", _IBAN, iban_valid), ("account", _ACCOUNT, lambda v: True)):
+                                ("iban", _IBAN, iban_end), ("account", _ACCOUNT, lambda v: True)):
         for start, end in at.get(kind, ()):
             if start and text[start - 1].isalnum():
                 continue
-            if (m := pattern.match(text, end)) and good(m.group(1)):
-                found.setdefault(kind, []).append(m.span(1))
+            if (m := pattern.match(text, end)) and (size := good(m.group(1))):
+                found.setdefault(kind, []).append((m.start(1), m.start(1) + size if kind == "iban" else m.end(1)))
     for start, end in at.get("address", ()) if "digit" in at else ():
         before = _HOUSE_BEFORE.search(text, max(0, start - 110), start)
         if before:

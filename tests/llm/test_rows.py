@@ -72,6 +72,20 @@ def test_more_kinds():
     assert kinds("password of the day, 3 roads, tokens and an account") == []
 
 
+@pytest.mark.parametrize("number", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "CH93 0076 2011 6238 5295 7", "NO93 8601 1117 947",
+                                    "GB29 NWBK 6016 1331 9268 19", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
+def test_iban_ends_where_its_country_says(number):
+    for rest in ("", " BIC COBADEFF", " AND 25 EUR", " 12 34", ". Next", "\nNEXT 1"):
+        text = f"IBAN {number}{rest}"
+        assert [text[a:b] for k, a, b in pii.find_spans(text, pii.build_automaton()) if k == "iban"] == [number]
+    wrong = f"IBAN {number[:-1]}{'2' if number[-1] != '2' else '3'} BIC"
+    assert not [k for k, _, _ in pii.find_spans(wrong, pii.build_automaton()) if k == "iban"]
+
+
+def test_iban_of_an_unknown_country_is_of_whole_groups():
+    assert pii.iban_end("XX83 1234 5678 9012 3456 BIC COBA") == 24
+
+
 @pytest.mark.parametrize("text, expected", [
     ("+1 (555) 123-4567 12 Oak Avenue, please", "[PHONE], please"),
     ("write to joe@www.example.com/reset/abc now", "write to [EMAIL] now"),
