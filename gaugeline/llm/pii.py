@@ -33,7 +33,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _URL_REST = re.compile(r"(?:[^\s<>\"'/@]+@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)(?::[0-9]{1,5})?(?:[/?#][^\s<>\"']*)?")
-_SECRET = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,200})")
+_SECRET = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,}+)")
+_SECRET_LEAD = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?")
 _KEY_ID = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 _SSN = re.compile(r"[^0-9\n]{0,12}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9])")
 _IBAN = re.compile(r"[^A-Z0-9\n]{0,8}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
@@ -141,9 +142,15 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
             found.setdefault("secret", []).append(m.span())
     for kind, pattern, good in (("secret", _SECRET, lambda v: any(c.isdigit() for c in v)), ("ssn", _SSN, lambda v: v[:3] not in ("000", "666")),
                                 ("iban", _IBAN, iban_end), ("account", _ACCOUNT, lambda v: True)):
+        read = 0
         for start, end in at.get(kind, ()):
             if start and text[start - 1].isalnum():
                 continue
+            if kind == "secret":  # a value inside one that was read ends with it, so it is not read again
+                if not (lead := _SECRET_LEAD.match(text, end)) or lead.end() < read:
+                    continue
+                if m := pattern.match(text, end):
+                    read = m.end()
             if (m := pattern.match(text, end)) and (size := good(m.group(1))):
                 found.setdefault(kind, []).append((m.start(1), m.start(1) + size if kind == "iban" else m.end(1)))
     for start, end in at.get("address", ()) if "digit" in at else ():

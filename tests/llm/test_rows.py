@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -72,6 +73,21 @@ def test_more_kinds():
     assert kinds("password of the day, 3 roads, tokens and an account") == []
 
 
+@pytest.mark.parametrize("size", [7, 200, 201, 1000])
+def test_secrets_of_any_length_are_found_whole(spark, size):
+    value = ("x1Y.z-" * size)[:size]
+    text = f"token={value} rest"
+    assert [(k, text[a:b]) for k, a, b in pii.find_spans(text, pii.build_automaton())] == [("secret", value)]
+    assert pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text == "token=[SECRET] rest"
+
+
+def test_cues_inside_a_long_secret_are_read_once():
+    text, begin = "token=" * 100_000, time.perf_counter()
+    assert pii.find_spans(text, pii.build_automaton()) == []
+    assert pii.find_spans(text + "1", pii.build_automaton()) == [("secret", 6, len(text) + 1)]
+    assert time.perf_counter() - begin < 20
+
+
 @pytest.mark.parametrize("number", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "CH93 0076 2011 6238 5295 7", "NO93 8601 1117 947",
                                     "GB29 NWBK 6016 1331 9268 19", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
 def test_iban_ends_where_its_country_says(number):
