@@ -1,4 +1,4 @@
-"""Self-join of documents on the Jaccard similarity of their word n-grams: MinHash LSH forest, then exact counts."""
+"""Self-join of documents on the Jaccard similarity of their word n-grams: MinHash with fixed banding, then exact counts."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from .arrays import U, chunks, grams, mix, signed, words
 from .components import components
 from .shared import materialize, repeats_ids, with_keys
 
-#: Prefix trees of the forest and the length of a signature in each.
+#: Bands, and the most minima that one may have.
 TREES, DEPTH = 32, 10
 #: Classes and shingles that are compared with one another in one block.
 BLOCK, BLOCK_SHINGLES = 1_000, 1_000_000
