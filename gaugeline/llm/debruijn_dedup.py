@@ -1,4 +1,4 @@
-"""Exact removal of repeated word sequences with a compacted de Bruijn graph."""
+"""Removal of repeated word sequences by minimizer segments, in place of a compacted de Bruijn graph."""
 
 from __future__ import annotations
 
@@ -37,9 +37,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     ``spans`` are the maximal runs of words covered by a window of ``window`` words that also starts earlier (in a document
     of smaller id, or earlier in the same one); ``kept`` has the other words, joined by one space.
 
-    The nodes of the graph are the minimizers of word k-mers, its edges the paths of k-mers between them with their source
-    coordinates. A node that occurs once is on no repeated path. Where a node does not branch, its path is compact: every
-    occurrence but the first is a repeat as a whole. Paths of branching nodes are
+    Nodes are the minimizers of word k-mers, paths the segments of windows that have one, with their source coordinates; k-mers
+    are not linked by edges. A node that occurs once is on no repeated path. A node does not branch where all its segments have one
+    content hash: every one but the first is a repeat as a whole, by hash and not verified on the text. Paths of branching nodes are
     fetched from their source coordinates, verified word by word, and joined again where they agree. Nodes with
     more paths than a task should hold are salted; their windows are joined by hash.
 
