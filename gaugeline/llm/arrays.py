@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -23,32 +22,38 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B^i and B^-i modulo 2^64 for i < n."""
-    up = np.full(n, _BASE, U)
-    up[0] = 1
-    down = np.full(n, pow(_BASE, -1, 1 << 64), U)
-    down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+class Kept(dict):
+    """Values that a process makes once; it travels empty, and by value like the functions that use it."""
+
+    def __reduce__(self) -> tuple:
+        return Kept, ()
+
+
+_POWERS = Kept()
+#: A hash of each byte, and True for the bytes 20 and 09-0D (hexadecimal) that separate words.
+_BYTES = mix(np.arange(1, 257, dtype=U) * U(_BASE))
+_SEPARATORS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(12, int(n).bit_length()))
+    """B^i and B^-i modulo 2^64 for i < n."""
+    size = 1 << max(12, int(n).bit_length())
+    if size not in _POWERS:
+        _POWERS.clear()
+        up = np.full(size, _BASE, U)
+        down = np.full(size, pow(_BASE, -1, 1 << 64), U)
+        up[0] = down[0] = 1
+        _POWERS[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    up, down = _POWERS[size]
     return up[:n], down[:n]
 
 
-@lru_cache(maxsize=1)
 def byte_table() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=U) * U(_BASE))
+    return _BYTES
 
 
-@lru_cache(maxsize=1)
 def separators() -> np.ndarray:
-    """True for the bytes 20 and 09-0D (hexadecimal) that separate words."""
-    table = np.zeros(256, bool)
-    table[[0x20, *range(0x09, 0x0E)]] = True
-    return table
+    return _SEPARATORS
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,28 +91,49 @@ class Words(NamedTuple):
 
 
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum(byte_table()[data] * up[:-1], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U))
+    """A 64-bit hash of the bytes of each span: the sum of its mixed 8-byte pieces, each keyed by its place.
 
-
-def words(data: np.ndarray, lengths: np.ndarray) -> Words:
-    """The words of texts that lie one behind the other in ``data``."""
-    inside = ~separators()[data]
+    It is no polynomial, which would give equal values to certain different spans whatever its base is.
+    """
+    if not len(start):
+        return np.zeros(0, U)
+    size = end - start
+    lanes = np.maximum((size + 7) >> 3, 1)
+    first = np.cumsum(lanes) - lanes
+    place = np.arange(first[-1] + lanes[-1]) - np.repeat(first, lanes)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    value = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))[np.repeat(start, lanes) + 8 * place].astype(U)
+    tail = (size - 8 * (lanes - 1)).astype(U)
+    value[first + lanes - 1] &= np.where(tail == U(8), ~U(0), (U(1) << (U(8) * (tail & U(7)))) - U(1))
+    keys = mix(np.arange(1, lanes.max() + 1, dtype=U) * _ODD)
+    return mix(np.add.reduceat(mix(value ^ keys[place]), first) + size.astype(U))
+
+
+def word_bounds(inside: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of each run of ``inside``; the texts lie one behind the other, and no run crosses two."""
     begins = np.concatenate(([0], np.cumsum(lengths)))
-    first = np.zeros(len(data) + 1, bool)
+    first = np.zeros(len(inside) + 1, bool)
     first[begins] = True
     start = inside.copy()
     start[1:] &= ~inside[:-1] | first[1:-1]
     end = inside.copy()
     end[:-1] &= ~inside[1:] | first[1:-1]
     start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
-    doc = np.searchsorted(begins, start, "right") - 1
+    return start, end, np.searchsorted(begins, start, "right") - 1
+
+
+def words(data: np.ndarray, lengths: np.ndarray) -> Words:
+    """The words of texts that lie one behind the other in ``data``."""
+    start, end, doc = word_bounds(~separators()[data], lengths)
     return Words(start, end, doc, hash_spans(data, start, end))
 
 
+#: A-Z as a-z, and the bytes of letters and digits: 0-9, a-z and all above 7F (hexadecimal).
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+ALNUM = np.isin(np.arange(256), [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
+
+
 def grams(tokens: np.ndarray, k: int) -> np.ndarray:
     """A hash of each run of ``k`` tokens, from runs of doubled length."""
     out, size, now, step = None, 0, mix(tokens), 1

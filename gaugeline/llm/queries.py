@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn_dedup, decontaminate, jaccard_join, kneser_ney, language_crf, mixture, pii, quality_model, repetition_rules, suffix_dedup
+from . import (debruijn_dedup, decontaminate, importance, jaccard_join, kneser_ney, language_crf, mixture, pii, quality_model, repetition_rules,
+               suffix_dedup, toxicity, vector_codes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,8 +73,23 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", "held_out", "score", "predicted", "spans")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_suffix_dedup, op2_substring_dedup, op3_jaccard_join, op4_quality_classifier, op5_quality_rules, op6_lm_scoring,
-    op7_pii, op8_decontamination, op9_language_id, op10_mix_sources)}
+    op7_pii, op8_decontamination, op9_language_id, op10_mix_sources, op11_vector_codes, op12_importance_resampling, op13_toxicity)}
 
-ORACLES: dict[str, str] = {"op10_mix_sources": mixture.ORACLE}
+ORACLES: dict[str, str] = {"op10_mix_sources": mixture.ORACLE, "op11_vector_codes": vector_codes.ORACLE, "op12_importance_resampling": importance.ORACLE}
