@@ -70,18 +70,28 @@ def read_array(uri: str, kind: type) -> np.ndarray:
         return np.frombuffer(source.read(), kind)
 
 
+def write_counts(uri: str, counts: np.ndarray) -> None:
+    """In 32 bits where all counts of the part fit, else in 64; the size of the file tells."""
+    write_array(uri, counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64))
+
+
+def read_counts(uri: str, n: int) -> np.ndarray:
+    store, path = _open(uri)
+    return read_array(uri, np.int64 if n and store.get_file_info(path).size == 8 * n else np.uint32)
+
+
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys as differences, and counts, byte planes apart so that Spark's compression takes out the zeros."""
     steps = np.diff(keys, prepend=U(0)).astype(U)
     planes = steps.view(np.uint8).reshape(-1, 8).T
-    return np.array([len(keys)], np.int64).tobytes() + planes.tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return np.array([len(keys)], np.int64).tobytes() + planes.tobytes() + counts.astype(U).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob, np.int64, 1)[0])
     planes = np.frombuffer(blob, np.uint8, 8 * n, 8).reshape(8, n)
-    counts = np.frombuffer(blob, np.uint8, 4 * n, 8 + 8 * n).reshape(4, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U), np.ascontiguousarray(counts.T).view(np.uint32).ravel().astype(np.int64)
+    counts = np.frombuffer(blob, np.uint8, 8 * n, 8 + 8 * n).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U), np.ascontiguousarray(counts.T).view(np.int64).ravel()
 
 
 def merge(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,12 +149,12 @@ class Arrays:
         self.model = model
         self.base = np.concatenate(([0], np.cumsum(model.word_parts)))
         self.hashes = [read_array(f"{model.folder}/words/{p}", U) for p in range(len(model.word_parts))]
-        self.counts = [read_array(f"{model.folder}/word-counts/{p}", np.uint32) for p in range(len(model.word_parts))]
+        self.counts = [read_counts(f"{model.folder}/word-counts/{p}", len(own)) for p, own in enumerate(self.hashes)]
 
     def open_pairs(self) -> Arrays:
         model = self.model
         self.pairs = [read_array(f"{model.folder}/pairs/{p}", U) for p in range(len(model.pair_splits) + 1)]
-        self.pair_counts = [read_array(f"{model.folder}/pair-counts/{p}", np.uint32) for p in range(len(model.pair_splits) + 1)]
+        self.pair_counts = [read_counts(f"{model.folder}/pair-counts/{p}", len(own)) for p, own in enumerate(self.pairs)]
         self.stats = [read_array(f"{model.folder}/stats/{p}", np.int64).reshape(5, -1) for p in range(model.id_parts)]
         return self
 
@@ -260,7 +270,7 @@ def train(texts: DataFrame, folder: str) -> Model:
         for (part, _), blobs in _collected(batches).items():
             keys, counts = merge(blobs)
             write_array(f"{folder}/words/{part}", keys)
-            write_array(f"{folder}/word-counts/{part}", counts.astype(np.uint32))
+            write_counts(f"{folder}/word-counts/{part}", counts)
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(keys)]), pa.array([int(counts.sum())])], ["part", "words", "tokens"])
 
     rows = texts.mapInArrow(count_words, BLOB).repartitionById(parts, "part").mapInArrow(write_words, "part int, words long, tokens long").collect()
@@ -303,7 +313,7 @@ def train(texts: DataFrame, folder: str) -> Model:
         for (part, _), blobs in _collected(batches).items():
             keys, counts = merge(blobs)
             write_array(f"{folder}/pairs/{part}", keys)
-            write_array(f"{folder}/pair-counts/{part}", counts.astype(np.uint32))
+            write_counts(f"{folder}/pair-counts/{part}", counts)
             first, second = keys >> U(32), keys & U(0xFFFFFFFF)
             for kind in range(5):
                 chosen = slice(None) if kind in (0, 4) else counts == kind if kind < 3 else counts >= 3

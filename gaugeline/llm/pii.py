@@ -32,7 +32,8 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
-_URL_REST = re.compile(r"(?:[^\s<>\"'/@]+@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)(?::[0-9]{1,5})?(?:[/?#][^\s<>\"']*)?")
+_URL_STOP = re.compile(r"[\s<>\"'/@]")
+_URL_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++(?::[0-9]{1,5})?(?:[/?#][^\s<>\"']*)?")
 _SECRET = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,}+)")
 _SECRET_LEAD = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?")
 _KEY_ID = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
@@ -96,6 +97,31 @@ def _emails(text: str, signs: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def _urls(text: str, anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Each scheme or ``www.`` widened over what follows it: a user up to an at-sign, if there is one, and the host.
+
+    An anchor inside an address that was read ends with it; the end of a user and the host behind it are found once
+    for all anchors before them, so the time is linear in the text.
+    """
+    out, read, stop, behind = [], 0, -1, None
+    for start, end in anchors:
+        if start < read:
+            continue
+        scheme = start
+        while text[start] == ":" and scheme > 0 and start - scheme < 12 and text[scheme - 1].isascii() and text[scheme - 1].isalpha():
+            scheme -= 1
+        if text[start] == ":" and scheme == start:
+            continue
+        if stop < end:
+            found = _URL_STOP.search(text, end)
+            stop = found.start() if found else len(text)
+            behind = _URL_HOST.match(text, stop + 1) if found and text[stop] == "@" else None
+        if rest := (behind if end < stop else None) or _URL_HOST.match(text, end):
+            read = rest.end()
+            out.append((scheme, scheme + len(text[scheme:read].rstrip(".,;:!?)"))))
+    return out
+
+
 def _matched(pattern: re.Pattern, text: str, good) -> list[tuple[int, int]]:
     return [m.span() for m in pattern.finditer(text) if good(m.group())]
 
@@ -130,13 +156,8 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
         found["card"] = _matched(_CARD, text, _card_good)
         if "phone" in at:
             found["phone"] = _matched(_PHONE, text, _phone_good)
-    for start, end in at.get("url", ()):
-        scheme = start
-        while text[start] == ":" and scheme > 0 and start - scheme < 12 and text[scheme - 1].isascii() and text[scheme - 1].isalpha():
-            scheme -= 1
-        rest = _URL_REST.match(text, end)
-        if rest and (text[start] == "w" or scheme < start):
-            found.setdefault("url", []).append((scheme, scheme + len(text[scheme:rest.end()].rstrip(".,;:!?)"))))
+    if "url" in at:
+        found["url"] = _urls(text, at["url"])
     for start, _ in at.get("key", ()):
         if (m := _KEY_ID.match(text, start)) and not (start and text[start - 1].isalnum()):
             found.setdefault("secret", []).append(m.span())
