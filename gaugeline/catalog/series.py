@@ -14,6 +14,7 @@ from gaugeline.catalog.base import (
     rs,
     sql_resample,
 )
+from gaugeline.operators import blocks as B
 from gaugeline.operators import scale, series, windows
 
 KEY = ["station_id"]
@@ -118,6 +119,31 @@ def w7(spark, sf):
         "station_id", "hour", *rs(MEASURES))
 
 
+#: A third of the hours without a time; they come before all others of their station, by their own order.
+UNTIMED = """(SELECT station_id, CASE WHEN n_readings % 3 = 0 THEN NULL ELSE hour END AS hour, hour AS was, rainfall, flow_rate
+  FROM hour_wide) u"""
+
+
+@query("w7_rows_without_time", "SELECT station_id, hour, was, " + ", ".join(
+    qr(f"LAST_VALUE({m} IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY hour NULLS FIRST, was ROWS UNBOUNDED PRECEDING)", m)
+    for m in ("rainfall", "flow_rate")) + f" FROM {UNTIMED}", "hour_wide")
+def w7_untimed(spark, sf):
+    hours = Tables(spark, sf).hour_wide
+    untimed = hours.withColumns({"was": F.col("hour"), "hour": F.when(F.col("n_readings") % 3 != 0, F.col("hour"))})
+    return series.forward_fill(untimed, KEY, "hour", ["rainfall", "flow_rate"], tie=["was"], block=WEEK).select(
+        "station_id", "hour", "was", *rs(["rainfall", "flow_rate"]))
+
+
+@query("w7_value_before_all_times", f"SELECT station_id, hour, {qr('COALESCE(LAST_VALUE(rainfall IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY hour ROWS UNBOUNDED PRECEDING), 7.0)', 'rainfall')} "
+       "FROM hour_wide UNION ALL SELECT DISTINCT station_id, NULL, 7.0 FROM hour_wide", "hour_wide")
+def w7_before(spark, sf):
+    """One reading without a time per station, and no tie: it fills what is missing up to the first known value."""
+    hours = Tables(spark, sf).hour_wide.select("station_id", "hour", "rainfall")
+    lone = hours.groupBy("station_id").agg(F.lit(None).cast("timestamp").alias("hour"), F.lit(7.0).alias("rainfall"))
+    filled = series.forward_fill(hours.unionByName(lone), KEY, "hour", ["rainfall"], block=WEEK)
+    return filled.select("station_id", "hour", F.when(F.col("hour").isNull(), F.col("rainfall")).otherwise(c(F.col("rainfall"))).alias("rainfall"))
+
+
 @query("w8_interpolate", f"SELECT station_id, hour, {qrs(MEASURES)} FROM "
        f"({sql_resample('hour_wide', 'hour', '1 HOUR', MEASURES, True, False)}) f", "hour_wide")
 def w8(spark, sf):
@@ -215,6 +241,21 @@ def w12_half_hour(spark, sf):
     return series.rain_events(shifted, KEY, block="1 day").select("station_id", "start", "end", "hours", r("total"), r("peak"))
 
 
+@query("w12_repeated_hours", f"""
+SELECT station_id, MIN(hour) AS start, MAX(hour) AS end, COUNT(DISTINCT hour) AS hours, {qr('SUM(rainfall)', 'total')},
+       {qr('MAX(rainfall)', 'peak')}
+FROM (SELECT *, SUM(brk) OVER (PARTITION BY station_id ORDER BY hour) AS grp
+      FROM (SELECT station_id, hour, rainfall,
+                   CASE WHEN hour - LAG(hour) OVER (PARTITION BY station_id ORDER BY hour) <= INTERVAL '1' HOUR THEN 0 ELSE 1 END AS brk
+            FROM (SELECT * FROM hour_wide UNION ALL SELECT * FROM hour_wide WHERE n_readings % 2 = 0) d WHERE rainfall >= 0.5) a) g
+GROUP BY station_id, grp""", "hour_wide")
+def w12_repeated(spark, sf):
+    """Every other hour twice: an event stays one, and its hour one hour."""
+    hours = Tables(spark, sf).hour_wide
+    twice = hours.unionByName(hours.filter("n_readings % 2 = 0"))
+    return series.rain_events(twice, KEY, block="1 day").select("station_id", "start", "end", "hours", r("total"), r("peak"))
+
+
 # Windows.
 
 def sql_windows(source: str, time: str, feature: str, horizon: int = 1, label: str = "") -> str:
@@ -249,6 +290,29 @@ def w1_daily(spark, sf):
         Tables(spark, sf).daily, KEY, "day", ["flow_rate", "water_level"], block=DAILY_BLOCK), "day")
 
 
+@query("w1_window_positions", f"""
+WITH numbered AS (SELECT station_id, hour, ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY hour) - 1 AS i,
+    COUNT(*) OVER (PARTITION BY station_id) AS n, n_readings::DOUBLE AS readings, rainfall FROM hour_wide)
+SELECT w.station_id, w.hour AS window_start, w.i AS window_id, CAST(s.i - w.i AS INTEGER) AS pos, s.readings, {qr('s.rainfall', 'rainfall')}
+FROM numbered w JOIN numbered s ON s.station_id = w.station_id AND s.i BETWEEN w.i AND w.i + 11 WHERE w.i + 12 < w.n""", "hour_wide")
+def w1_positions(spark, sf):
+    """Every feature at every position of windows of 12 rows."""
+    found = windows.sliding_windows(Tables(spark, sf).hour_wide, KEY, "hour", ["n_readings", "rainfall"], 12, block=WEEK, chunk=64)
+    return found.select("station_id", "window_start", "window_id", F.posexplode("window").alias("pos", "row")).select(
+        "station_id", "window_start", "window_id", "pos", F.col("row")[0].alias("readings"), c(F.col("row")[1]).alias("rainfall"))
+
+
+@query("w1_holes", """
+SELECT station_id, COUNT(*) - 5 AS windows FROM hour_wide GROUP BY 1 HAVING COUNT(*) > 5""", "hour_wide")
+def w1_holes(spark, sf):
+    """A given position that counts from any number on, checked to have no hole, gives the windows of the series."""
+    hours = Tables(spark, sf).hour_wide
+    placed = B.row_index(B.with_block(hours, KEY, "hour", WEEK), ["hour"])
+    numbered = B.restore(placed.withColumn("place", F.col("_idx") + 1000), [*hours.columns, "place"], KEY)
+    found = windows.sliding_windows(numbered, KEY, "hour", ["n_readings"], 5, position="place", chunk=64)
+    return found.groupBy("station_id").agg(F.count(F.lit(1)).alias("windows"))
+
+
 SCALED_DAILY = ("(SELECT station_id, day, " + ", ".join(
     f"({m} - AVG({m}) OVER s) / CASE WHEN STDDEV_POP({m}) OVER s = 0 THEN 1 ELSE STDDEV_POP({m}) OVER s END AS {m}"
     for m in ["flow_rate", "rainfall", "water_level"]) + " FROM daily_load WINDOW s AS (PARTITION BY station_id)) z")

@@ -15,13 +15,14 @@ from gaugeline.operators import kpis, reshape, risk, warnings
 from gaugeline.plans import monitor
 from gaugeline.sources import testdata
 
-def _sql_id(said: str) -> str:
-    """The id by the columns of a warning."""
-    return ("'WARN-' || strftime(publish_time, '%Y%m%d%H%M%S') || '-' || md5(strftime(expire_time, '%Y%m%d%H%M%S') || '|' || "
-            f"{said}) || '-' || affected_location")
+def _sql_part(value: str) -> str:
+    return f"COALESCE(length(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
 
 
-SAID = "warning_type || '|' || warning_level || '|' || COALESCE(title, '') || '|' || COALESCE(content, '')"
+#: The id by the columns of a warning.
+SQL_ID = ("'WARN-' || strftime(publish_time, '%Y%m%d%H%M%S') || '-' || md5(" + " || ".join(map(_sql_part, (
+    "epoch_us(publish_time)", "epoch_us(expire_time)", "warning_type", "warning_level", "title", "content", "affected_location")))
+    + ") || '-' || affected_location")
 
 
 def _sql_text(column: int) -> str:
@@ -31,7 +32,7 @@ def _sql_text(column: int) -> str:
 
 # Every station-hour at risk as a warning published in that hour.
 VIEWS["flood_warning"] = (("hour_wide", "station"), f"""
-SELECT {_sql_id(SAID)} AS id,
+SELECT {SQL_ID} AS id,
        * FROM (
   SELECT 1 AS warning_type, risk_level AS warning_level,
          replace({_sql_text(1)}, '%s', station_name) AS title,
@@ -79,7 +80,7 @@ def n1_forecast(spark, sf):
 
 
 @query("n2_create_warnings", f"""
-SELECT {_sql_id(SAID)} AS id, *
+SELECT {SQL_ID} AS id, *
 FROM (SELECT 3 AS warning_type, 2 AS warning_level, 'turbid water no. ' || CAST(event_id AS VARCHAR) AS title,
              'turbidity ' || CAST(turbidity AS VARCHAR) AS content,
              CASE WHEN k > 50 THEN station_id ELSE 'unknown area' END AS affected_location,
@@ -108,6 +109,38 @@ def n2_ids(spark, sf):
                      F.sum((F.col("status") == 0).cast("bigint")).alias("cancelled_by_one"))
 
 
+#: Requests that an id without the borders of its parts, NULLs or fractions of a second would take for one another.
+ALIKE = [("'t|' || event_id", "'x'", 0), ("'t'", "event_id || '|x'", 0), ("'t' || event_id", "NULL", 0), ("'t' || event_id", "''", 0),
+         ("'t' || event_id", "NULL", 1), ("'t' || event_id", "''", 0)]
+
+
+@query("n2_adversarial_ids", f"""
+WITH request AS (SELECT station_id, number, 3 AS warning_type, 2 AS warning_level, title, content,
+    TIMESTAMP '{AS_OF}' + to_microseconds(micros) AS publish_time
+  FROM reading, LATERAL (VALUES {', '.join(f"({i}, {t}, {x}, {m}::BIGINT)" for i, (t, x, m) in enumerate(ALIKE))}) v(number, title, content, micros)
+  WHERE turbidity > 40),
+cancelled AS (SELECT station_id, title, content, publish_time FROM request WHERE number IN (0, 3, 4))
+SELECT r.station_id, COUNT(*) AS requests, COUNT(DISTINCT (title, content, publish_time)) AS ids,
+       COUNT(*) FILTER (WHERE EXISTS (SELECT 1 FROM cancelled c WHERE c.station_id = r.station_id AND c.title = r.title
+         AND c.content IS NOT DISTINCT FROM r.content AND c.publish_time = r.publish_time)) AS cancelled
+FROM request r GROUP BY 1""", "reading")
+def n2_adversarial(spark, sf):
+    """Requests that are told apart by their columns have different ids, and only the one that is cancelled goes."""
+    requests = None
+    source = Tables(spark, sf).reading.filter("turbidity > 40")
+    for number, (title, content, micros) in enumerate(ALIKE):
+        more = source.select(F.lit(number).alias("number"), F.lit(3).alias("warning_type"), F.lit(2).alias("warning_level"),
+                             F.expr(title).alias("title"), F.expr(content).cast("string").alias("content"),
+                             F.col("station_id").alias("affected_location"), F.lit(micros).alias("micros"))
+        requests = more if requests is None else requests.unionByName(more)
+    at = F.timestamp_micros(F.unix_micros(F.lit(AS_OF).cast("timestamp")) + F.col("micros"))
+    numbered = requests.withColumn("at", at)
+    log = warnings.create_warnings(numbered, F.col("at"))
+    gone = warnings.create_warnings(numbered.filter("number IN (0, 3, 4)"), F.col("at"))
+    return warnings.current_state(log, gone).groupBy(F.col("affected_location").alias("station_id")).agg(
+        F.count(F.lit(1)).alias("requests"), F.countDistinct("id").alias("ids"), F.count_if(F.col("status") == 0).alias("cancelled"))
+
+
 @query("n3_fan_out", """
 SELECT id AS warning_id, title, warning_level, affected_location,
        unnest(['system_notification', 'app_push', 'sms']) AS channel, TRUE AS success FROM flood_warning""",

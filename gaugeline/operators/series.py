@@ -164,10 +164,12 @@ def recent_spine(ends: DataFrame, end_col: str, time_col: str = "hour", length:
 
 def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
                  tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK) -> DataFrame:
-    """The last known value of each measure; leading gaps stay NULL."""
+    """The last known value of each measure; leading gaps stay NULL. Rows without a time come first and carry on too."""
     blocked = B.with_block(df, keys, time_col, block)
     order = [B.sql_name(c) for c in (time_col, *tie)]
-    position = f"struct({', '.join(order)})" if tie else order[0]
+    # A plain number, never NULL, keeps the summary a hash aggregate.
+    position = (f"struct({', '.join(order)})" if tie else
+                f"coalesce(unix_micros(cast({order[0]} AS timestamp)), -9223372036854775808L)")
     summary = B.carry_points(B.block_points(blocked, position, measures), measures)
     window = B.in_block(time_col, *tie).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = blocked.withColumns({m: F.last(m, ignorenulls=True).over(window) for m in measures})
@@ -238,6 +240,7 @@ def rain_events(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
                 block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """Runs of adjacent wet hours: start, end, hours, total and peak.
 
+    Rows of one hour belong to one event and are one of its ``hours``; ``total`` adds them all up.
     Runs are found per block; only those that touch a block border, two per block
     at most, are joined along the series.
     """
@@ -248,13 +251,15 @@ def rain_events(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
     wet_rows = B.with_block(df.filter((F.col(measure) >= wet) & F.col(time_col).isNotNull()),
                             keys, time_col, block)
     order = B.in_block(time_col)
-    joined = F.coalesce(F.lag(at).over(order) == at - seconds, F.lit(False))
-    marked = wet_rows.withColumn("_new", F.when(joined, 0).otherwise(1))
+    gap = at - F.lag(at).over(order)
+    marked = wet_rows.withColumn("_gap", gap).withColumns({
+        "_new": F.when(F.col("_gap").isin(0, seconds), 0).otherwise(1),
+        "_hour": F.when(F.col("_gap") == 0, 0).otherwise(1)})
     runs = (marked.withColumn("_run", F.sum("_new").over(
                 order.rowsBetween(W.unboundedPreceding, W.currentRow)))
             .groupBy(B.SERIES, B.BLOCK, "_run")
             .agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"),
-                 F.count(F.lit(1)).alias("hours"), F.sum(measure).alias("total"),
+                 F.sum("_hour").alias("hours"), F.sum(measure).alias("total"),
                  F.max(measure).alias("peak")))
     # A run that starts or ends within one interval of the border, wherever the bins lie.
     border = ((epoch(F.col("start")) < F.col(B.BLOCK) * length + seconds)

@@ -29,10 +29,12 @@ def warning_id(publish: Column, expire: Column, kind: Column, level: Column, tit
                location: Column) -> Column:
     """``WARN-<time>-<hash>-<location>``; the same warning gets the same id on every run.
 
-    The hash takes in everything a warning says, so different warnings have different ids.
+    The hash takes in everything a warning says, each part behind its length (``-`` for NULL) and times to the
+    microsecond, so different warnings have different texts to hash.
     """
-    said = [compact_time(expire), kind.cast("string"), level.cast("string"), title, content]
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(part, F.lit("")) for part in said]))
+    parts = [F.unix_micros(publish), F.unix_micros(expire), kind, level, title, content, location]
+    said = [F.concat(F.length(text).cast("string"), F.lit(":"), text) for text in (part.cast("string") for part in parts)]
+    digest = F.md5(F.concat(*[F.coalesce(text, F.lit("-")) for text in said]))
     return F.concat_ws("-", F.lit("WARN"), compact_time(publish), digest, location)
 
 

@@ -39,6 +39,26 @@ def _positioned(df, keys, time_col, tie, used, position, block):
     return B.restore(placed, [*df.columns, "_idx"], keys), "_idx"
 
 
+def without_holes(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """``df``; computing it is an error if the numbers of a series span more or less than its rows, or some have none.
+
+    With :func:`_one_by_one`, which finds equal numbers, as those lie in one piece, no hole is left. The check is an
+    aggregate that is combined on the map side, so a hot series is no hot task.
+    """
+    series = df.groupBy(*keys).agg((F.max(position) - F.min(position) + 1).alias("reach"), F.count(position).alias("given"),
+                                   F.count(F.lit(1)).alias("n"))
+    whole = F.coalesce(F.col("reach") == F.col("n"), F.lit(False)) & (F.col("given") == F.col("n"))
+    broken = series.agg(F.count_if(~whole).alias("n")).select("n").scalar()
+    checked = F.when(broken > 0, F.raise_error(F.lit(f"{position} has holes"))).otherwise(F.col(position))
+    return df.withColumn(position, checked)
+
+
+def _one_by_one(pieces: DataFrame, order, position: str) -> DataFrame:
+    """Pieces whose own rows count on by one; anything else is an error."""
+    ahead = F.lead("_pos").over(order) - F.col("_pos")
+    return pieces.withColumn("_own", F.when(ahead != 1, F.raise_error(F.lit(f"{position} has holes"))).otherwise(F.col("_own")))
+
+
 def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features: Sequence[str],
                     length: int = C.WINDOW_ROWS, target: str | None = None, horizon: int = 1,
                     tie: Sequence[str] = (), position: str | None = None,
@@ -55,6 +75,13 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features:
     ``length + horizon`` rows. A regular series can pass its ``position`` column, which must
     count its rows without holes: a hole would hide windows at the ends of pieces, so it is an error.
     """
+    if position is not None:
+        df = without_holes(df, keys, position)
+    return _windows(df, keys, time_col, features, length, target, horizon, tie, position, block, chunk, position is not None)
+
+
+def _windows(df, keys, time_col, features, length, target, horizon, tie, position, block, chunk, given) -> DataFrame:
+    """Windows by a position that is ``given``, so that pieces have to check it, or by one that is made here."""
     used = [*features, *([target] if target else [])]
     placed, pos = _positioned(df, keys, time_col, tie, used, position, block)
     kept = placed.select(*keys, F.col(pos).alias("_pos"), F.col(time_col).alias("window_start"),
@@ -67,9 +94,8 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features:
     if target:
         columns["label"] = F.flatten(
             F.collect_list("_target").over(order.rowsBetween(length, length + horizon - 1)))
-    if position is not None:
-        ahead = F.lead("_pos").over(order) - F.col("_pos")
-        columns["_own"] = F.when(ahead > 1, F.raise_error(F.lit(f"{position} has holes"))).otherwise(F.col("_own"))
+    if given:
+        pieces = _one_by_one(pieces, order, position)
     found = pieces.withColumns(columns).filter(
         F.col("_own") & (F.size("window") == length) & (F.col("_follows") == horizon))
     return found.select(*keys, "window_start", F.col("_pos").alias("window_id"), "window",
@@ -86,13 +112,15 @@ def training_pairs(df: DataFrame, keys: Sequence[str], time_col: str,
     Scaling is the Z-score over each series, or over the whole table.
     """
     wanted = list(dict.fromkeys([*features, target]))
+    given = position is not None
+    if given:
+        df = without_holes(df, keys, position)
     if per_series and position is None:
         position = "_idx"
         scaled = scale.standardize_indexed(df, wanted, keys, time_col, tie, block, position)
     else:
         scaled = scale.standardize(df, wanted, keys if per_series else (), time_col, block)
-    return sliding_windows(scaled, keys, time_col, features, length, target, horizon, tie,
-                           position, block, chunk)
+    return _windows(scaled, keys, time_col, features, length, target, horizon, tie, position, block, chunk, given)
 
 
 def horizon_errors(df: DataFrame, keys: Sequence[str], time_col: str, target: str = C.TARGET,
@@ -107,11 +135,16 @@ def horizon_errors(df: DataFrame, keys: Sequence[str], time_col: str, target: st
     """
     if season < horizon:
         raise ValueError("the season must cover the horizon")
+    if position is not None:
+        df = without_holes(df, keys, position)
     placed, pos = _positioned(df, keys, time_col, tie, [target], position, block)
     rows = placed.select(*keys, F.col(pos).alias("_pos"), F.array(F.col(target).cast("double")).alias("_x"))
     pieces = _chunked(rows, "_pos", season + horizon - 1, chunk)
     # The row is the first of the season; its origin is the season's last row.
-    frame = W.partitionBy(*keys, "_piece").orderBy("_pos").rowsBetween(0, season + horizon - 1)
+    order = W.partitionBy(*keys, "_piece").orderBy("_pos")
+    if position is not None:
+        pieces = _one_by_one(pieces, order, position)
+    frame = order.rowsBetween(0, season + horizon - 1)
     spans = pieces.withColumn("_span", F.flatten(F.collect_list("_x").over(frame))).filter(
         F.col("_own") & (F.size("_span") == season + horizon))
 

@@ -73,3 +73,13 @@ def test_empty_collection_log(spark):
     empty = spark.createDataFrame([], "collected_at timestamp, kind string, stations_count long")
     r = kpis.collection_stats(empty).first()
     assert r["total_collections"] == 0 and r["last_time"] is None
+
+
+def test_requests_that_differ_have_different_ids(spark):
+    from itertools import product
+    said = [(t, c, p, m) for t, c, p, m in product(["a|b", "a", "", None, "1:a"], ["c", "b|c", "", None, "a1:"], ["dam", "d-am"], [0, 1])]
+    df = spark.createDataFrame([(2, 1, *s) for s in said], "warning_type int, warning_level int, title string, content string, "
+                               "affected_location string, micros long")
+    at = F.timestamp_micros(F.unix_micros(F.lit(NOW)) + F.col("micros"))
+    made = warnings.create_warnings(df.withColumn("at", at), F.col("at"))
+    assert made.select("id").distinct().count() == len(said)

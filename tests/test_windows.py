@@ -107,3 +107,30 @@ def test_a_hole_in_the_position_is_an_error(spark):
         assert windows.sliding_windows(holed, ["k"], "t", ["x"], 4, chunk=chunk).count() == 35
         with pytest.raises(PySparkException, match="p has holes"):
             windows.sliding_windows(holed, ["k"], "t", ["x"], 4, position="p", chunk=chunk).collect()
+
+
+def test_holes_and_repeats_anywhere_are_errors(spark):
+    """A hole behind the last row of a piece, one as long as pieces, a number twice, and one of two series."""
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from gaugeline.operators import windows
+
+    def frame(positions, series="a"):
+        return spark.createDataFrame([(series, p, 1.0) for p in positions], "k string, p long, x double").withColumn("t", F.timestamp_seconds("p"))
+
+    def found(rows, chunk=256):
+        return windows.sliding_windows(rows, ["k"], "t", ["x"], 72, position="p", chunk=chunk)
+
+    assert found(frame(range(400))).count() == 328 and found(frame(range(7, 407))).count() == 328
+    broken = [[*range(200), *range(1200, 1400)], [*range(256), *range(1256, 1400)], [*range(256), *range(512, 700)], [*range(256), *range(257, 400)],
+              [*range(300), 299, *range(301, 400)], [*range(100), None, *range(100, 300)]]
+    for positions in broken:
+        for rows in (frame(positions), frame(positions).unionByName(frame(range(400), "b"))):
+            with pytest.raises(PySparkException, match="p has holes"):
+                found(rows).collect()
+        with pytest.raises(PySparkException, match="p has holes"):
+            windows.horizon_errors(frame(positions), ["k"], "t", "x", position="p", chunk=128).collect()
+        with pytest.raises(PySparkException, match="p has holes"):
+            windows.training_pairs(frame(positions), ["k"], "t", ["x"], "x", 5, position="p", chunk=128).collect()
