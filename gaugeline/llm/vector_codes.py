@@ -54,37 +54,34 @@ def nearest(rows: np.ndarray, known: np.ndarray, entries: np.ndarray, entry_know
     distance so far are never measured.
     """
     best, index = np.full(len(rows), np.iinfo(np.int64).max), np.zeros(len(rows), np.int64)
-    for low in range(0, len(rows), BLOCK):
+    most = max(np.abs(rows).max(initial=0), np.abs(entries).max(initial=0))
+    if rows.shape[1] * (2 * int(most)) ** 2 < 1 << 31:  # then 32 bits are exact too
+        rows, entries = rows.astype(np.int32), entries.astype(np.int32)
+    for low in range(0, len(rows) if len(entries) else 0, BLOCK):
         part, near = rows[low:low + BLOCK], known[low:low + BLOCK]
         bound = np.zeros((len(part), len(entries)), np.float32)
         for p in range(near.shape[1]):
-            np.maximum(bound, np.abs(near[:, p, None] - entry_known[None, :, p]), out=bound, casting="same_kind")
+            np.maximum(bound, np.abs(near[:, p, None] - entry_known[None, :, p]), out=bound)
         # Less what rounding to 24 bits may have added to either distance and to their difference.
-        reach = near.max(axis=1, initial=0).astype(float) + float(entry_known.max(initial=0))
-        bound = bound.astype(float) - reach[:, None] * 2.0 ** -21 - 1e-9
-        own_best, own_index = best[low:low + BLOCK], index[low:low + BLOCK]
-
-        def measure(at: np.ndarray, entry: np.ndarray) -> None:
-            """Rows ascend; of the entries of a row the best one counts."""
-            gap = squared(part[at], entries[entry])
-            order = np.lexsort((entry, gap, at))
-            firsts = order[np.flatnonzero(np.diff(at[order], prepend=-1))]
-            better = (gap[firsts] < own_best[at[firsts]]) | ((gap[firsts] == own_best[at[firsts]]) & (entry[firsts] < own_index[at[firsts]]))
-            chosen = firsts[better]
-            own_best[at[chosen]], own_index[at[chosen]] = gap[chosen], entry[chosen]
-
-        live = np.arange(len(part))
+        reach = near.max(axis=1, initial=0) + entry_known.max(initial=0)
+        bound -= reach[:, None] * np.float32(2.0 ** -20) + np.float32(1e-6)
+        own_best, own_index, live = best[low:low + BLOCK], index[low:low + BLOCK], np.arange(len(part))
         for _ in range(min(WAVES, len(entries))):
             entry = bound[live].argmin(axis=1)
-            open_ = bound[live, entry] <= np.sqrt(own_best[live].astype(float))
-            live, entry = live[open_], entry[open_]
-            if not len(live):
-                break
-            measure(live, entry)
+            still = bound[live, entry] <= np.sqrt(own_best[live].astype(float))
+            live, entry = live[still], entry[still]
+            gap = squared(part[live], entries[entry])
             bound[live, entry] = np.inf
+            better = (gap < own_best[live]) | ((gap == own_best[live]) & (entry < own_index[live]))
+            own_best[live[better]], own_index[live[better]] = gap[better], entry[better]
         at, entry = np.nonzero(bound[live] <= np.sqrt(own_best[live].astype(float))[:, None])
-        if len(at):
-            measure(live[at], entry)
+        if len(at):  # of equal distances the first one in the row, so the lowest index, is found
+            gaps = np.full((len(live), len(entries)), np.iinfo(np.int64).max)
+            gaps[at, entry] = squared(part[live[at]], entries[entry])
+            entry = gaps.argmin(axis=1)
+            gap = gaps[np.arange(len(live)), entry]
+            better = (gap < own_best[live]) | ((gap == own_best[live]) & (entry < own_index[live]))
+            own_best[live[better]], own_index[live[better]] = gap[better], entry[better]
     return index, best
 
 
