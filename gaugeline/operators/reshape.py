@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from gaugeline import constants as C
 from gaugeline.functions import nan_to_null, parse_iso, time_bin
-from gaugeline.schemas import CORRUPT, READING
+from gaugeline.schemas import CORRUPT, READING, SOURCE
 
 
-def flatten(batches: DataFrame) -> DataFrame:
-    """One row per reading; a batch without readings gives none.
+def flatten(batches: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """One row per reading, with the ``carried`` columns of its batch; a batch without readings gives none.
 
     Batches read as JSON lines carry the text of a line that is no batch: it gives one row with that
     text in ``malformed`` and nothing else, which no rule can accept.
@@ -23,7 +23,7 @@ def flatten(batches: DataFrame) -> DataFrame:
     else:
         rows = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(None).cast(READING))).otherwise(F.col("readings"))
         readings, text = F.explode(rows), [F.col(CORRUPT).alias("malformed")]
-    inner = batches.select(F.col("station_id").alias("_station"), *text, readings.alias("r"))
+    inner = batches.select(F.col("station_id").alias("_station"), *text, *carried, readings.alias("r"))
     return inner.select(
         *([F.col("malformed")] if text else []),
         F.coalesce("_station", "r.station_id").alias("station_id"), F.col("r.data_type").alias("data_type"),
@@ -31,7 +31,7 @@ def flatten(batches: DataFrame) -> DataFrame:
         nan_to_null(F.col("r.parameters.ph")).alias("ph"),
         nan_to_null(F.col("r.parameters.turbidity")).alias("turbidity"),
         nan_to_null(F.col("r.parameters.dissolved_oxygen")).alias("dissolved_oxygen"),
-        F.col("r.error").alias("error"), parse_iso(F.col("r.timestamp")).alias("ts"))
+        F.col("r.error").alias("error"), parse_iso(F.col("r.timestamp")).alias("ts"), *carried)
 
 
 def storage_records(readings: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def storage_records(readings: DataFrame) -> DataFrame:
         .alias("data_quality"),
         measure("water_level"), measure("flow_rate"), measure("rainfall"), measure("temperature"),
         quality("ph").alias("ph_value"), quality("turbidity").alias("turbidity"),
-        quality("dissolved_oxygen").alias("dissolved_oxygen"))
+        quality("dissolved_oxygen").alias("dissolved_oxygen"), *[c for c in SOURCE if c in readings.columns])
 
 
 def first_per_hour(readings: DataFrame, kinds: Sequence[str] = ("water_level", "rainfall"),

@@ -24,6 +24,8 @@ READING = T.StructType([
 
 #: Text of a JSON line that is no batch; Spark fills it where the schema names it.
 CORRUPT = "_corrupt_record"
+#: Where a row came from: the file, the first byte of the piece of it that one task reads, and the number of the row in there.
+SOURCE = ("source_file", "source_block", "source_row")
 #: Readings of one station taken in one sweep over its sensors.
 STATION_BATCH = T.StructType([
     T.StructField("station_id", T.StringType()),

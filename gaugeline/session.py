@@ -42,9 +42,17 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names, or one beside the tables of the warehouse."""
+    """The shared checkpoint folder the cluster names, or one beside the tables of the warehouse.
+
+    A warehouse in a folder of one machine is no place for that, unless driver and executors are on it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{warehouse}/_checkpoints"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -70,6 +78,22 @@ def folder_values(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(p.getName().split("=", 1)[1] for p in paths)
 
 
+def list_paths(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """Sorted paths that the patterns find, of any file system."""
+    context, found = spark.sparkContext, []
+    for pattern in patterns:
+        at = context._jvm.org.apache.hadoop.fs.Path(pattern)
+        found += at.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(at) or []
+    return sorted(f.getPath().toString() for f in found)
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file; it is there at once or not at all."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).create(at, True).close()
+
+
 def folder_numbers(spark: SparkSession, pattern: str) -> list[int]:
     """:func:`folder_values` as ascending numbers."""
     return sorted(int(v) for v in folder_values(spark, pattern))

@@ -12,11 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline import constants as C
 from gaugeline.functions import as_moment
 from gaugeline.operators import reshape, risk, validate, warnings
-from gaugeline.session import folder_numbers, folder_values, remove_folder, shared_folder
+from gaugeline.schemas import SOURCE
+from gaugeline.session import folder_numbers, remove_folder, shared_folder
+from gaugeline.streaming import identity
+from gaugeline.streaming.daylog import BATCH, DayLog
 
-BATCH = "batch_id"
-DEDUPE_KEYS = ("station_id", "data_type", "ts")
-ARRIVED = "_arrived"
+DEDUPE_KEYS = identity.KEYS
+ARRIVED, ROW = "_arrived", "_row"
 
 
 def _start(stream: DataFrame, spark: SparkSession, name: str, checkpoint: str | None, mode: str,
@@ -35,10 +37,11 @@ def drop_repeats(readings: DataFrame, delay: str) -> DataFrame:
     """One reading per station, type and time among those that arrive within ``delay`` of the first.
 
     The watermark runs on the time of arrival, so a reading is never too late, however old it
-    is; keys leave the state ``delay`` after they arrived.
+    is; keys leave the state ``delay`` after they arrived. Rows without a whole key repeat nothing: each has a name of its own.
     """
-    return (readings.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, delay)
-            .dropDuplicatesWithinWatermark(list(DEDUPE_KEYS)).drop(ARRIVED))
+    own = F.when(~identity.has_key(), F.uuid())
+    return (readings.withColumns({ARRIVED: F.current_timestamp(), ROW: own}).withWatermark(ARRIVED, delay)
+            .dropDuplicatesWithinWatermark([*DEDUPE_KEYS, ROW]).drop(ARRIVED, ROW))
 
 
 def judged(readings: DataFrame, as_of=None) -> DataFrame:
@@ -58,6 +61,38 @@ def dead_rows(verdicts: DataFrame) -> DataFrame:
     return verdicts.filter(~passed)
 
 
+def ingest_once(batches: DataFrame, good_path: str, dead_path: str, seen_path: str, as_of=None, checkpoint: str | None = None,
+                trigger: dict | None = None, name: str = "ingest_once", merge_every: int = 100) -> StreamingQuery:
+    """As :func:`ingest`, of a file source, with each reading once however late it is repeated.
+
+    Every row has a fate: it is good, a dead letter, or a repeat counted under ``seen_path``. The keys seen so far are a table by day,
+    of which a batch reads the days it has readings of; no state is held in memory and none expires. Dead letters
+    carry file, piece and number of their source row, so two lines that are equally malformed stay two. A batch that runs again
+    finds the same keys seen and replaces its own output.
+    """
+    source = list(SOURCE[:2])
+    readings = reshape.flatten(identity.with_source(batches), source)
+
+    def store(micro: DataFrame, batch_id: int) -> None:
+        session = micro.sparkSession
+        seen = DayLog(session, f"{seen_path}/keys", identity.SEEN_SCHEMA)
+        placed = identity.place_rows(micro).persist()
+        try:
+            fresh, keyless, repeats = identity.split_repeats(placed, seen, batch_id)
+            verdicts = judged(fresh.unionByName(keyless), as_of).persist()
+            write_batch(good_rows(verdicts).drop(*SOURCE), good_path, batch_id)
+            write_batch(identity.number_rows(dead_rows(verdicts), placed), dead_path, batch_id)
+            write_batch(repeats, f"{seen_path}/repeats", batch_id)
+            seen.write(fresh.select(*identity.KEYS, F.to_date("ts").alias("day")), batch_id)
+            verdicts.unpersist()
+            if batch_id and batch_id % merge_every == 0:
+                seen.merge(batch_id, merge_every)
+        finally:
+            placed.unpersist()
+
+    return _start(readings, batches.sparkSession, name, checkpoint, "append", trigger).foreachBatch(store).start()
+
+
 def ingest(batches: DataFrame, good_path: str, dead_path: str, as_of=None, dedupe: str | None = None,
            checkpoint: str | None = None, trigger: dict | None = None,
            name: str = "ingest") -> StreamingQuery:
@@ -163,20 +198,23 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 LOG_SCHEMA = ("id string, warning_type int, warning_level int, title string, content string, "
               "affected_location string, publish_time timestamp, expire_time timestamp, status int, "
               f"day date, {BATCH} bigint")
-CANCEL_SCHEMA = f"id string, cancelled_at timestamp, {BATCH} bigint"
+CANCEL_SCHEMA = f"id string, cancelled_at timestamp, day date, {BATCH} bigint"
+
 
+def warning_log(spark: SparkSession, path: str) -> DayLog:
+    """The warnings by the day of their expiry."""
+    return DayLog(spark, path, LOG_SCHEMA.split(", day date")[0])
 
-def _open(spark: SparkSession, path: str, schema: str, partitions: list[str]) -> None:
-    """Make sure the table exists, so that the first batch can read it."""
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partitions).parquet(path)
 
+def cancel_log(spark: SparkSession, path: str) -> DayLog:
+    """The cancellations by the day on which their warning was published, or will be; its id says so."""
+    return DayLog(spark, path, CANCEL_SCHEMA.split(", day date")[0])
 
-def read_log(spark: SparkSession, path: str, day: str) -> DataFrame:
-    """Warnings that expire on ``day`` (as text) or later; folders of earlier days are not listed."""
-    days = [d for d in folder_values(spark, f"{path}/day=*") if d >= day]
-    if not days:
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(*[f"{path}/day={d}" for d in days])
+
+def read_log(spark: SparkSession, path: str, day: str, before: int | None = None) -> DataFrame:
+    """Warnings that expire on ``day`` (as text) or later; folders of earlier days are not opened."""
+    log = warning_log(spark, path)
+    return log.read(log.days_from(day), before)
 
 
 def raised(micro: DataFrame, log: DataFrame, cancels: DataFrame, now: Column) -> DataFrame:
@@ -196,18 +234,17 @@ def raised(micro: DataFrame, log: DataFrame, cancels: DataFrame, now: Column) ->
 
 def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None,
                   checkpoint: str | None = None, trigger: dict | None = None,
-                  name: str = "warnings", clock=None) -> StreamingQuery:
+                  name: str = "warnings", clock=None, merge_every: int = 100) -> StreamingQuery:
     """Raise warnings on level crossings into the append-only log.
 
     ``levels`` has ``station_id``, ``station_name``, ``ts`` and ``water_level``.
     Events after ``clock`` (the time of processing) are no evidence and are left out. "Now" is the newest
     of the others in the micro-batch, so a re-run raises the same warnings, reads no log row of its
-    own batch, and replaces its own files. The log is partitioned by the day of expiry; a batch lists and
-    reads the days on which a warning can still be in force, however long warnings last.
+    own batch, and replaces its own files. The log is partitioned by the day of expiry; a batch reads the days on
+    which a warning can still be in force, however long warnings last, and of the cancellations those
+    of the days on which these warnings were published. Days with ``merge_every`` batches are merged.
     """
     spark = levels.sparkSession
-    _open(spark, log_path, LOG_SCHEMA, ["day", BATCH])
-    _open(spark, cancel_path, CANCEL_SCHEMA, [BATCH])
 
     def store(micro: DataFrame, batch_id: int) -> None:
         session = micro.sparkSession
@@ -218,12 +255,11 @@ def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None
             if last["ts"] is None:
                 return
             now = as_moment(last["ts"] if as_of is None else as_of)
-            log = read_log(session, log_path, last["day"]).filter(F.col(BATCH) < batch_id)
-            cancels = session.read.schema(CANCEL_SCHEMA).parquet(cancel_path)
-            fresh = raised(past, log, cancels, now)
-            (fresh.withColumns({"day": F.to_date("expire_time"), BATCH: F.lit(batch_id).cast("long")})
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("day", BATCH).parquet(log_path))
+            log = read_log(session, log_path, last["day"], batch_id)
+            fresh = raised(past, log, read_cancels(session, cancel_path, log), now)
+            warning_log(session, log_path).write(fresh.withColumn("day", F.to_date("expire_time")), batch_id)
+            if batch_id and batch_id % merge_every == 0:
+                warning_log(session, log_path).merge(batch_id, merge_every)
         finally:
             past.unpersist()
 
@@ -231,6 +267,13 @@ def live_warnings(levels: DataFrame, log_path: str, cancel_path: str, as_of=None
 
 
 def cancel(requests: DataFrame, cancel_path: str, request_batch: int, as_of=None) -> None:
-    """Append cancellation requests (column ``id``); they may name warnings yet to come."""
-    rows = requests.select("id", as_moment(as_of).alias("cancelled_at"))
-    write_batch(rows, cancel_path, request_batch)
+    """Append cancellation requests (column ``id``); they may name warnings yet to come. A batch of requests that is written again replaces itself."""
+    published = F.try_to_date(F.regexp_extract("id", r"^WARN-(\d{8})", 1), "yyyyMMdd")
+    rows = requests.select("id", as_moment(as_of).alias("cancelled_at"), published.alias("day"))
+    cancel_log(requests.sparkSession, cancel_path).write(rows, request_batch)
+
+
+def read_cancels(spark: SparkSession, cancel_path: str, log: DataFrame | None = None) -> DataFrame:
+    """Cancellations; with ``log`` those only that can name one of its warnings: of the days on which these were published."""
+    days = None if log is None else [str(r.day) for r in log.select(F.to_date("publish_time").alias("day")).distinct().collect()]
+    return cancel_log(spark, cancel_path).read(days)
