@@ -208,6 +208,24 @@ def s9(spark, sf):
         "station_id", "window_id", r("level"))
 
 
+@query("s10_measured_accuracy", f"""
+SELECT 'line' AS version, ROUND(GREATEST(0, 1 - loss / var_pop), 4) AS accuracy,
+       strftime(lo, '%Y-%m-%d %H:%M:%S') || ' .. ' || strftime(hi, '%Y-%m-%d %H:%M:%S') AS training_data_range,
+       CAST(1 AS SMALLINT) AS status
+FROM (SELECT (regr_syy(y, x) - regr_sxy(y, x) ** 2 / regr_sxx(y, x)) / COUNT(y) AS loss, VAR_POP(y) FILTER (WHERE y IS NOT NULL) AS var_pop FROM steps) s,
+     (SELECT MIN(hour) AS lo, MAX(hour) AS hi FROM resampled WHERE water_level IS NOT NULL) h""", "steps", "resampled")
+def s10_measured(spark, sf):
+    """The accuracy that is registered is the share of the variance that the fitted model explains, by its own loss."""
+    t, path = Tables(spark, sf), f"{run_folder(spark, 'models')}/versions"
+    pairs = level_windows(t, 1, 1)
+    found = model.fit(pairs, horizon=1, **LINE)
+    accuracy = pairs.agg(F.var_pop(F.col("label")[0]).alias("v")).select(model.explained(found, F.col("v"))).scalar()
+    row = tables.register_model("line", t.resampled.filter("water_level IS NOT NULL"), "hour", {"horizon": 1}, accuracy, "line of regression", AS_OF)
+    tables.append(row, "model_version", path, "line")
+    return tables.read_table(spark, path, "model_version").select(
+        "version", F.col("accuracy").cast("double").alias("accuracy"), "training_data_range", "status")
+
+
 @query("f4_linear_model")
 def f4_linear(spark, sf):
     t = Tables(spark, sf)
@@ -276,8 +294,12 @@ def f8(spark, sf):
 
 @query("s11_stored_predictions", RECORDS, "forecast_result", "resampled")
 def s11(spark, sf):
-    kept = tables.accepted(tables.conform(records(Tables(spark, sf)), "flood_prediction_record", AS_OF))
-    return kept.select(
+    """Appended to the stored table, twice as the same batch, and read back."""
+    path = f"{run_folder(spark, 'predictions')}/records"
+    conformed = tables.conform(records(Tables(spark, sf)), "flood_prediction_record", AS_OF)
+    for _ in range(2):
+        tables.append(conformed, "flood_prediction_record", path, AS_OF)
+    return tables.read_table(spark, path, "flood_prediction_record").select(
         "location_id", "predict_time", "predict_hour",
         F.col("predicted_water_level").cast("double").alias("predicted_water_level"),
         F.col("confidence_score").cast("double").alias("confidence_score"), "risk_level", "model_version",

@@ -1,7 +1,5 @@
 """Queries on readings and records: scans, reshaping, validation, lookups, expressions."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from gaugeline import functions as G
@@ -20,8 +18,8 @@ from gaugeline.catalog.base import (
     sql_risk_name,
 )
 from gaugeline.operators import kpis, reshape, risk, series, validate
-from gaugeline.session import shared_folder
-from gaugeline.sources import dims, readings, tables
+from gaugeline.session import run_folder
+from gaugeline.sources import commits, dims, readings, tables
 
 TIME_ISSUE = (f"CASE WHEN {{0}} > TIMESTAMP '{AS_OF}' THEN 'FUTURE' "
               f"WHEN {{0}} <= TIMESTAMP '{AS_OF}' - INTERVAL 8 DAY THEN 'EXPIRED' END")
@@ -170,9 +168,10 @@ FROM (SELECT station_id AS location_id, ph AS ph_value, CASE WHEN k > 5 THEN 'CO
 def s8_rejected(spark, sf):
     t = Tables(spark, sf)
     level = F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("water_quality_level")
-    levels = t.raw("events").select("event_id", level)
-    rows = t.reading.filter("data_type = 'water_quality'").join(levels, "event_id").withColumnsRenamed(
-        {"station_id": "location_id", "ts": "timestamp", "ph": "ph_value"})
+    station = F.concat(F.lit("S00"), (F.col("user_id") % 5 + 1).cast("string")).alias("location_id")
+    ph = F.when(level > 0, level * 15 / F.lit(100.0)).alias("ph_value")
+    rows = t.raw("events").filter("event_type NOT IN ('view', 'click', 'purchase', 'signup')").select(
+        station, F.col("ts").alias("timestamp"), ph, level)
     conformed = tables.conform(rows, "water_quality_data", AS_OF)
     return conformed.groupBy("location_id", F.concat_ws(",", "problems").alias("problems")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("ph_value").isNull()).alias("no_ph"))
@@ -190,6 +189,69 @@ def s10(spark, sf):
                       "training_data_range", "status")
 
 
+@query("s6_stored_submissions", """
+SELECT event_id % 5 AS batch, station_id, data_type, ts, value, 'accepted' AS fate FROM (
+  SELECT event_id, CASE WHEN error IS NULL AND data_type <> 'water_quality' THEN station_id END AS station_id,
+         CASE WHEN error IS NULL AND data_type <> 'water_quality' THEN data_type END AS data_type,
+         date_trunc('second', ts) AS ts, value, error, data_type AS kind FROM reading) r WHERE error IS NULL AND kind <> 'water_quality'
+UNION ALL
+SELECT event_id % 5, NULL, NULL, NULL, NULL, CASE WHEN error IS NOT NULL THEN 'MALFORMED' ELSE 'MISSING_STATION_ID' END
+FROM reading WHERE error IS NOT NULL OR data_type = 'water_quality'""", "reading")
+def s6_stored(spark, sf):
+    """Submitted lines from text files, in five batches of which one is stored twice; both tables read back."""
+    run = run_folder(spark, "submissions")
+    lines = submissions(Tables(spark, sf)).select("value", (F.col("event_id") % 5).alias("batch"))
+    lines.write.partitionBy("batch").text(f"{run}/lines")
+    for batch in (0, 1, 2, 2, 3, 4):
+        text = spark.read.text(f"{run}/lines/batch={batch}").select(F.col("value").alias("line"), F.lit(batch).cast("long").alias("batch"))
+        parsed = readings.parse_submissions(text, "line")
+        readings.store_submissions(parsed, f"{run}/accepted", f"{run}/rejected", f"batch {batch}", "line")
+    kept = commits.read_batches(spark, f"{run}/accepted").select(
+        "batch", "station_id", "data_type", F.col("timestamp").alias("ts"), "value", F.lit("accepted").alias("fate"))
+    lost = commits.read_batches(spark, f"{run}/rejected").select("batch", F.concat_ws(",", "problems").alias("fate"))
+    return kept.unionByName(lost, allowMissingColumns=True)
+
+
+@query("s7_json_files", """
+SELECT station_id, data_type, ts, value, ph, turbidity, dissolved_oxygen, error, event_id FROM reading""", "reading")
+def s7_files(spark, sf):
+    """Exported to JSON files and imported from them."""
+    source, path = Tables(spark, sf).reading, f"{run_folder(spark, 'json')}/out"
+    tables.export_json(source, path)
+    return tables.import_json(spark, path, source.schema)
+
+
+def sql_stored(extra: str) -> str:
+    return ("SELECT station_id AS location_id, ts AS timestamp, " + ", ".join(
+        half_up(f"CASE WHEN data_type = '{m}' THEN value END") + f" AS {m}" for m in MEASURES)
+        + f", CAST(CASE WHEN error IS NOT NULL THEN 2 ELSE 1 END AS SMALLINT) AS data_quality, CAST(1 AS SMALLINT) AS status{extra}")
+
+
+@query("s8_appended_twice", sql_stored(", CAST(ts AS DATE) AS day") + " FROM reading", "reading")
+def s8_twice(spark, sf):
+    """Four batches, one appended three times, its first run with other rows, and one whose first run broke off before its commit: as one append."""
+    path = f"{run_folder(spark, 'stored')}/water"
+    records = tables.conform(reshape.storage_records(Tables(spark, sf).reading), "water_monitoring_data", AS_OF)
+    part = F.pmod(F.unix_seconds("timestamp"), F.lit(4))
+    tables.append(records.filter((part == 1) & (F.col("data_quality") == 2)), "water_monitoring_data", path, "1")
+    rows, partitions = tables.laid_out(records.filter(part == 3).limit(10), "water_monitoring_data")
+    commits.write_attempt(rows, path, partitions)
+    for number in (0, 1, 1, 2, 3):
+        tables.append(records.filter(part == number), "water_monitoring_data", path, str(number))
+    stored = tables.read_table(spark, path, "water_monitoring_data")
+    return stored.select("location_id", "timestamp", *decimals(MEASURES), "data_quality", "status", "day")
+
+
+@query("s8_stored_station_day", sql_stored("") + f" FROM reading WHERE station_id = 'S002' AND CAST(ts AS DATE) = DATE '{AS_OF[:8]}10'", "reading")
+def s8_day(spark, sf):
+    """One station and day out of the stored table; the scan opens the folder of that day only."""
+    path = f"{run_folder(spark, 'stored')}/water"
+    records = tables.conform(reshape.storage_records(Tables(spark, sf).reading), "water_monitoring_data", AS_OF)
+    tables.append(records, "water_monitoring_data", path, "all")
+    stored = tables.read_table(spark, path).filter(f"day = DATE '{AS_OF[:8]}10' AND location_id = 'S002'")
+    return stored.select("location_id", "timestamp", *decimals(MEASURES), "data_quality", "status")
+
+
 # Reshaping.
 
 FLAT = """
@@ -605,7 +667,7 @@ def s4_malformed(spark, sf):
     fields = ["station_id", "data_type", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")]
     line = F.to_json(F.struct("station_id", F.array(F.struct(*fields)).alias("readings")))
     cut = F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 25)).otherwise(line)
-    path = shared_folder(spark, f"runs/s4-{uuid.uuid4().hex}")
+    path = f"{run_folder(spark, 's4')}/lines"
     Tables(spark, sf).reading.select(cut.alias("value")).write.text(path)
     flat = reshape.flatten(readings.read_batches(spark, path))
     return flat.groupBy(F.col("malformed").isNotNull().alias("malformed")).agg(

@@ -25,9 +25,10 @@ SQL_ID = ("'WARN-' || strftime(publish_time, '%Y%m%d%H%M%S') || '-' || md5(" + "
     + ") || '-' || affected_location")
 
 
-def _sql_text(column: int) -> str:
+def flood_text(column: int, level: str = "risk_level") -> str:
+    """Title (1) or text (2) by level."""
     whens = " ".join(f"WHEN {row[0]} THEN '{row[column]}'" for row in C.FLOOD_TEXTS)
-    return f"CASE risk_level {whens} END"
+    return f"CASE {level} {whens} END"
 
 
 # Every station-hour at risk as a warning published in that hour.
@@ -35,8 +36,8 @@ VIEWS["flood_warning"] = (("hour_wide", "station"), f"""
 SELECT {SQL_ID} AS id,
        * FROM (
   SELECT 1 AS warning_type, risk_level AS warning_level,
-         replace({_sql_text(1)}, '%s', station_name) AS title,
-         replace(regexp_replace({_sql_text(2)}, '%s', station_name), '%s', level_text) AS content,
+         replace({flood_text(1)}, '%s', station_name) AS title,
+         replace(regexp_replace({flood_text(2)}, '%s', station_name), '%s', level_text) AS content,
          station_id AS affected_location, hour AS publish_time, hour + INTERVAL 24 HOUR AS expire_time, 1 AS status
   FROM (SELECT h.station_id, h.hour, COALESCE(s.name, h.station_id) AS station_name,
                CAST({half_up('water_level')} AS VARCHAR) AS level_text, {sql_grade('water_level')} AS risk_level

@@ -118,6 +118,13 @@ def _loss(products: np.ndarray, beta: np.ndarray) -> np.ndarray:
     return np.maximum(squared, 0.0) / products[0, 0]
 
 
+def explained(found: LevelModel, variance: Column) -> Column:
+    """Accuracy of a model between 0 and 1: the share of the labels' ``variance`` that its loss leaves, the held-out loss where there is one."""
+    step = next(row for row in found.losses if row[1] == found.strength)
+    loss = step[2] if step[3] is None else step[3]
+    return F.greatest(F.lit(0.0), 1 - F.lit(float(loss)) / F.when(variance > 0, variance))
+
+
 def fit(train: DataFrame, validation: DataFrame | None = None, version: str = "linear-1",
         horizon: int = C.HORIZON, strengths: Sequence[float] = (1.0, 0.1, 0.01, 0.001),
         callback: Callback | None = None, parameters: dict | None = None) -> LevelModel:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from gaugeline.functions import nan_to_null, parse_iso
 from gaugeline.schemas import CORRUPT, READING, STATION_BATCH
+from gaugeline.sources import commits
 
 
 def _batch_schema(kind: str) -> T.StructType:
@@ -44,8 +45,10 @@ def parse_submissions(lines: DataFrame, text: str = "value",
     """Submitted JSON lines with the reading fields, ``problems`` and ``accepted``.
 
     A line that is no JSON object, or lacks a required field, keeps its text and
-    the reasons; nothing is dropped.
+    the reasons; nothing is dropped. A text column with the name of a reading's field becomes ``line``.
     """
+    if text in READING.fieldNames():
+        lines, text = lines.withColumnRenamed(text, "line"), "line"
     corrupt = "_corrupt_record"
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in READING.fields)
     parsed = lines.withColumn(
@@ -71,8 +74,18 @@ def parse_submissions(lines: DataFrame, text: str = "value",
             .withColumn("accepted", F.size("problems") == 0))
 
 
-def split_submissions(parsed: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
+def store_submissions(parsed: DataFrame, accepted_path: str, rejected_path: str, batch: str, text: str = "line") -> None:
+    """Both parts of :func:`split_submissions` into two tables, accepted ones by day; the batch may be stored again.
+
+    The rejected lines are committed first, so no line is ever in neither table once its batch is accepted.
+    """
+    accepted, rejected = split_submissions(parsed, text)
+    commits.append_batch(rejected, rejected_path, batch)
+    commits.append_batch(commits.with_day(accepted, "timestamp"), accepted_path, batch, ["day"])
+
+
+def split_submissions(parsed: DataFrame, text: str = "line") -> tuple[DataFrame, DataFrame]:
     """Accepted readings, and rejected lines with their problems."""
     accepted = parsed.filter("accepted").drop("accepted", "problems", text)
-    rejected = parsed.filter("NOT accepted").select(text, "problems")
+    rejected = parsed.filter("NOT accepted").drop(*READING.fieldNames(), "accepted")
     return accepted, rejected

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import as_moment
 from gaugeline.schemas import TABLES
+from gaugeline.session import list_paths
+from gaugeline.sources import commits
 
 #: Six fraction digits keep JSON timestamps exact.
 JSON_TIMES = {
@@ -70,8 +72,8 @@ def rejected(conformed: DataFrame) -> DataFrame:
     return conformed.filter(F.size("problems") > 0)
 
 
-def append(conformed: DataFrame, table: str, path: str) -> None:
-    """Append the accepted rows, partitioned by day and sorted within files.
+def laid_out(conformed: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
+    """The accepted rows as they are stored, and the columns they are partitioned by.
 
     The rebalance hint gathers each day into few files and lets adaptive
     execution split a day that holds most of the rows among many tasks.
@@ -79,15 +81,34 @@ def append(conformed: DataFrame, table: str, path: str) -> None:
     spec = TABLES[table]
     rows = accepted(conformed)
     if spec.partition_time is None:
-        rows.write.mode("append").parquet(path)
-        return
-    rows = rows.withColumn("day", F.to_date(spec.partition_time))
-    (rows.hint("rebalance", F.col("day")).sortWithinPartitions("day", *spec.sort_by)
-     .write.mode("append").partitionBy("day").parquet(path))
+        return rows, []
+    rows = commits.with_day(rows, spec.partition_time)
+    return rows.hint("rebalance", F.col("day")).sortWithinPartitions("day", *spec.sort_by), ["day"]
+
 
+def append(conformed: DataFrame, table: str, path: str, batch: str | None = None) -> None:
+    """Append the accepted rows, partitioned by day and sorted within files.
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    With ``batch``, a name for what is appended, the append may run again: the rows replace those of
+    the last run of the batch, and readers see all of them or none. A table is written in one of the two ways.
+    """
+    rows, partitions = laid_out(conformed, table)
+    if batch is not None:
+        commits.append_batch(rows, path, batch, partitions)
+    else:
+        rows.write.mode("append").partitionBy(*partitions).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """A stored table; one of batches that may be empty needs the name of its ``table``."""
+    if not commits.is_committed(spark, path):
+        if table is None or list_paths(spark, [path]):
+            return spark.read.parquet(path)
+    schema = None
+    if table is not None:
+        spec = TABLES[table]
+        schema = ", ".join(f"{n} {k}" for n, k in spec.columns.items()) + (", day date" if spec.partition_time else "")
+    return commits.read_batches(spark, path, schema)
 
 
 def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

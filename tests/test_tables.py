@@ -85,3 +85,49 @@ def test_register_model(spark):
     assert row["training_data_range"] == "2024-01-25 00:00:00 .. 2024-01-28 00:00:00"
     assert (row["version"], str(row["accuracy"]), row["parameters_summary"]) == ("v1", "0.9123", '{"horizon":24}')
     assert row["problems"] == [] and row["deployed_at"] == NOW
+
+
+def test_a_batch_that_is_appended_again_replaces_itself(spark, tmp_path):
+    import pytest
+
+    from gaugeline.sources import commits
+    path = str(tmp_path / "water")
+    shape = "location_id string, timestamp timestamp, water_level double"
+
+    def conformed(*levels):
+        return tables.conform(spark.createDataFrame([("S1", NOW + dt.timedelta(days=i), x) for i, x in enumerate(levels)], shape), "water_monitoring_data", NOW)
+
+    def stored():
+        return sorted(float(r.water_level) for r in tables.read_table(spark, path, "water_monitoring_data").collect())
+
+    assert stored() == []
+    rows, partitions = tables.laid_out(conformed(9.0), "water_monitoring_data")
+    commits.write_attempt(rows, path, partitions)  # breaks off before its commit
+    assert stored() == []
+    with pytest.raises(ValueError, match="no committed batch"):
+        commits.read_batches(spark, path)
+    tables.append(conformed(1.0, 2.0), "water_monitoring_data", path, "2024-01-25, first/half")
+    tables.append(conformed(3.0), "water_monitoring_data", path, "b")
+    assert stored() == [1.0, 2.0, 3.0]
+    tables.append(conformed(1.0, 2.5), "water_monitoring_data", path, "2024-01-25, first/half")
+    assert stored() == [1.0, 2.5, 3.0]
+    running = commits.write_attempt(rows, path, partitions)
+    assert len(commits.clean(spark, path, [running])) == 2 and stored() == [1.0, 2.5, 3.0]
+    commits.commit(spark, path, "c", running)
+    assert stored() == [1.0, 2.5, 3.0, 9.0] and commits.clean(spark, path) == []
+    back = tables.read_table(spark, path).filter(F.col("day") == "2024-01-26")
+    assert "PartitionFilters: [isnotnull(day" in back._jdf.queryExecution().executedPlan().toString()
+    tables.append(conformed().limit(0), "water_monitoring_data", path, "b")
+    assert stored() == [1.0, 2.5, 9.0]
+
+
+def test_submissions_are_stored_once(spark, tmp_path):
+    from gaugeline.sources import commits
+    lines = ['{"station_id": "S1", "data_type": "rainfall", "value": 3.5, "timestamp": "2024-01-05T00:00:00"}', '{"data_type": "rainfall"}', "no json", "no json"]
+    parsed = readings.parse_submissions(spark.createDataFrame([(x,) for x in lines], "line string"), "line")
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    for _ in range(2):
+        readings.store_submissions(parsed, good, bad, "one", "line")
+    assert [(r.station_id, r.value, str(r.day)) for r in commits.read_batches(spark, good).collect()] == [("S1", 3.5, "2024-01-05")]
+    assert sorted((r.line, r.problems[0]) for r in commits.read_batches(spark, bad).collect()) == [
+        ("no json", "MALFORMED"), ("no json", "MALFORMED"), (lines[1], "MISSING_STATION_ID")]
