@@ -16,6 +16,8 @@ from gaugeline.catalog.base import (
 )
 from gaugeline.operators import blocks as B
 from gaugeline.operators import scale, series, windows
+from gaugeline.plans import statistics
+from gaugeline.session import run_folder
 
 KEY = ["station_id"]
 PAIR = ["water_level", "flow_rate"]
@@ -66,6 +68,34 @@ def a2_station(spark, sf):
         "station_id", "day", *rs(PAIR))
 
 
+#: Days from this one on are new: they are scaled by statistics of all days, of which the older ones are stored.
+NEW_DAY = "1997-01-01"
+
+
+def with_statistics(spark, t: Tables):
+    """The new days, and merged statistics of two stored batches, of which the second was stored twice."""
+    path = f"{run_folder(spark, 'statistics')}/days"
+    daily = t.daily
+    old, new = (daily.filter(f"day {sign} DATE '{NEW_DAY}'") for sign in ("<", ">="))
+    for batch, part in (("old", old), ("new", new), ("new", new)):
+        statistics.store(part, path, batch, KEY, "day", PAIR)
+    return new, statistics.merged(statistics.load(spark, path), KEY, PAIR)
+
+
+@query("a1_incremental", f"SELECT * FROM ({sql_scaled('daily_load', 'day', PAIR, 'minmax', 'OVER (PARTITION BY station_id)')}) s "
+       f"WHERE day >= DATE '{NEW_DAY}'", "daily_load")
+def a1_incremental(spark, sf):
+    new, stats = with_statistics(spark, Tables(spark, sf))
+    return statistics.normalize(new, stats, KEY, PAIR).select("station_id", "day", *rs(PAIR))
+
+
+@query("a2_incremental", f"SELECT * FROM ({sql_scaled('daily_load', 'day', PAIR, 'z', 'OVER (PARTITION BY station_id)')}) s "
+       f"WHERE day >= DATE '{NEW_DAY}'", "daily_load")
+def a2_incremental(spark, sf):
+    new, stats = with_statistics(spark, Tables(spark, sf))
+    return statistics.standardize(new, stats, KEY, PAIR).select("station_id", "day", *rs(PAIR))
+
+
 def sql_anomaly(source, time, over, threshold):
     return (f"SELECT station_id, {time}, COALESCE(ABS(flow_rate - AVG(flow_rate) {over}) > {threshold} * "
             f"STDDEV_SAMP(flow_rate) {over}, FALSE) AS is_anomaly FROM {source}")
@@ -77,6 +107,13 @@ def a3(spark, sf):
         "station_id", "hour", "is_anomaly")
 
 
+@query("a3_incremental", f"SELECT station_id, day, is_anomaly FROM ({sql_anomaly('daily_load', 'day', 'OVER (PARTITION BY station_id)', 2.0)}) s "
+       f"WHERE day >= DATE '{NEW_DAY}'", "daily_load")
+def a3_incremental(spark, sf):
+    new, stats = with_statistics(spark, Tables(spark, sf))
+    return statistics.anomalies(new, stats, KEY, ["flow_rate"], 2.0).select("station_id", "day", F.col("is_anomaly_flow_rate").alias("is_anomaly"))
+
+
 @query("a3_anomalies_by_station",
        sql_anomaly("daily_load", "day", "OVER (PARTITION BY station_id)", 3.0), "daily_load")
 def a3_station(spark, sf):
@@ -256,6 +293,27 @@ def w12_repeated(spark, sf):
     return series.rain_events(twice, KEY, block="1 day").select("station_id", "start", "end", "hours", r("total"), r("peak"))
 
 
+@query("w12_incremental", f"""
+SELECT station_id, MIN(hour) AS start, MAX(hour) AS end, COUNT(*) AS hours, {qr('SUM(rainfall)', 'total')},
+       {qr('MAX(rainfall)', 'peak')}
+FROM (SELECT *, SUM(brk) OVER (PARTITION BY station_id ORDER BY hour ROWS UNBOUNDED PRECEDING) AS grp
+      FROM (SELECT station_id, hour, rainfall,
+                   CASE WHEN LAG(hour) OVER (PARTITION BY station_id ORDER BY hour) = hour - INTERVAL '1' HOUR
+                        THEN 0 ELSE 1 END AS brk
+            FROM hour_wide WHERE rainfall >= 0.5) a) g
+GROUP BY station_id, grp""", "hour_wide")
+def w12_incremental(spark, sf):
+    """Every day appended by itself, odd ones before even ones and one of them twice; the events are those of the whole table."""
+    run = run_folder(spark, "rain")
+    hours = Tables(spark, sf).hour_wide.withColumn("day", F.to_date("hour"))
+    hours.write.partitionBy("day").parquet(f"{run}/hours")
+    stored = spark.read.parquet(f"{run}/hours")
+    days = sorted((r.day for r in stored.select("day").distinct().collect()), key=lambda d: (-(d.day % 2), d))
+    for day in [*days, *days[:1]]:
+        series.store_rain_runs(stored.filter(F.col("day") == F.lit(day)), f"{run}/runs", str(day), KEY)
+    return series.read_rain_events(spark, f"{run}/runs", KEY).select("station_id", "start", "end", "hours", r("total"), r("peak"))
+
+
 # Windows.
 
 def sql_windows(source: str, time: str, feature: str, horizon: int = 1, label: str = "") -> str:

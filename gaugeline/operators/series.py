@@ -9,13 +9,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeline import constants as C
 from gaugeline.functions import epoch, interval_seconds, time_bin
 from gaugeline.operators import blocks as B
+from gaugeline.sources import commits
 
 log = logging.getLogger(__name__)
 
@@ -61,38 +62,57 @@ def _lines(measures: Sequence[str], at: str, fill_lead: bool) -> list[Column]:
     return values
 
 
-def _spread(df: DataFrame, time_col: str, seconds: int, block: str, tail: Column | None = None) -> DataFrame:
-    """Each bin followed by the empty bins up to the next one (``_until``), those from ``tail`` on.
+def _bins_after(df: DataFrame, time_col: str, seconds: int, first: int, tail: Column | None) -> DataFrame:
+    """Adds ``_gap``, the bins from a row to the next one (``_until``), and ``_low``, the first bin that is wanted, from ``first`` on."""
+    start, low = epoch(F.col(time_col)), F.lit(first).cast("long")
+    gap = F.greatest(F.coalesce((F.col("_until") - start) / seconds, F.lit(1)).cast("long"), F.lit(1).cast("long"))
+    if tail is not None:
+        low = F.greatest(low, F.ceil((tail - start) / seconds).cast("long"))
+    return df.withColumns({"_gap": gap, "_low": low})
 
-    ``_ahead`` is 0 on the bin itself and counts the empty bins after it. A gap is cut into pieces
-    of a block's length, which are dealt to all tasks before the bins are made: a row that opens a
-    gap of years is not the work of one task. The number of tasks is fixed, as merging them by
-    the small size of the pieces would undo that.
+
+def _placed(df: DataFrame, time_col: str, seconds: int) -> DataFrame:
+    return (df.withColumn(time_col, F.timestamp_seconds(epoch(F.col(time_col)) + F.col("_ahead") * seconds))
+            .drop("_until", "_low", "_gap"))
+
+
+def _spread(rows: DataFrame, time_col: str, seconds: int, per: int, tail: Column | None) -> DataFrame:
+    """Each bin followed by the empty bins up to the next one, where these are no more than a block has; else the bin alone.
+
+    ``_ahead`` is 0 on the bin itself and counts the empty bins after it. Rows stay where they are.
     """
-    one, per = F.lit(1).cast("long"), max(1, interval_seconds(block) // seconds)
-    start = epoch(F.col(time_col))
-    gap = F.coalesce((F.col("_until") - start) / seconds, F.lit(1)).cast("long")
-    low = F.lit(0).cast("long") if tail is None else F.greatest(
-        F.lit(0).cast("long"), F.ceil((tail - start) / seconds).cast("long"))
-    # Rows of one bin have no bin between them.
-    df = df.withColumns({"_low": low, "_high": F.greatest(gap, one) - 1}).filter("_low <= _high")
-    piece = F.explode(F.expr(f"sequence(_low DIV {per}, greatest(_low, _high) DIV {per}, 1L)"))
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("_piece", piece).repartition(tasks, B.SERIES, B.BLOCK, "_piece")
-    ahead = F.explode(F.expr(f"sequence(greatest(_low, _piece * {per}), "
-                             f"greatest(_low, _piece * {per}, least(_high, _piece * {per} + {per} - 1)), 1L)"))
-    return (dealt.withColumn("_ahead", ahead)
-            .withColumn(time_col, F.timestamp_seconds(start + F.col("_ahead") * seconds))
-            .drop("_until", "_low", "_high", "_piece"))
+    found = _bins_after(rows, time_col, seconds, 0, tail)
+    high = F.when(F.col("_gap") > per, F.lit(0).cast("long")).otherwise(F.col("_gap") - 1)
+    wanted = found.withColumn("_high", high).filter("_low <= _high")
+    return _placed(wanted.withColumn("_ahead", F.explode(F.expr("sequence(_low, greatest(_low, _high), 1L)"))).drop("_high"), time_col, seconds)
+
+
+def _long_gaps(summary: DataFrame, time_col: str, seconds: int, per: int, tail: Column | None, measures: Sequence[str]) -> DataFrame:
+    """The empty bins of gaps that are longer than a block.
+
+    Such a gap begins behind the last bin of a block, so the summary has all that its bins need and no row is looked at.
+    It is cut into pieces of a block's length, which are dealt to all tasks: a gap of years is not the
+    work of one task. The number of tasks is fixed, as merging them by the small size of the pieces would undo that.
+    """
+    ends = summary.withColumns({"_until": F.col("_until_next"), time_col: F.timestamp_seconds("_end"),
+                                **{f"_prev_{part}_{i}": F.coalesce(f"_end_{part}_{i}", f"_before_{part}_{i}") for i in range(len(measures)) for part in ("at", "x")},
+                                **{f"_next_{part}_{i}": F.col(f"_after_{part}_{i}") for i in range(len(measures)) for part in ("at", "x")}})
+    found = _bins_after(ends, time_col, seconds, 1, tail).filter(f"_gap > {per} AND _low < _gap")
+    piece = F.explode(F.expr(f"sequence(_low DIV {per}, (_gap - 1) DIV {per}, 1L)"))
+    tasks = int(summary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.withColumn("_piece", piece).repartition(tasks, B.SERIES, B.BLOCK, "_piece")
+    ahead = F.explode(F.expr(f"sequence(greatest(_low, _piece * {per}), least(_gap - 1, _piece * {per} + {per} - 1), 1L)"))
+    return _placed(dealt.withColumn("_ahead", ahead), time_col, seconds)
 
 
 def _bin_summary(bins: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Block summary with carried points, the next block's first bin and the series' ends."""
-    points = B.block_points(bins, "_at", measures, ["min(_at) AS _lo", "max(_at) AS _hi"])
-    return (B.carry_points(points, measures)
+    """Block summary with carried points, the last bin and the last known points of the block, the next block's first bin and the series' ends."""
+    points = B.block_points(bins, "_at", measures, ["min(_at) AS _lo", "max(_at) AS _end"])
+    kept = points.withColumns({f"_end_{part}_{i}": F.col(f"_last_{part}_{i}") for i in range(len(measures)) for part in ("at", "x")}) if measures else points
+    return (B.carry_points(kept, measures)
             .withColumns({"_until_next": F.lead("_lo").over(B.along()),
-                          "_first": F.min("_lo").over(B.whole()), "_last": F.max("_hi").over(B.whole())})
-            .drop("_lo", "_hi"))
+                          "_first": F.min("_lo").over(B.whole()), "_last": F.max("_end").over(B.whole())})
+            .drop("_lo"))
 
 
 def dense_series(bins: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
@@ -105,30 +125,36 @@ def dense_series(bins: DataFrame, keys: Sequence[str], time_col: str, measures:
     columns keep their value on existing bins and are NULL elsewhere. ``last``
     keeps the last ``last`` bins: older blocks go no further than the summary.
 
-    Gaps are expanded from the existing rows, so the spine needs no join; a task makes the bins
-    of pieces of a block's length, whatever the length of a gap.
+    Gaps are expanded from the existing rows, so the spine needs no join: those of a block's length where the rows
+    are, longer ones, in pieces that are dealt to all tasks, from the summary of the blocks.
     """
     keys, seconds = list(keys), interval_seconds(interval)
+    per = max(1, interval_seconds(block) // seconds)
     filled = list(measures) if fill else []
     dated = bins.filter(F.col(time_col).isNotNull())
     blocked = B.with_block(dated, keys, time_col, block).withColumn("_at", epoch(F.col(time_col)))
     summary = _bin_summary(blocked, filled)
+    tail = None if last is None else F.col("_last") - (last - 1) * seconds
+    ends = [f"_end_{part}_{i}" for i in range(len(filled)) for part in ("at", "x")]
+    beside = summary.drop("_end", *ends)
 
     def local(rows: DataFrame) -> DataFrame:
         ahead = rows.withColumn("_until", F.lead("_at").over(B.in_block("_at")))
         return B.neighbours(ahead, "_at", filled)
 
     if last is None:
-        rows = B.join_summary(local(blocked), summary)
+        rows = B.join_summary(local(blocked), beside)
     else:
-        tail = F.col("_last") - (last - 1) * seconds
         until = F.coalesce(F.col("_until_next"), F.col("_last") + seconds)
-        rows = local(B.join_summary(blocked, summary.filter(until > tail), "inner"))
+        rows = local(B.join_summary(blocked, beside.filter(until > tail), "inner"))
     at = epoch(F.col(time_col))
     rows = B.beyond_block(rows, filled).withColumn("_until", F.coalesce("_until", "_until_next"))
-    spine = _spread(rows, time_col, seconds, block, None if last is None else tail)
+    spine = _spread(rows, time_col, seconds, per, tail)
     here = F.col("_ahead") == 0
     plain = spine.withColumns({c: F.when(here, F.col(c)) for c in [*measures, *passed]})
+    empty = {c: F.lit(None).cast(kind) for c, kind in bins.dtypes if c in (*measures, *passed)}
+    gaps = _long_gaps(summary, time_col, seconds, per, tail, filled).withColumns(empty)
+    plain = plain.select(*[c for c in plain.columns if c in gaps.columns]).unionByName(gaps.select(*[c for c in plain.columns if c in gaps.columns]))
     values = _lines(measures, f"unix_seconds({B.sql_name(time_col)})", False) if fill else list(measures)
     placed = plain.select(B.SERIES, time_col, *values, *passed,
                           ((at - F.col("_first")) / seconds).cast("long").alias("step"))
@@ -241,9 +267,20 @@ def rain_events(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
     """Runs of adjacent wet hours: start, end, hours, total and peak.
 
     Rows of one hour belong to one event and are one of its ``hours``; ``total`` adds them all up.
+
     Runs are found per block; only those that touch a block border, two per block
     at most, are joined along the series.
     """
+    return join_runs(rain_runs(df, keys, time_col, measure, wet, interval, block), keys, interval)
+
+
+def rain_runs(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
+              measure: str = "rainfall", wet: float = C.WET_HOUR, interval: str = C.SAMPLING,
+              block: str = B.DEFAULT_BLOCK) -> DataFrame:
+    """Runs of adjacent wet hours inside blocks of time; ``border`` tells those that may go on in a neighbouring block.
+
+    The runs of any set of blocks can be stored and joined with those of others later, by :func:`join_runs`.
+    """
     keys, seconds, length = list(keys), interval_seconds(interval), interval_seconds(block)
     if length % seconds:
         raise ValueError("block must be a multiple of interval")
@@ -264,18 +301,36 @@ def rain_events(df: DataFrame, keys: Sequence[str], time_col: str = "hour",
     # A run that starts or ends within one interval of the border, wherever the bins lie.
     border = ((epoch(F.col("start")) < F.col(B.BLOCK) * length + seconds)
               | (epoch(F.col("end")) >= (F.col(B.BLOCK) + 1) * length - seconds))
-    columns = [*[F.col(f"{B.SERIES}.{k}").alias(k) for k in keys],
-               "start", "end", "hours", "total", "peak"]
-    inner = runs.filter(~border).select(*columns)
-    by_start = B.whole().orderBy("start")
-    follows = F.coalesce(epoch(F.lag("end").over(by_start)) == epoch(F.col("start")) - seconds,
-                         F.lit(False))
-    crossing = (runs.filter(border).withColumn("_new", F.when(follows, 0).otherwise(1))
+    return runs.select(*[F.col(f"{B.SERIES}.{k}").alias(k) for k in keys], "start", "end", "hours", "total", "peak",
+                       border.alias("border"))
+
+
+def join_runs(runs: DataFrame, keys: Sequence[str], interval: str = C.SAMPLING) -> DataFrame:
+    """Events from runs of blocks: those inside a block as they are, those at borders joined along the series."""
+    keys, seconds = list(keys), interval_seconds(interval)
+    columns = [*keys, "start", "end", "hours", "total", "peak"]
+    by_start = W.partitionBy(*keys).orderBy("start")
+    follows = F.coalesce(epoch(F.lag("end").over(by_start)) == epoch(F.col("start")) - seconds, F.lit(False))
+    crossing = (runs.filter("border").withColumn("_new", F.when(follows, 0).otherwise(1))
                 .withColumn("_run", F.sum("_new").over(
                     by_start.rowsBetween(W.unboundedPreceding, W.currentRow)))
-                .groupBy(B.SERIES, "_run")
+                .groupBy(*keys, "_run")
                 .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                      F.sum("hours").alias("hours"), F.sum("total").alias("total"),
                      F.max("peak").alias("peak"))
                 .select(*columns))
-    return inner.unionByName(crossing)
+    return runs.filter("NOT border").select(*columns).unionByName(crossing)
+
+
+def store_rain_runs(days: DataFrame, path: str, batch: str, keys: Sequence[str], time_col: str = "hour", measure: str = "rainfall",
+                    wet: float = C.WET_HOUR, interval: str = C.SAMPLING) -> None:
+    """Append the runs of whole days, inside each day; the batch may be stored again. A day belongs to one batch.
+
+    :func:`read_rain_events` joins them, so an event that goes on after midnight is one, whichever of its days was stored first.
+    """
+    commits.append_batch(rain_runs(days, keys, time_col, measure, wet, interval, "1 day"), path, batch)
+
+
+def read_rain_events(spark: SparkSession, path: str, keys: Sequence[str], interval: str = C.SAMPLING) -> DataFrame:
+    """The events of all days that are stored; of each day at most two runs are looked at again."""
+    return join_runs(commits.read_batches(spark, path), keys, interval)
