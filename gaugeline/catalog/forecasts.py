@@ -333,7 +333,7 @@ JOIN (SELECT station_id, MAX(i) AS top FROM numbered GROUP BY 1) t ON t.station_
 WHERE a.i - 24 - h + 1 >= 0 AND a.i - 24 - h + 1 + 47 <= t.top GROUP BY 1""", "numbered")
 def a10(spark, sf):
     rows = Tables(spark, sf).resampled.filter("water_level IS NOT NULL")
-    errors = windows.horizon_errors(rows, KEY, "hour", position="step", chunk=128)
+    errors = windows.horizon_errors(rows, KEY, "hour", position="step", chunk=128, dense=True)
     return errors.select("hour_ahead", "n", r("mse"))
 
 

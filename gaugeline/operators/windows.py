@@ -62,7 +62,7 @@ def _one_by_one(pieces: DataFrame, order, position: str) -> DataFrame:
 def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features: Sequence[str],
                     length: int = C.WINDOW_ROWS, target: str | None = None, horizon: int = 1,
                     tie: Sequence[str] = (), position: str | None = None,
-                    block: str = B.DEFAULT_BLOCK, chunk: int = CHUNK_ROWS) -> DataFrame:
+                    block: str = B.DEFAULT_BLOCK, chunk: int = CHUNK_ROWS, dense: bool = False) -> DataFrame:
     """Windows of ``length`` rows, stride 1, that are followed by ``horizon`` more rows.
 
     A series of n rows gives ``max(0, n - length - horizon + 1)`` windows, so the
@@ -73,9 +73,10 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], time_col: str, features:
 
     Windows are built inside pieces of a series; the frame reads at most
     ``length + horizon`` rows. A regular series can pass its ``position`` column, which must
-    count its rows without holes: a hole would hide windows at the ends of pieces, so it is an error.
+    count its rows without holes: a hole would hide windows at the ends of pieces, so it is an error. ``dense`` says that
+    the position was made without holes, as ``step`` is, and saves the look at all of a series that finds those between pieces.
     """
-    if position is not None:
+    if position is not None and not dense:
         df = without_holes(df, keys, position)
     return _windows(df, keys, time_col, features, length, target, horizon, tie, position, block, chunk, position is not None)
 
@@ -126,16 +127,17 @@ def training_pairs(df: DataFrame, keys: Sequence[str], time_col: str,
 def horizon_errors(df: DataFrame, keys: Sequence[str], time_col: str, target: str = C.TARGET,
                    horizon: int = C.HORIZON, season: int = C.HORIZON, tie: Sequence[str] = (),
                    position: str | None = None, block: str = B.DEFAULT_BLOCK,
-                   chunk: int = CHUNK_ROWS) -> DataFrame:
+                   chunk: int = CHUNK_ROWS, dense: bool = False) -> DataFrame:
     """Squared error of the seasonal forecast by hour ahead, over every possible origin.
 
     Hour h ahead of an origin takes the value ``season`` rows before it. One row
     per hour ahead: ``hour_ahead, n, mse``. The errors of all hours are sums of
-    the same aggregate, so origins are never multiplied by the horizon.
+    the same aggregate, so origins are never multiplied by the horizon. ``position`` and ``dense`` are as in
+    :func:`sliding_windows`.
     """
     if season < horizon:
         raise ValueError("the season must cover the horizon")
-    if position is not None:
+    if position is not None and not dense:
         df = without_holes(df, keys, position)
     placed, pos = _positioned(df, keys, time_col, tie, [target], position, block)
     rows = placed.select(*keys, F.col(pos).alias("_pos"), F.array(F.col(target).cast("double")).alias("_x"))
