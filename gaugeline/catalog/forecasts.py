@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from gaugeline import constants as C
 from gaugeline import functions as G
 from gaugeline.catalog.base import (
     AS_OF,
@@ -19,7 +20,7 @@ from gaugeline.catalog.base import (
     sql_risk_name,
 )
 from gaugeline.operators import windows
-from gaugeline.plans import forecast, model, monitor
+from gaugeline.plans import forecast, model, monitor, tail
 from gaugeline.session import run_folder
 from gaugeline.sources import dims, tables
 
@@ -251,6 +252,25 @@ def f6(spark, sf):
         F.size("hourly_predictions").alias("horizon"))
 
 
+@query("f6_tail_index", """
+SELECT location_id, station_name, max_predicted_water_level, risk_level, risk_name, confidence, CAST(24 AS INTEGER) AS horizon
+FROM forecast_result""", "forecast_result")
+def f6_tail(spark, sf):
+    """From a stored table of which only the days are opened that the last 72 hours of a station depend on."""
+    t, path = Tables(spark, sf), run_folder(spark, "tail")
+    hours = t.hour_wide.withColumn("day", F.to_date("hour"))
+    hours.write.partitionBy("day").parquet(f"{path}/hours")
+    stored = spark.read.parquet(f"{path}/hours")
+    half = F.lit(AS_OF).cast("timestamp")
+    for batch, part in (("old", stored.filter(F.col("hour") < half)), ("new", stored.filter(F.col("hour") >= half)), ("new", stored.filter(F.col("hour") >= half))):
+        tail.store_index(part, f"{path}/index", batch, KEY, "hour", C.FEATURES)
+    days = tail.tail_days(tail.load(spark, f"{path}/index"), KEY, C.FEATURES)
+    recent = tail.read_tail(stored, days, KEY).drop("day")
+    return monitor.flood_forecast(recent, t.stations, as_of=AS_OF).select(
+        "location_id", "station_name", "max_predicted_water_level", "risk_level", "risk_name", "confidence",
+        F.size("hourly_predictions").alias("horizon"))
+
+
 @query("f6_forecast_daily", f"""
 SELECT station_id AS location_id, {half_up('MAX(water_level)')} AS max_predicted_water_level,
        {sql_grade('MAX(water_level)')} AS risk_level

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from gaugeline.functions import epoch, interval_seconds
 
 SERIES, BLOCK = "_series", "_block"
-#: Block of the rows without a time.
-NO_TIME = -(10**9)
+#: First block of the rows without a time; all of them lie before every block of time.
+NO_TIME = -(1 << 62)
+#: Blocks that rows without a time and without an order are dealt to, and numbers of an order that a block has.
+UNORDERED, ORDERED = 64, 100_000
 #: 672 rows of an hourly series.
 DEFAULT_BLOCK = "28 days"
 
@@ -47,16 +49,38 @@ def columns_of(texts: dict[str, str]) -> dict[str, Column]:
     return {name: F.expr(text) for name, text in texts.items()}
 
 
+def _untimed_block(df: DataFrame, tie: Sequence[str], seconds: int) -> Column:
+    """Block of a row without a time, so that a series of nothing else is not one task.
+
+    Blocks follow the order of the first ``tie`` column where that is a number or a moment. Without a tie the rows
+    have no order, and a hash deals them. A tie of another type leaves one block.
+    """
+    reach = 1 << 60
+    if not tie:
+        kept = [F.col(sql_name(c)) for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+        return F.lit(NO_TIME) + F.pmod(F.xxhash64(*kept), F.lit(UNORDERED))
+    kind, order = dict(df.dtypes)[tie[0]], F.col(sql_name(tie[0]))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        number = F.floor(order.cast("long") / F.lit(ORDERED))
+    elif kind in ("date", "timestamp", "timestamp_ntz"):
+        number = F.floor(epoch(order) / F.lit(seconds))
+    else:
+        return F.lit(NO_TIME)
+    return F.lit(NO_TIME + reach) + F.coalesce(number.cast("long"), F.lit(-reach))
+
+
 def with_block(df: DataFrame, keys: Sequence[str], time_col: str,
-               block: str = DEFAULT_BLOCK) -> DataFrame:
+               block: str = DEFAULT_BLOCK, tie: Sequence[str] | None = None) -> DataFrame:
     """The key columns packed into the series key, and the block of each row.
 
-    :func:`restore` unpacks them; meanwhile rows carry their key once.
+    :func:`restore` unpacks them; meanwhile rows carry their key once. Given the ``tie`` that orders rows of one time, if only
+    an empty one, rows without a time are dealt to many blocks in that order; else they are one block.
     """
     seconds = interval_seconds(block)
     moment = epoch(F.col(time_col))
     number = ((moment - F.pmod(moment, F.lit(seconds))) / seconds).cast("long")
-    return df.withColumns({SERIES: F.struct(*keys), BLOCK: F.coalesce(number, F.lit(NO_TIME))}).drop(*keys)
+    untimed = F.lit(NO_TIME) if tie is None else _untimed_block(df, list(tie), seconds)
+    return df.withColumns({SERIES: F.struct(*keys), BLOCK: F.coalesce(number, untimed)}).drop(*keys)
 
 
 def restore(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:

@@ -191,7 +191,7 @@ def recent_spine(ends: DataFrame, end_col: str, time_col: str = "hour", length:
 def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
                  tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """The last known value of each measure; leading gaps stay NULL. Rows without a time come first and carry on too."""
-    blocked = B.with_block(df, keys, time_col, block)
+    blocked = B.with_block(df, keys, time_col, block, tie)
     order = [B.sql_name(c) for c in (time_col, *tie)]
     # A plain number, never NULL, keeps the summary a hash aggregate.
     position = (f"struct({', '.join(order)})" if tie else
@@ -206,7 +206,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, measures: Se
 def interpolate(df: DataFrame, keys: Sequence[str], time_col: str, measures: Sequence[str],
                 tie: Sequence[str] = (), block: str = B.DEFAULT_BLOCK) -> DataFrame:
     """Linear between known neighbours by row position; both ends take the nearest value."""
-    blocked = B.with_block(df, keys, time_col, block)
+    blocked = B.with_block(df, keys, time_col, block, tie)
     placed = blocked.withColumn("_rn", F.row_number().over(B.in_block(time_col, *tie)))
     points = B.block_points(placed, "_rn", measures, ["count(*) AS _n"])
     summary = B.carry_points(points.withColumn("_offset", B.rows_before()), measures, "+ _offset")

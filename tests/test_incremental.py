@@ -85,3 +85,47 @@ def test_long_gaps_come_from_the_summary(spark):
             assert len(got) == len(want), (hops, last)
             for a, b in zip(got, want):
                 assert a[0] == b[0] and a[2:] == b[2:] and (a[1] is None) == (b[1] is None) and (a[1] is None or abs(a[1] - b[1]) < 1e-9), (hops, last, a, b)
+
+
+def test_tail_index_opens_the_days_that_forecasts_need(spark, tmp_path):
+    """Dense and sparse series, one whose measure was known long ago only, and one shorter than the tail."""
+    from gaugeline.plans import forecast, tail
+    rng = random.Random(5)
+    data = []
+    for k, hops, known in (("dense", 1, 0.9), ("sparse", 31, 0.5), ("old", 5, 0.0), (None, 2, 0.7)):
+        data += [(k, START + dt.timedelta(hours=h), rng.random() if rng.random() < known else None, 1.0 * h) for h in range(0, 24 * 30, hops)]
+    data += [("old", START + dt.timedelta(hours=1), 5.0, 0.0), ("short", START, 1.0, 1.0), ("short", START + dt.timedelta(hours=9), None, 2.0)]
+    bins = spark.createDataFrame(data, "station_id string, hour timestamp, x double, y double")
+    bins.withColumn("day", F.to_date("hour")).write.partitionBy("day").parquet(str(tmp_path / "t"))
+    stored, path = spark.read.parquet(str(tmp_path / "t")), str(tmp_path / "index")
+    tail.store_index(stored.filter("hour < '2024-01-20'"), path, "a", ["station_id"], "hour", ["x", "y"])
+    tail.store_index(stored.filter("hour >= '2024-01-20'"), path, "b", ["station_id"], "hour", ["x", "y"])
+    days = tail.tail_days(tail.load(spark, path), ["station_id"], ["x", "y"])
+    found = tail.read_tail(stored, days, ["station_id"])
+    assert found.select("day").distinct().count() < 12 and found.filter("station_id = 'dense'").select("day").distinct().count() <= 5
+    for measures in (["x", "y"],):
+        ends = [series.dense_series(t, ["station_id"], "hour", measures, last=72).drop("step") for t in (found.drop("day"), bins)]
+        assert rows(ends[0]) == rows(ends[1])
+    assert tail.read_tail(stored, days.limit(0), ["station_id"]).count() == 0
+
+
+def test_rows_without_a_time_are_dealt_to_many_blocks(spark):
+    from gaugeline.operators import blocks as B
+    rng = random.Random(6)
+    data = [("s", None if rng.random() < 0.9 else START + dt.timedelta(hours=i), rng.choice([None, None, float(i)]), i * 997) for i in range(20_000)]
+    df = spark.createDataFrame(data, "k string, t timestamp, x double, n long").repartition(7)
+    for tie in (["n"], []):
+        sizes = [r["count"] for r in B.with_block(df, ["k"], "t", "28 days", tie).filter("t IS NULL").groupBy(B.BLOCK).count().collect()]
+        assert len(sizes) > 50 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+    filled = series.forward_fill(df, ["k"], "t", ["x"], ["n"])
+    plain = df.withColumn("x", F.expr("last(x, true) OVER (PARTITION BY k ORDER BY t, n ROWS UNBOUNDED PRECEDING)"))
+    assert rows(filled) == rows(plain)
+    data.sort(key=lambda r: (r[1] is not None, r[1] or START, r[3]))
+    known = [i for i, r in enumerate(data) if r[2] is not None]
+    place = {r[3]: i for i, r in enumerate(data)}
+    for r in series.interpolate(df, ["k"], "t", ["x"], ["n"]).filter("n % 13 = 0").collect():
+        i = place[r.n]
+        low, high = max((k for k in known if k <= i), default=None), min((k for k in known if k >= i), default=None)
+        a, b = data[low if low is not None else high][2], data[high if high is not None else low][2]
+        want = a if low in (None, high) or high is None else a + (b - a) * (i - low) / (high - low)
+        assert abs(r.x - want) < 1e-6
