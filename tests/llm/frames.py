@@ -11,11 +11,19 @@ def prose(rng: random.Random, words: int, vocabulary: int = 400) -> str:
     return " ".join(f"w{rng.randrange(vocabulary)}x" for _ in range(words))
 
 
+def alike(n: int = 1024) -> tuple[str, str]:
+    """Two different words that every polynomial hash modulo 2^64 takes for one another."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
 def rows(seed: int = 1, n: int = 120) -> list[tuple]:
     """Texts with shared passages, exact and near copies, periods, empty and very long ones; sources with a hot one and none."""
     rng = random.Random(seed)
     passage, line = prose(rng, 60), "one very common line that ends many a text, of some length, that is longer than a hundred bytes"
     texts: list[str | None] = [None, "", " \n\t ", "a", "ä ö ü", "é" * 300, "ab " * 500, "x" * 5000, prose(rng, 30_000)]
+    rest, (one, other) = prose(rng, 19), alike()
+    texts += [f"{one} {rest}", f"{other} {rest}", f"{one}\n{other}\n{prose(rng, 25)}"]
     while len(texts) < n:
         kind = rng.random()
         old = rng.choice([t for t in texts if t and 20 < len(t) < 9000])

@@ -132,9 +132,36 @@ def test_contamination_equals_brute_force(spark):
     assert got == brute.contamination(frames.texts_of(rows), items)
 
 
-def test_a_large_benchmark_takes_several_automata(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "PART_CHARS", 50)
+@pytest.mark.parametrize("chars", [50, 900])
+def test_a_large_benchmark_takes_several_automata(spark, monkeypatch, chars):
+    """Items and long ones in pieces lie in files of parts; every window is in one of them."""
+    monkeypatch.setattr(decontaminate, "PART_CHARS", chars)
     test_contamination_equals_brute_force(spark)
+    test_awkward_rows(spark)
+
+
+def test_pieces_have_each_window_of_an_item_and_no_other():
+    text = " ".join(f"w{i * i % 97}" for i in range(400))
+
+    def windows(t, k):
+        parts = decontaminate.normalise(t)
+        return {tuple(parts[i:i + k]) for i in range(len(parts) - k + 1)}
+
+    for window in (1, 3, 13):
+        for size in (1, 40, 200, 5_000):
+            pieces = [p for _, p in decontaminate.cut_item("a", text, window, size)]
+            assert set().union(*(windows(p, window) for p in pieces)) == windows(text, window)
+            assert all(len(p) <= size + window * 4 for p in pieces) and all(len(p.split()) >= window for p in pieces)
+
+
+def test_urls_and_at_signs_are_read_in_linear_time():
+    automaton = pii.build_automaton()
+    for piece in ("www.", "http://a@", "user@", "www.é", "www.é@", "a://b"):
+        start = time.perf_counter()
+        pii.find_spans(piece * (1_000_000 // len(piece)), automaton)
+        assert time.perf_counter() - start < 20, piece  # minutes where it is quadratic
+    spans = pii.find_spans("see http://www.x.com:80/a?b, www.foo.de. ftp://u:p@h.org/x www.com http://a@b www.q@r.s", automaton)
+    assert [s[1:] for s in spans if s[0] == "url"] == [(4, 27), (29, 39), (41, 58), (78, 87)]
 
 
 def test_hit_spans_point_into_the_original(spark):
@@ -146,6 +173,15 @@ def test_hit_spans_point_into_the_original(spark):
     assert (empty.n_words, empty.n_hit, empty.contaminated) == (6, 0, False)
 
 
+def test_counts_above_32_bits(tmp_path):
+    keys, counts = np.array([3, 9, 1 << 63], np.uint64), np.array([1, (1 << 32) + 5, 1 << 40])
+    got = kneser_ney.merge([kneser_ney.pack(keys, counts), kneser_ney.pack(keys[1:], counts[1:])])
+    assert got[0].tolist() == keys.tolist() and got[1].tolist() == [1, (1 << 33) + 10, 1 << 41]
+    for values in (counts, counts[:1], counts[:0]):
+        kneser_ney.write_counts(f"file:{tmp_path}/{len(values)}", values)
+        assert kneser_ney.read_counts(f"file:{tmp_path}/{len(values)}", len(values)).tolist() == values.tolist()
+
+
 def test_awkward_rows(spark):
     frame = frames.awkward(spark)
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
