@@ -19,7 +19,7 @@ from gaugeline.catalog.base import (
 )
 from gaugeline.operators import kpis, reshape, risk, series, validate
 from gaugeline.session import run_folder
-from gaugeline.sources import commits, dims, readings, tables
+from gaugeline.sources import commits, dims, layout, readings, tables
 
 TIME_ISSUE = (f"CASE WHEN {{0}} > TIMESTAMP '{AS_OF}' THEN 'FUTURE' "
               f"WHEN {{0}} <= TIMESTAMP '{AS_OF}' - INTERVAL 8 DAY THEN 'EXPIRED' END")
@@ -105,6 +105,17 @@ def s5(spark, sf):
         "station_id", "data_type", "ts", "value", "event_id")
 
 
+@query("s5_clustered", """
+SELECT station_id, data_type, ts, value, event_id FROM reading
+WHERE station_id = 'S002' AND ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'""", "reading")
+def s5_clustered(spark, sf):
+    """A week of one station out of files that are laid along a curve over stations and time."""
+    path = f"{run_folder(spark, 'clustered')}/readings"
+    layout.write_clustered(Tables(spark, sf).reading, path, "station_id", "ts", row_group_bytes=1 << 20)
+    week = readings.station_readings(spark.read.parquet(path), "S002").filter("ts >= '2024-01-08' AND ts < '2024-01-15'")
+    return week.select("station_id", "data_type", "ts", "value", "event_id")
+
+
 @query("s5_unknown_station", "SELECT station_id, data_type, ts, value FROM reading WHERE station_id = 'S999'",
        "reading")
 def s5_unknown(spark, sf):

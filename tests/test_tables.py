@@ -131,3 +131,41 @@ def test_submissions_are_stored_once(spark, tmp_path):
     assert [(r.station_id, r.value, str(r.day)) for r in commits.read_batches(spark, good).collect()] == [("S1", 3.5, "2024-01-05")]
     assert sorted((r.line, r.problems[0]) for r in commits.read_batches(spark, bad).collect()) == [
         ("no json", "MALFORMED"), ("no json", "MALFORMED"), (lines[1], "MISSING_STATION_ID")]
+
+
+def test_a_station_week_lies_in_few_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from gaugeline.sources import layout
+    rows = spark.range(200 * 2000).select(
+        F.concat(F.lit("S"), F.lpad((F.col("id") % 200).cast("string"), 4, "0")).alias("station"),
+        (F.lit(NOW) + F.make_interval(hours=(F.col("id") / 200).cast("int"))).alias("at"), F.rand(1).alias("x"))
+    odd = spark.createDataFrame([(None, NOW, 1.0), ("S0001", None, 2.0)], "station string, at timestamp, x double")
+    path = str(tmp_path / "clustered")
+    layout.write_clustered(rows.unionByName(odd), path, "station", "at", files=4, row_group_bytes=32 << 10)
+    back = spark.read.parquet(path)
+    assert back.columns == ["station", "at", "x"] and back.count() == 400_002
+    low, high = NOW + dt.timedelta(days=21), NOW + dt.timedelta(days=28)
+    week = back.filter((F.col("station") == "S0042") & (F.col("at") >= F.lit(low)) & (F.col("at") < F.lit(high)))
+    assert week.count() == 7 * 24
+    hit = total = 0
+    for name in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        for g in range(meta.num_row_groups):
+            station, at = (meta.row_group(g).column(c).statistics for c in (0, 1))
+            total += 1
+            hit += station.min <= "S0042" <= station.max and at.min.replace(tzinfo=None) < high and at.max.replace(tzinfo=None) >= low
+    assert total > 60 and 0 < hit <= 0.05 * total
+
+
+def test_series_are_ranked_evenly(spark):
+    from gaugeline.sources import layout
+    named = spark.createDataFrame([(f"s{i:03d}",) for i in range(64)] * 3 + [(None,)], "k string")
+    ranks = sorted(tuple(r) for r in layout.series_ranks(named, "k", 8).collect())
+    assert ranks == [(f"s{i:03d}", i * 4) for i in range(64)]
+    assert layout.series_ranks(named.limit(0), "k").count() == 0
+    keys = {(a, b): r[0] for a in range(4) for b in range(4)
+            for r in spark.range(1).select(layout.curve_key(F.lit(a), F.lit(b), 2)).collect()}
+    assert keys == {(a, b): (a >> 1 & 1) << 3 | (b >> 1 & 1) << 2 | (a & 1) << 1 | (b & 1) for a in range(4) for b in range(4)}
