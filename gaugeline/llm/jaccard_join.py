@@ -114,8 +114,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     other classes whose sets have a Jaccard similarity of at least ``threshold``, ``group_id`` the least id that is reached
     over such links.
 
-    Each class has a signature in each tree of a MinHash LSH forest; prefixes of signatures are shortened until a pair at the
-    threshold meets with probability ``recall``. Classes under one node of a tree are tied to the least of them, not
+    Each class has a hash of minima in each of a fixed number of bands, whose length follows from the ``threshold`` and the ``recall`` with
+    which a pair at it shall meet in one. Classes that meet in a band are tied to the least of them, not
     pair by pair; the connected sets of ties hold all candidate pairs. Inside such a set all pairs
     are counted exactly, in blocks of bounded size if it is large, and only counts and one tie per class leave a block.
 
