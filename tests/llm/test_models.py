@@ -180,6 +180,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.STAGES[0][0] == "quality" and len(corpus_pipeline.STAGES) == 5
 
 
+@pytest.mark.parametrize("kind", ["awkward", "empty", "null texts"])
+def test_whole_pipeline_of_awkward_tables(spark, tmp_path, kind):
+    """Null and repeated ids, repeated rows, clashing extra columns, no rows: every stage keeps the columns and runs on the one before."""
+    frame = frames.awkward(spark)
+    docs = {"awkward": frame, "empty": frame.limit(0), "null texts": frame.withColumn("text", F.lit(None).cast("string"))}[kind]
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.schema(docs.schema).parquet(f"{tmp_path}/{name}")
+        assert docs.columns == columns
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == docs.count() <= (0 if kind == "empty" else 8)
+
+
 def test_every_operator_has_a_query():
     assert [f"op{i}_" for i in range(1, 14)] == [q[:q.index("_") + 1] for q in QUERIES]
     assert set(ORACLES) <= set(QUERIES)
