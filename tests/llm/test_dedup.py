@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,36 @@ def test_large_sets_are_compared_in_blocks(spark, monkeypatch):
     assert got == brute.near_duplicates(frames.texts_of(frames.rows(5)))
 
 
+@pytest.mark.parametrize("shared", [50, 85, 92])
+def test_chains_are_compared_by_node_or_block(spark, monkeypatch, shared):
+    """Each text shares words with the next one only, so the sets of a long chain have few candidate pairs."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    rows = [(i, " ".join(f"w{j}" for j in range(i * (100 - shared), i * (100 - shared) + 104))) for i in range(120)]
+    rows += [(200 + i, " ".join(f"hot{j}" for j in range(100)) + f" end{i}") for i in range(30)]
+    got = {r.doc_id: (r.class_id, r.n_links, r.group_id)
+           for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_duplicates(dict(rows))
+
+
+def test_a_pair_counts_in_its_first_common_node():
+    rng = np.random.default_rng(3)
+    lists = [[100 * t + int(v) for t, v in enumerate(row) if v < 3] for row in rng.integers(0, 4, (40, 6))]
+    for here in range(500, 503):
+        mine = [x for x in lists if here in x]
+        got = jaccard_join.meet_here(pa.array(mine, pa.list_(pa.int64())), here)
+        for i, a in enumerate(mine):
+            for j, b in enumerate(mine):
+                assert i == j or got[i, j] == (min(set(a) & set(b)) == here)
+
+
+def test_prefixes_are_shortened_where_it_costs_least():
+    pairs = {(t, d): (10_000 if t < 4 else 10) * (9 - d) for t in range(32) for d in range(1, 9)}
+    depths = jaccard_join.plan_prefixes(pairs, 0.8, 0.9999)
+    assert 1 - np.prod([1 - 0.8 ** d for d in depths]) >= 0.9999
+    assert min(depths[:4]) == jaccard_join.DEPTH > min(depths[4:])
+    assert jaccard_join.plan_prefixes({}, 0.8, 0.9999) and set(jaccard_join.plan_prefixes({}, 1.0, 0.9999)) == {jaccard_join.DEPTH}
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     frame = frames.awkward(spark)
     out = jaccard_join.near_duplicates(frame).collect()
