@@ -29,11 +29,15 @@ class Run:
     def options(self) -> dict:
         return {"checkpoint": self.path("checkpoint"), "trigger": ALL, "name": self.name}
 
-    def files(self, rows: DataFrame, key: str, kind: str) -> tuple[str, int]:
-        """``rows`` as files of a source, and how many of them a micro-batch takes."""
-        count = max(BATCHES, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        rows.repartition(count, key).write.format(kind).save(self.path("in"))
-        return self.path("in"), count // BATCHES
+    @property
+    def parts(self) -> int:
+        """Files of a source: a micro-batch has one for each core at least, as packed text is not split."""
+        return max(BATCHES * self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def files(self, rows: DataFrame, kind: str, **options) -> tuple[str, int]:
+        """``rows`` of so many ``parts`` as files of a source, and how many of them a micro-batch takes."""
+        rows.write.format(kind).options(**options).save(self.path("in"))
+        return self.path("in"), self.parts // BATCHES
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -56,7 +60,7 @@ SELECT location_id,
 def st1(spark, sf):
     """From JSON files, in several micro-batches."""
     run = Run(spark, "ingest")
-    source, per = run.files(testdata.station_batches(spark, sf), "readings", "json")
+    source, per = run.files(testdata.station_batches(spark, sf, parts=run.parts), "json", compression="gzip")
     batches = readings.stream_batches(spark, source, max_files=per)
     jobs.ingest(batches, run.path("good"), run.path("dead"), INGEST_TIME, **run.options()).awaitTermination()
     both = run.read("good").select("location_id", F.lit(1).alias("good")).unionByName(
@@ -168,7 +172,7 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY station_id, data_type ORDER BY {NEWEST})
 def st3(spark, sf):
     """In several micro-batches, with a snapshot after each."""
     run, rows = Run(spark, "latest"), testdata.reading(spark, sf)
-    source, per = run.files(rows, "event_id", "parquet")
+    source, per = run.files(rows.repartition(run.parts, "event_id"), "parquet")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per).parquet(source)
     jobs.store_latest(stream, run.path("latest"), compact_every=1, **run.options()).awaitTermination()
     return jobs.read_latest(spark, run.path("latest"))

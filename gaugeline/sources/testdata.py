@@ -70,12 +70,19 @@ def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.avg("l_discount").alias("rainfall"), F.count(F.lit(1)).alias("n_readings")))
 
 
-def station_batches(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+#: What a batch is made of.
+_LINE = ("l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_returnflag")
+
+
+def station_batches(spark: SparkSession, sf_dir: str, stream: bool = False, parts: int | None = None) -> DataFrame:
     """Nested batches: every line is one sweep over a station's three sensors.
 
-    The rainfall sensor fails on returned lines and then reports an error.
+    The rainfall sensor fails on returned lines and then reports an error. With ``parts`` the lines are dealt to that
+    many partitions before they become batches, which are several times as large.
     """
-    line = load(spark, sf_dir, "lineitem", stream)
+    line = load(spark, sf_dir, "lineitem", stream).select(*_LINE)
+    if parts:
+        line = line.repartition(parts, *_LINE)
     station = F.col("l_suppkey").cast("string")
     moment = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
     none = F.lit(None)
