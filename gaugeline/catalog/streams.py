@@ -1,7 +1,10 @@
 """Queries that run a streaming job over a whole table to its end and read its sink."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.catalog.base import MEASURES, Tables, qr, qrs, query, rs, sql_grade
 from gaugeline.catalog.records import LEVEL_BAD, RAIN_BAD
@@ -89,11 +92,15 @@ def submitted_lines(t: Tables) -> DataFrame:
     return rows.select(cut.alias("value"), F.explode(files).alias("file"))
 
 
-def write_files(rows: DataFrame, path: str, files: int, kind: str) -> None:
-    """Each file's rows in a folder of its own, one after the other, as a source takes the oldest first."""
+def feed(run: Run, rows: DataFrame, files: int, kind: str, start: Callable[[], StreamingQuery]) -> None:
+    """Each file's rows to a folder of its own, and ``start`` the stream, which goes on where it ended, to take them before the next is written.
+
+    So a micro-batch is one file, however many tasks write it; the source has to take all parts at once.
+    """
     for number in range(files):
         part = rows.filter(F.col("file") == number).drop("file")
-        part.coalesce(1).write.format(kind).save(f"{path}/{number}")
+        part.write.format(kind).save(run.path(f"in/{number}"))
+        start().awaitTermination()
 
 
 #: One reading in 11 of those that are dated came twice; both are of one file where the first one is in the last file.
@@ -107,9 +114,12 @@ SELECT fate, n, n AS places FROM fates""", "reading")
 def st1_dedupe(spark, sf):
     """Every line has one fate: equal malformed lines and readings without a time are dead letters each, a repeat in a later batch is counted."""
     run, t = Run(spark, "once"), Tables(spark, sf)
-    write_files(submitted_lines(t), run.path("in"), 5, "text")
-    batches = readings.stream_batches(spark, run.path("in/*"), max_files=1)
-    jobs.ingest_once(batches, run.path("good"), run.path("dead"), run.path("seen"), INGEST_TIME, merge_every=2, **run.options()).awaitTermination()
+
+    def start():
+        batches = readings.stream_batches(spark, run.path("in/*"), max_files=None)
+        return jobs.ingest_once(batches, run.path("good"), run.path("dead"), run.path("seen"), INGEST_TIME, merge_every=2, **run.options())
+
+    feed(run, submitted_lines(t), 5, "text", start)
     dead = run.read("dead")
     fate = F.when(F.col("malformed").isNotNull(), "malformed").when(F.col("timestamp").isNull(), "no time").otherwise("read once")
     places = F.struct("source_file", "source_block", "source_row")
@@ -143,9 +153,12 @@ FROM fated GROUP BY 1, 2, 3""", "reading")
 def st2_late(spark, sf):
     """Five batches; the last one corrects hours that were written before, and what is behind the delay is a dead letter."""
     run, rows = Run(spark, "late"), timed_files(Tables(spark, sf))
-    write_files(rows, run.path("in"), 5, "parquet")
-    stream = spark.readStream.schema(rows.drop("file").schema).option("maxFilesPerTrigger", 1).parquet(run.path("in/*"))
-    hours.store_hours(stream, run.path("hours"), run.path("dead"), merge_every=2, clock="2100-01-01 00:00:00", **run.options()).awaitTermination()
+
+    def start():
+        stream = spark.readStream.schema(rows.drop("file").schema).parquet(run.path("in/*"))
+        return hours.store_hours(stream, run.path("hours"), run.path("dead"), merge_every=2, clock="2100-01-01 00:00:00", **run.options())
+
+    feed(run, rows, 5, "parquet", start)
     means = hours.read_hours(spark, run.path("hours")).select(F.lit("hour").alias("fate"), "station_id", "hour", *rs(MEASURES), "n_readings", "closed")
     dead = run.read("dead").groupBy(F.col("problem").alias("fate"), "station_id", F.date_trunc("hour", "ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("n_readings")).withColumn("closed", F.lit(False))
@@ -206,15 +219,18 @@ def st4(spark, sf):
     lo, hi = F.unix_micros(ends["lo"]), F.unix_micros(ends["hi"])
     slot = F.least(F.lit(4), F.floor(5 * (F.unix_micros("ts") - lo) / F.greatest(hi - lo, F.lit(1))))
     rows = levels.withColumn("file", slot)
-    write_files(rows, run.path("in"), 5, "parquet")
     # The warnings that will be: the ids follow from what they say.
     past = rows.filter(F.col("ts") <= F.lit(CLOCK).cast("timestamp"))
     nows = past.groupBy("file").agg(F.max("ts").alias("now"))
     peaks = risk.with_grade(past.join(nows, "file"), "water_level").filter("risk_level = 2").groupBy(
         F.col("station_id").alias("location_id"), "station_name", "risk_level", "now").agg(F.max("water_level").alias("max_predicted_water_level"))
     jobs.cancel(warnings.generate_flood_warnings(peaks, F.col("now")), run.path("cancels"), 0, CLOCK)
-    stream = spark.readStream.schema(levels.schema).option("maxFilesPerTrigger", 1).parquet(run.path("in/*"))
-    jobs.live_warnings(stream, run.path("log"), run.path("cancels"), clock=CLOCK, merge_every=2, **run.options()).awaitTermination()
+
+    def start():
+        stream = spark.readStream.schema(levels.schema).parquet(run.path("in/*"))
+        return jobs.live_warnings(stream, run.path("log"), run.path("cancels"), clock=CLOCK, merge_every=2, **run.options())
+
+    feed(run, rows, 5, "parquet", start)
     log = jobs.warning_log(spark, run.path("log")).read()
     state = warnings.current_state(log, jobs.read_cancels(spark, run.path("cancels"), log))
     return state.select("id", "warning_type", "warning_level", "title", "content", "affected_location", "publish_time", "expire_time",

@@ -22,10 +22,10 @@ def read_batches(spark: SparkSession, path: str, kind: str = "json") -> DataFram
 
 
 def stream_batches(spark: SparkSession, path: str, kind: str = "json",
-                   max_files: int = 1000) -> DataFrame:
-    """The same files as a stream, ``max_files`` new ones per micro-batch."""
-    return (spark.readStream.schema(_batch_schema(kind)).option("maxFilesPerTrigger", max_files)
-            .format(kind).load(path))
+                   max_files: int | None = 1000) -> DataFrame:
+    """The same files as a stream, ``max_files`` new ones per micro-batch, or all there are."""
+    reader = spark.readStream.schema(_batch_schema(kind))
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).format(kind).load(path)
 
 
 def station_readings(readings: DataFrame, station_id: str, data_type: str | None = None,

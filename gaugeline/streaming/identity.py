@@ -36,25 +36,30 @@ def number_rows(rows: DataFrame, placed: DataFrame) -> DataFrame:
     """``source_row`` as the number of each of the ``rows`` in its piece of a file, from the places of the whole micro-batch.
 
     A batch that runs again reads the same pieces in the same order, so file, piece and number name a row for good, also
-    one with nothing else to tell it by.
+    one with nothing else to tell it by. There is a row per piece to look up, and the ``rows`` stay where they are.
     """
     firsts = placed.groupBy(_FILE, _BLOCK).agg(F.min(_ROW).alias("_first"))
-    return rows.join(firsts, [_FILE, _BLOCK]).withColumn(_ROW, F.col(_ROW) - F.col("_first")).select(*rows.columns)
+    return rows.join(F.broadcast(firsts), [_FILE, _BLOCK]).withColumn(_ROW, F.col(_ROW) - F.col("_first")).select(*rows.columns)
 
 
-def split_repeats(placed: DataFrame, seen: DayLog, batch_id: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(fresh, keyless, repeats)`` of a micro-batch: readings of keys that no batch before had, the first one of each; rows
-    without a whole key, which are never repeats; and the keys that came again, with how many rows were left out.
+def judge_keys(placed: DataFrame, seen: DayLog, batch_id: int) -> DataFrame:
+    """The first reading of each key of a micro-batch, with ``_n``, how many rows have it, and ``_seen`` if a batch before had it.
 
     Keys lie by the day of their time, so only the days that occur in the batch are looked up. A key is combined
     on the map side, so one that is repeated without end is no hot task.
     """
-    keyed, keyless = placed.filter(has_key()), placed.filter(~has_key())
-    first = F.min_by(F.struct(*[c for c in placed.columns if c not in KEYS]), F.struct(_FILE, _BLOCK, _ROW))
-    groups = keyed.groupBy(*KEYS).agg(first.alias("r"), F.count(F.lit(1)).alias("n"))
+    keyed = placed.filter(has_key())
+    rest = [c for c in placed.columns if c not in KEYS]
+    first = F.min_by(F.struct(*rest), F.struct(_FILE, _BLOCK, _ROW))
+    groups = keyed.groupBy(*KEYS).agg(first.alias("r"), F.count(F.lit(1)).alias("_n"))
     days = [str(r.day) for r in keyed.select(F.to_date("ts").alias("day")).distinct().collect()]
     before = seen.read(days, batch_id).select(*KEYS).distinct().withColumn("_seen", F.lit(True))
-    judged = groups.join(before, list(KEYS), "left")
-    fresh = judged.filter(F.col("_seen").isNull()).select(*[F.col(c) if c in KEYS else F.col(f"r.{c}").alias(c) for c in placed.columns])
-    left_out = F.col("n") - F.when(F.col("_seen").isNull(), 1).otherwise(0)
-    return fresh, keyless, judged.select(*KEYS, left_out.alias("repeats")).filter("repeats > 0")
+    return groups.join(before, list(KEYS), "left").select(*KEYS, *[F.col(f"r.{c}").alias(c) for c in rest], "_n", "_seen")
+
+
+def split_repeats(placed: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(fresh, keyless, repeats)`` of a micro-batch and its judged keys: readings of keys that no batch before had, the first one
+    of each; rows without a whole key, which are never repeats; and the keys that came again, with how many rows were left out."""
+    fresh = keys.filter(F.col("_seen").isNull()).select(*placed.columns)
+    left_out = F.col("_n") - F.when(F.col("_seen").isNull(), 1).otherwise(0)
+    return fresh, placed.filter(~has_key()), keys.select(*KEYS, left_out.alias("repeats")).filter("repeats > 0")
